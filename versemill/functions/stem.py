@@ -1,0 +1,303 @@
+"""English and Spanish suffix stripping for token arrays, batch by batch.
+
+Both follow the published descriptions (Porter 1980 with the usual later corrections; the
+Snowball description of Spanish). A task remembers the words it has seen, so each distinct
+word is worked on about once per task and nothing is shuffled.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+MEMORY_WORDS = 500_000
+
+# Words with a stem of their own.
+ENGLISH_SPECIAL = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+    "news": "news", "innings": "inning", "inning": "inning", "outings": "outing",
+    "outing": "outing", "cannings": "canning", "canning": "canning", "howe": "howe",
+    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+
+# Suffixes of steps 2, 3 and 4 in the order in which they are tried.
+ENGLISH_STEP2 = [
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
+    ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
+    ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
+    ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
+    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
+]
+ENGLISH_STEP3 = [
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
+    ("ful", ""), ("ness", ""),
+]
+ENGLISH_STEP4 = (
+    "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+).split()
+
+
+def _shape(word: str) -> str:
+    """The word as c (consonant) and v (vowel); y is a vowel after a consonant."""
+    out = ""
+    for letter in word:
+        vowel = letter in "aeiou" or (letter == "y" and out.endswith("c"))
+        out += "v" if vowel else "c"
+    return out
+
+
+def _measure(word: str) -> int:
+    return len(re.findall("v+c+", _shape(word)))
+
+
+def _short_end(word: str) -> bool:
+    """Consonant, vowel, consonant other than w, x, y; or a two-letter vowel, consonant."""
+    shape = _shape(word)
+    if len(word) >= 3 and shape.endswith("cvc"):
+        return word[-1] not in "wxy"
+    return shape == "vc"
+
+
+def _double_end(word: str) -> bool:
+    return len(word) >= 2 and word[-1] == word[-2] and _shape(word)[-1] == "c"
+
+
+def _swap(word: str, rules: list[tuple[str, str]], least: int) -> tuple[str, str]:
+    """Apply the first rule whose suffix fits; the measure decides if it changes the word."""
+    for suffix, put in rules:
+        if word.endswith(suffix):
+            stem = word[: len(word) - len(suffix)]
+            return (stem + put if _measure(stem) >= least else word), suffix
+    return word, ""
+
+
+def _plural(word: str) -> str:
+    if word.endswith("ies") and len(word) == 4:
+        return word[:-1]
+    return _swap_plain(word, [("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")])
+
+
+def _swap_plain(word: str, rules: list[tuple[str, str]]) -> str:
+    for suffix, put in rules:
+        if word.endswith(suffix):
+            return word[: len(word) - len(suffix)] + put
+    return word
+
+
+def _past(word: str) -> str:
+    if word.endswith("ied"):
+        return word[:-1] if len(word) == 4 else word[:-2]
+    if word.endswith("eed"):
+        return word[:-1] if _measure(word[:-3]) > 0 else word
+    for suffix in ("ed", "ing"):
+        if word.endswith(suffix):
+            stem = word[: -len(suffix)]
+            if "v" not in _shape(stem):
+                return word
+            if stem.endswith(("at", "bl", "iz")):
+                return stem + "e"
+            if _double_end(stem):
+                return stem if stem[-1] in "lsz" else stem[:-1]
+            return stem + "e" if _measure(stem) == 1 and _short_end(stem) else stem
+    return word
+
+
+def _double_suffix(word: str) -> str:
+    if word.endswith("alli") and _measure(word[:-4]) > 0:
+        return _double_suffix(word[:-2])
+    if word.endswith("logi"):
+        return word[:-1] if _measure(word[:-3]) > 0 else word
+    return _swap(word, ENGLISH_STEP2, 1)[0]
+
+
+def _long_suffix(word: str) -> str:
+    for suffix in ENGLISH_STEP4:
+        if word.endswith(suffix):
+            stem = word[: -len(suffix)]
+            fits = _measure(stem) > 1 and (suffix != "ion" or stem[-1:] in ("s", "t"))
+            return stem if fits else word
+    return word
+
+
+def porter(word: str) -> str:
+    if word in ENGLISH_SPECIAL:
+        return ENGLISH_SPECIAL[word]
+    if len(word) <= 2:
+        return word
+    word = _past(_plural(word))
+    if word.endswith("y") and len(word) > 2 and _shape(word)[-2] == "c":
+        word = word[:-1] + "i"
+    word = _double_suffix(word)
+    word = _swap(word, ENGLISH_STEP3, 1)[0]
+    word = _long_suffix(word)
+    if word.endswith("e"):
+        stem = word[:-1]
+        m = _measure(stem)
+        if m > 1 or (m == 1 and not _short_end(stem)):
+            word = stem
+    if word.endswith("ll") and _measure(word[:-1]) > 1:
+        word = word[:-1]
+    return word
+
+
+# The Spanish suffix classes.
+ES_PRONOUNS = "selas selos sela selo las les los nos me se la le lo".split()
+ES_GERUNDS = {"iéndo": "iendo", "ándo": "ando", "ár": "ar", "ér": "er", "ír": "ir"}
+ES_STANDARD = [
+    ("amientos amiento imientos imiento anzas anza icos ica icas ico ismos ismo ables able "
+     "ibles ible istas ista osos oso osas osa", "", ()),
+    ("adoras adores aciones adora antes ancias ancia ación ador ante", "", ("ic",)),
+    ("logías logía", "log", ()),
+    ("uciones ución", "u", ()),
+    ("encias encia", "ente", ()),
+    ("amente", "", ("iv", "os", "ic", "ad")),
+    ("mente", "", ("ante", "able", "ible")),
+    ("idades idad", "", ("abil", "ic", "iv")),
+    ("ivas ivos iva ivo", "", ("at",)),
+]
+ES_Y_VERBS = "yeron yendo yamos yais yan yen yas yes ya ye yo yó".split()
+ES_E_VERBS = "en es éis emos".split()
+ES_VERBS = (
+    "aríamos eríamos iríamos iéramos iésemos aríais aremos eríais eremos iríais iremos "
+    "ierais ieseis asteis isteis ábamos áramos ásemos arían arías aréis erían erías eréis "
+    "irían irías iréis ieran iesen ieron iendo ieras ieses abais arais aseis íamos arán "
+    "arás aría erán erás ería irán irás iría iera iese aste iste aban aran asen aron ando "
+    "abas adas idas aras ases íais ados idos amos imos ará aré erá eré irá iré aba ada ida "
+    "ara ase ían ado ido ías áis ía ad ed id an ió ar er ir as ís"
+).split()
+ES_RESIDUAL = "os a o á í ó".split()
+ES_VOWELS = "aeiouáéíóúü"
+ES_PLAIN = str.maketrans("áéíóú", "aeiou")
+
+
+def _regions(word: str) -> tuple[int, int, int]:
+    """Starts of RV, R1 and R2 of a Spanish word."""
+    after = re.compile(f"[{ES_VOWELS}][^{ES_VOWELS}]")
+    first = after.search(word)
+    r1 = first.end() if first else len(word)
+    second = after.search(word, r1)
+    r2 = second.end() if second else len(word)
+    rv = len(word)
+    if len(word) > 2:
+        if word[1] not in ES_VOWELS:
+            start, stop = 2, f"[{ES_VOWELS}]"
+        elif word[0] in ES_VOWELS:
+            start, stop = 2, f"[^{ES_VOWELS}]"
+        else:
+            return 3, r1, r2
+        found = re.compile(stop).search(word, start)
+        rv = found.end() if found else len(word)
+    return rv, r1, r2
+
+
+def _ending(word: str, start: int, suffixes: list[str]) -> str:
+    """The longest of the suffixes that lies in word[start:]."""
+    held = [s for s in suffixes if word[start:].endswith(s)]
+    return max(held, key=len, default="")
+
+
+def _es_pronoun(word: str, rv: int) -> str:
+    pronoun = _ending(word, rv, ES_PRONOUNS)
+    if not pronoun:
+        return word
+    stem = word[: -len(pronoun)]
+    accented = _ending(stem, rv, list(ES_GERUNDS))
+    if accented:
+        return stem[: -len(accented)] + ES_GERUNDS[accented]
+    plain = _ending(stem, rv, ["ando", "iendo", "ar", "er", "ir"])
+    if plain or (stem[rv:].endswith("yendo") and stem.endswith("uyendo")):
+        return stem
+    return word
+
+
+def _es_standard(word: str, r1: int, r2: int) -> str:
+    every = {s: (put, more) for group, put, more in ES_STANDARD for s in group.split()}
+    held = max((s for s in every if word.endswith(s)), key=len, default="")
+    if not held:
+        return word
+    put, more = every[held]
+    if len(word) - len(held) < (r1 if held == "amente" else r2):
+        return word
+    stem = word[: -len(held)] + put
+    extra = _ending(stem, r2, list(more))
+    if extra:
+        stem = stem[: -len(extra)]
+        if held == "amente" and extra == "iv" and stem[r2:].endswith("at"):
+            stem = stem[:-2]
+    return stem
+
+
+def _es_verb(word: str, rv: int) -> str:
+    held = _ending(word, rv, ES_Y_VERBS)
+    if held and word[: -len(held)].endswith("u"):
+        return word[: -len(held)]
+    held = _ending(word, rv, ES_VERBS + ES_E_VERBS)
+    if not held:
+        return word
+    stem = word[: -len(held)]
+    return stem[:-1] if held in ES_E_VERBS and stem.endswith("gu") else stem
+
+
+def spanish(word: str) -> str:
+    rv, r1, r2 = _regions(word)
+    word = _es_pronoun(word, rv)
+    changed = _es_standard(word, r1, r2)
+    word = changed if changed != word else _es_verb(word, rv)
+    held = _ending(word, rv, ES_RESIDUAL)
+    if held:
+        word = word[: -len(held)]
+    elif word[rv:].endswith(("e", "é")):
+        word = word[:-1]
+        if word.endswith("gu") and word[rv:].endswith("u"):
+            word = word[:-1]
+    return word.translate(ES_PLAIN)
+
+
+STEMMERS: dict[str, Callable[[str], str]] = {"english": porter, "spanish": spanish}
+
+
+class _Remembering(dict):
+    """Word → stem; starts anew when full, so that a task's memory stays bounded."""
+
+    def __init__(self, stem: Callable[[str], str]):
+        super().__init__()
+        self.stem = stem
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= MEMORY_WORDS:
+            self.clear()
+        self[word] = out = self.stem(word)
+        return out
+
+
+def stem_tokens(tokens: Column, language: str = "english") -> Column:
+    """Stems of an array of tokens, in the same order."""
+    rule = STEMMERS[language]
+
+    @F.pandas_udf("array<string>")
+    def stems(batches: pd.Series) -> pd.Series:
+        known = _memory(rule)
+        return batches.map(lambda words: [known[w] for w in words], na_action="ignore")
+
+    return stems(tokens)
+
+
+def stem_word(word: Column, language: str = "english") -> Column:
+    rule = STEMMERS[language]
+
+    @F.pandas_udf("string")
+    def stem(words: pd.Series) -> pd.Series:
+        return words.map(rule, na_action="ignore")
+
+    return stem(word)
+
+
+_MEMORIES: dict[str, _Remembering] = {}
+
+
+def _memory(rule: Callable[[str], str]) -> _Remembering:
+    return _MEMORIES.setdefault(rule.__name__, _Remembering(rule))

@@ -12,6 +12,7 @@ SPACE = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
 URL = rf"http[^{SPACE}]+|www[^{SPACE}]+|https[^{SPACE}]+"
 NOT_WORD = rf"[^\p{{L}}\p{{N}}_{SPACE}]"
 DIGIT = r"\p{Nd}+"
+GAP = r"[^\p{L}\p{N}_]+"
 
 # The section headings of lyrics that are removed with their brackets.
 SECTION_TAGS = [
@@ -76,12 +77,16 @@ def combine_text(*columns: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Lower case without URLs, punctuation and digits; single spaces."""
+    """Lower case without URLs, punctuation and digits; single spaces.
+
+    White space is no word character either, so one pass turns each gap into one space; only
+    where digits go can two spaces meet again.
+    """
     out = F.lower(F.coalesce(text, F.lit("")))
     out = F.regexp_replace(out, URL, "")
-    out = F.regexp_replace(out, NOT_WORD, " ")
+    out = F.regexp_replace(out, GAP, " ")
     out = F.regexp_replace(out, DIGIT, "")
-    out = F.regexp_replace(out, f"[{SPACE}]+", " ")
+    out = F.regexp_replace(out, " {2,}", " ")
     return F.trim(out)
 
 
@@ -95,15 +100,24 @@ def strip_section_tags(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?i)\[(?:{'|'.join(SECTION_TAGS)})[^\]]*\]", "")
 
 
+def split_contractions(cleaned: Column) -> Column:
+    initials = "".join(sorted({a[0] for a, _ in SPLIT_WORDS}))
+    heads = "|".join(f"{a}(?={b}(?: |$))" for a, b in SPLIT_WORDS)
+    return F.regexp_replace(cleaned, rf"(?=[{initials}])(?<![^ ])({heads})", "$1 ")
+
+
 def tokenize(cleaned: Column) -> Column:
     """Words of cleaned text, with the split words in two parts."""
-    heads = "|".join(f"{a}(?={b}(?: |$))" for a, b in SPLIT_WORDS)
-    parted = F.regexp_replace(cleaned, rf"(?<=^| )({heads})", "$1 ")
-    return split_words(parted)
+    return F.filter(F.split(split_contractions(cleaned), " "), lambda w: w != "")
 
 
-def split_words(text: Column) -> Column:
-    return F.filter(F.split(text, rf"[{SPACE}]+"), lambda w: w != "")
+def content_words(cleaned: Column, language: str | None = "english", longest_dropped: int = 2) -> Column:
+    """Tokens without stop words (of `language`, if given) and short ones, in one filter."""
+    words = F.split(split_contractions(cleaned), " ")
+    if language is None:
+        return drop_short(words, longest_dropped)
+    listed = stopwords(language)
+    return F.filter(words, lambda w: (F.length(w) > longest_dropped) & ~w.isin(listed))
 
 
 def remove_stopwords(tokens: Column, language: str = "english") -> Column:
@@ -122,16 +136,17 @@ def token_estimate(text: Column) -> Column:
 
 
 def ngrams(tokens: Column, longest: int = 2) -> Column:
-    """All n-grams of 1..longest words, shorter ones first."""
-    grams = tokens
+    """All n-grams of 1..longest words, shorter ones first.
+
+    The lambdas use their own arguments only: an outer array inside a lambda would be worked
+    out once per element wherever the optimizer puts its definition in its place.
+    """
+    grams, shorter = tokens, tokens
     for n in range(2, longest + 1):
-        starts = F.when(
-            F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        grams = F.concat(
-            grams,
-            F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")),
-        )
+        last = F.slice(tokens, F.lit(n), F.greatest(F.size(tokens), F.lit(0)))
+        padded = F.zip_with(shorter, last, lambda a, b: F.concat(a, F.lit(" "), b))
+        shorter = F.filter(padded, lambda g: g.isNotNull())
+        grams = F.concat(grams, shorter)
     return grams
 
 

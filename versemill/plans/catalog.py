@@ -5,6 +5,7 @@ from versemill.plans import (  # noqa: F401  (importing a module registers its q
     evaluation,
     files,
     sampling,
+    texts,
 )
 from versemill.plans.registry import QUERIES, SQL
 

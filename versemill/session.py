@@ -61,3 +61,13 @@ def cut_lineage(df):
     """Reliable checkpoint in the shared folder, so lost executors cost no recomputation."""
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df, *keys: str):
+    """Give an input of few splits to all cores; an input with enough splits stays as it is.
+
+    A small file can be one row group, hence one task, however many cores there are. Large
+    inputs have more splits than cores and are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
