@@ -3,6 +3,7 @@
 from versemill.plans import (  # noqa: F401  (importing a module registers its queries)
     cleaning,
     evaluation,
+    features,
     files,
     sampling,
     texts,
