@@ -5,38 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from versemill.operators.terms import vocabulary
 
-def class_priors(train: DataFrame, label: str) -> dict:
-    """Class → share of rows; classes are few."""
+
+def class_priors(train: DataFrame, label: str) -> tuple[dict, int]:
+    """(class → share of rows, number of rows); classes are few."""
     rows = train.groupBy(label).count().collect()
     total = sum(r["count"] for r in rows)
-    return {r[label]: r["count"] / total for r in sorted(rows, key=lambda r: r[label])}
+    return {r[label]: r["count"] / total for r in sorted(rows, key=lambda r: r[label])}, total
 
 
-def multinomial_table(
-    counts: DataFrame, vocab: DataFrame, label: str, classes: list, alpha: float = 1.0
+def multinomial_fit(
+    counts: DataFrame, label: str, classes: list, n_docs: int, alpha: float = 1.0, **limits
 ) -> DataFrame:
-    """(term, p_0, p_1 …): smoothed share of each term of the vocabulary in each class.
+    """(term, p_0, p_1 …): smoothed share of each vocabulary term in each class.
 
-    `counts` has (term, tf, label). The result has one row per vocabulary term.
+    `counts` has (term, tf, label), one row per document and term. They are grouped once;
+    the vocabulary (limited to `max_features` rows) comes to the driver with its class sums.
     """
-    sums = vocab.select("term").join(
-        counts.join(F.broadcast(vocab.select("term")), "term")
-        .groupBy("term")
-        .agg(*[F.sum(F.when(F.col(label) == c, F.col("tf")).otherwise(0)).alias(f"n_{i}") for i, c in enumerate(classes)]),
-        "term",
-        "left",
-    ).na.fill(0)
-    totals = sums.agg(
-        F.count("*").alias("v"), *[F.sum(f"n_{i}").alias(f"all_{i}") for i in range(len(classes))]
-    ).head()
-    return sums.select(
-        "term",
-        *[
-            ((F.col(f"n_{i}") + alpha) / F.lit((totals[f"all_{i}"] or 0) + alpha * totals["v"])).alias(f"p_{i}")
-            for i in range(len(classes))
-        ],
+    of_class = [
+        F.sum(F.when(F.col(label) == c, F.col("tf")).otherwise(0)).alias(f"n_{i}")
+        for i, c in enumerate(classes)
+    ]
+    frequencies = counts.groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("total"), *of_class
     )
+    kept = vocabulary(frequencies, n_docs, **limits).collect()
+    sums = [[r[f"n_{i}"] for r in kept] for i in range(len(classes))]
+    shares = [[(n + alpha) / (sum(column) + alpha * len(kept)) for n in column] for column in sums]
+    rows = [(r["term"], *(share[k] for share in shares)) for k, r in enumerate(kept)]
+    columns = ", ".join(f"p_{i} double" for i in range(len(classes)))
+    return counts.sparkSession.createDataFrame(rows, f"term string, {columns}")
 
 
 def multinomial_predict(

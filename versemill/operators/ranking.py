@@ -39,23 +39,75 @@ def bucket_count(df: DataFrame) -> int:
 
 def value_buckets(df: DataFrame, column: str, out: str = "_bucket") -> DataFrame:
     """Add a bucket number that grows with `column`, cut at approximate quantiles."""
+    return many_value_buckets(df, {column: out})
+
+
+def many_value_buckets(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The same for several columns (column → name of its bucket), from one pass."""
     n = bucket_count(df)
-    cuts = df.agg(
-        F.percentile_approx(
-            F.col(column).cast("double"), [i / n for i in range(1, n)], 20 * n
-        ).alias("cuts")
-    ).head()["cuts"]
-    inner = sorted(set(cuts or []))
-    splits = [-float("inf"), *inner, float("inf")]
-    if len(splits) == 2:
-        splits = [-float("inf"), 0.0, float("inf")]
-    raw = "_as_double"
-    return (
-        Bucketizer(splits=splits, inputCol=raw, outputCol=out, handleInvalid="keep")
-        .transform(df.withColumn(raw, F.col(column).cast("double")))
-        .withColumn(out, F.col(out).cast("int"))
-        .drop(raw)
+    shares = [i / n for i in range(1, n)]
+    named = [
+        F.percentile_approx(F.col(c).cast("double"), shares, 20 * n).alias(out)
+        for c, out in columns.items()
+    ]
+    cuts = df.agg(*named).head()
+    splits = []
+    for out in columns.values():
+        inner = sorted(set(cuts[out] or [])) or [0.0]
+        splits.append([-float("inf"), *inner, float("inf")])
+    raw = {f"_raw_{out}": F.col(c).cast("double") for c, out in columns.items()}
+    bucketizer = Bucketizer(
+        splitsArray=splits,
+        inputCols=list(raw),
+        outputCols=list(columns.values()),
+        handleInvalid="keep",
+    )
+    bucketed = bucketizer.transform(df.withColumns(raw)).drop(*raw)
+    return bucketed.withColumns({out: F.col(out).cast("int") for out in columns.values()})
+
+
+def exact_percentiles(
+    df: DataFrame, columns: dict[str, Column], shares: list[float]
+) -> dict[str, list[float]]:
+    """Interpolated percentiles of several columns without sorting any of them in one task.
+
+    Distinct values are counted, the counts are summed along the buckets, and only the values
+    at the wanted ranks (two per share) come to the driver.
+    """
+    named = df.select(*[x.cast("double").alias(name) for name, x in columns.items()])
+    bucketed = many_value_buckets(named, {name: f"_b_{name}" for name in columns})
+    cells = [
+        F.struct(F.lit(name).alias("feature"), F.col(f"_b_{name}").alias("_bucket"), F.col(name).alias("x"))
+        for name in columns
+    ]
+    counted = (
+        bucketed.select(F.explode(F.array(*cells)).alias("c"))
+        .select("c.*")
+        .filter("x IS NOT NULL")
+        .groupBy("feature", "_bucket", "x")
+        .agg(F.count("*").alias("n"))
+    )
+    sizes = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+    wanted = {
+        name: sorted({rank for s in shares for rank in (int(s * (n - 1)), min(int(s * (n - 1)) + 1, n - 1))})
+        for name, n in sizes.items()
+    }
+    below = running_totals(counted, ["feature"], ["x"], {"below": F.col("n")})
+    ranks = below.sparkSession.createDataFrame(
+        [(name, rank) for name, held in wanted.items() for rank in held], "feature string, rank bigint"
     )
+    inside = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n"))
+    found = below.join(F.broadcast(ranks), "feature").filter(inside).select("feature", "rank", "x").collect()
+    at = {(r["feature"], r["rank"]): r["x"] for r in found}
+    out = {}
+    for name, n in sizes.items():
+        points = []
+        for s in shares:
+            low = int(s * (n - 1))
+            a, b = at[name, low], at[name, min(low + 1, n - 1)]
+            points.append(a + (s * (n - 1) - low) * (b - a))
+        out[name] = points
+    return out
 
 
 def hash_buckets(df: DataFrame, digest: str, out: str = "_bucket") -> DataFrame:

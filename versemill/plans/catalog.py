@@ -2,6 +2,7 @@
 
 from versemill.plans import (  # noqa: F401  (importing a module registers its queries)
     cleaning,
+    comparing,
     evaluation,
     features,
     files,

@@ -178,11 +178,9 @@ def _nb_fit(spark, folder):
     words = terms.preprocess(F.col("text"))
     labelled = spread(docs, "doc_id").join(split, "doc_id")
     train, test = (labelled.filter(F.col("part") == p) for p in ("train", "test"))
-    priors = bayes.class_priors(split.filter("part = 'train'"), "toxic")
-    n_train = split.filter("part = 'train'").count()
+    priors, n_train = bayes.class_priors(split.filter("part = 'train'"), "toxic")
     counts = terms.term_counts(train, "doc_id", words).join(split.select("doc_id", "toxic"), "doc_id")
-    vocab = terms.vocabulary(terms.word_doc_frequency(counts), n_train)
-    fitted = bayes.multinomial_table(counts, vocab, "toxic", list(priors))
+    fitted = bayes.multinomial_fit(counts, "toxic", list(priors), n_train)
     return fitted, priors, test, terms.term_counts(test, "doc_id", words)
 
 
@@ -231,7 +229,7 @@ _GNB = f"""{VECTORS}, long AS (SELECT vec_id, toxic, generate_subscripts(embeddi
 def nb_gaussian(spark, folder):
     rows = vectors(spark, folder).select("vec_id", "embedding", "toxic")
     fitted = bayes.gaussian_table(rows, "toxic", "embedding")
-    predicted = bayes.gaussian_predict(rows, fitted, bayes.class_priors(rows, "toxic"), "embedding")
+    predicted = bayes.gaussian_predict(rows, fitted, bayes.class_priors(rows, "toxic")[0], "embedding")
     return predicted.select("vec_id", "toxic", "predicted")
 
 
