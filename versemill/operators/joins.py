@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versemill.functions.vectors import cosine
@@ -40,10 +40,6 @@ def fuse_batches(spark: SparkSession, path: str, id_col: str) -> DataFrame:
     return number_by_id(spark.read.parquet(path), id_col)
 
 
-def _query_value(df: DataFrame, id_col: str, query_id: int, value: str) -> Column:
-    return df.filter(F.col(id_col) == query_id).agg(F.first(value)).scalar()
-
-
 def cosine_topn(
     df: DataFrame,
     id_col: str,
@@ -54,15 +50,18 @@ def cosine_topn(
 ) -> DataFrame:
     """The n rows most similar to one row, without that row itself; ties by id.
 
-    `same` names columns in which the rows must equal the query row. Every partition keeps
-    its own n best rows, so only those are moved.
+    `same` names columns in which the rows must equal the query row. Only that one row comes
+    to the driver; every partition keeps its own n best rows, so only those are moved.
     """
+    same = same or []
+    asked = df.filter(F.col(id_col) == query_id).select(vec_col, *same).head()
+    if asked is None:
+        raise ValueError(f"no row with {id_col} = {query_id}")
     others = df.filter(F.col(id_col) != query_id)
-    for column in same or []:
-        others = others.filter(F.col(column) == _query_value(df, id_col, query_id, column))
-    scored = others.withColumn(
-        "similarity", cosine(F.col(vec_col), _query_value(df, id_col, query_id, vec_col))
-    )
+    for column in same:
+        others = others.filter(F.col(column) == F.lit(asked[column]))
+    vector = F.array(*[F.lit(float(x)) for x in asked[vec_col]])
+    scored = others.withColumn("similarity", cosine(F.col(vec_col), vector))
     return scored.orderBy(F.desc("similarity"), id_col).limit(n)
 
 

@@ -7,6 +7,7 @@ from versemill.plans import (  # noqa: F401  (importing a module registers its q
     features,
     files,
     sampling,
+    similarity,
     texts,
 )
 from versemill.plans.registry import QUERIES, SQL
