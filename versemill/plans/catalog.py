@@ -6,6 +6,7 @@ from versemill.plans import (  # noqa: F401  (importing a module registers its q
     evaluation,
     features,
     files,
+    modelling,
     sampling,
     similarity,
     texts,
