@@ -96,11 +96,11 @@ def leakage_safe_folds(
         train, valid = df.filter(F.col(fold) != i), df.filter(F.col(fold) == i)
         n = train.count()
         counts = terms.term_counts(train, id_col, words(), 2)
-        vocab = terms.vocabulary(terms.word_doc_frequency(counts), n)
+        fitted = terms.fitted_terms(terms.vocabulary(terms.word_doc_frequency(counts), n), n)
         # The balanced rows are chosen by id and label alone, before they become vectors.
         balanced = sampling.undersample(train, id_col, label)
         whole, kept, held_out = (
-            terms.tfidf_vectors(part, words(), vocab, n) for part in (train, balanced, valid)
+            terms.tfidf_vectors(part, words(), fitted) for part in (train, balanced, valid)
         )
         scaler = MaxAbsScaler(inputCol="tfidf", outputCol="features").fit(whole)
         model = estimator(n).fit(scaler.transform(kept))
@@ -125,9 +125,9 @@ def column_vectors(
         for drop in (True, False):
             words = terms.preprocess(F.col(column), drop_stopwords=drop)
             counts = terms.term_counts(train, id_col, words, 2)
-            vocab = terms.vocabulary(terms.word_doc_frequency(counts), n)
-            if not vocab.isEmpty():
-                out = terms.tfidf_vectors(out, words, vocab, n, out=f"v_{column}")
+            fitted = terms.fitted_terms(terms.vocabulary(terms.word_doc_frequency(counts), n), n)
+            if fitted:
+                out = terms.tfidf_vectors(out, words, fitted, out=f"v_{column}")
                 break
         else:
             known = Pipeline(

@@ -113,16 +113,21 @@ def tfidf_smooth_l2(counts: DataFrame, vocab: DataFrame, n_docs: int, id_col: st
     )
 
 
+def fitted_terms(vocab: DataFrame, n_docs: int) -> list[tuple[str, float]]:
+    """(term, idf) of the vocabulary in term order; it is limited, so the driver can hold it."""
+    rows = vocab.select("term", smooth_idf(n_docs).alias("idf")).orderBy("term").collect()
+    return [(r["term"], r["idf"]) for r in rows]
+
+
 def tfidf_vectors(
-    df: DataFrame, tokens: Column, vocab: DataFrame, n_docs: int, longest: int = 2, out: str = "tfidf"
+    df: DataFrame, tokens: Column, fitted: list[tuple[str, float]], longest: int = 2, out: str = "tfidf"
 ) -> DataFrame:
-    """The same weights as sparse vectors, row by row. The vocabulary (limited) is collected."""
-    kept = vocab.select("term", smooth_idf(n_docs).alias("idf")).orderBy("term").collect()
+    """The same weights as sparse vectors, row by row."""
     model = CountVectorizerModel.from_vocabulary(
-        [r["term"] for r in kept], inputCol="_grams", outputCol="_tf"
+        [term for term, _ in fitted], inputCol="_grams", outputCol="_tf"
     )
     weigh = ElementwiseProduct(
-        scalingVec=Vectors.dense([r["idf"] for r in kept]), inputCol="_tf", outputCol="_raw"
+        scalingVec=Vectors.dense([idf for _, idf in fitted]), inputCol="_tf", outputCol="_raw"
     )
     scale = Normalizer(p=2.0, inputCol="_raw", outputCol=out)
     grams = df.withColumn("_words", tokens).withColumn("_grams", text.ngrams(F.col("_words"), longest))

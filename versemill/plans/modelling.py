@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import MinMaxScaler
+from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -90,19 +90,28 @@ def grid_search(spark, folder):
     train, _, n = _parts(embedding_rows(spark, folder))
     logistic, svm = ml.logistic_regression(n, settings=QUICK), ml.linear_svm(n, settings=QUICK)
     tree, boosted = ml.decision_tree(settings=QUICK), ml.gradient_boosting(settings=QUICK)
-    bayes = ml.naive_bayes(features="scaled", counts=True)
-    scaled_bayes = Pipeline(stages=[MinMaxScaler(inputCol="features", outputCol="scaled"), bayes])
     by_c = lambda e: ParamGridBuilder().addGrid(e.regParam, [1 / (c * n) for c in (0.1, 1.0)]).build()
     searches = {
         "logistic_regression": (logistic, by_c(logistic)),
         "linear_svm": (svm, by_c(svm)),
         "decision_tree": (tree, ParamGridBuilder().addGrid(tree.impurity, ["gini", "entropy"]).addGrid(tree.maxDepth, [4, 5]).build()),
-        "naive_bayes": (scaled_bayes, ParamGridBuilder().addGrid(bayes.smoothing, [0.5, 1.0, 2.0]).build()),
         "gradient_boosting": (boosted, ParamGridBuilder().addGrid(boosted.subsamplingRate, [0.7, 0.8]).build()),
     }
     return experiments.grid_search(searches, train, "label", "fold", FOLDS)
 
 
+@query("grid_search_text")
+def grid_search_text(spark, folder):
+    """Naive Bayes on hashed TF-IDF; the weights are fitted inside each fold."""
+    rows = _labelled_songs(spark, folder).filter("part = 'train'").select("doc_id", "text", "label")
+    folded = sampling.kfold_stratified(spread(rows, "doc_id"), "doc_id", "label", FOLDS, seed=7)
+    words = cut_lineage(folded.withColumn("words", terms.preprocess(F.col("text"))).drop("text"))
+    bayes = ml.naive_bayes(counts=True)
+    stages = [HashingTF(numFeatures=4096, inputCol="words", outputCol="tf"), IDF(inputCol="tf", outputCol="features"), bayes]
+    grid = ParamGridBuilder().addGrid(bayes.smoothing, [0.5, 1.0, 2.0]).build()
+    return experiments.grid_search({"naive_bayes": (Pipeline(stages=stages), grid)}, words, "label", "fold", FOLDS)
+
+
 @query("cross_validate_refit")
 def cross_validate_refit(spark, folder):
     train, test, n = _parts(embedding_rows(spark, folder))
