@@ -80,7 +80,8 @@ def exact_percentiles(
         F.struct(F.lit(name).alias("feature"), F.col(f"_b_{name}").alias("_bucket"), F.col(name).alias("x"))
         for name in columns
     ]
-    counted = (
+    # Read three times below, so the counts are kept rather than made again from the rows.
+    counted = cut_lineage(
         bucketed.select(F.explode(F.array(*cells)).alias("c"))
         .select("c.*")
         .filter("x IS NOT NULL")

@@ -19,7 +19,7 @@ from versemill.plans.views import (
     sql_unit,
     vectors,
 )
-from versemill.session import spread
+from versemill.session import cut_lineage, spread
 
 
 def _customers(spark, folder):
@@ -174,7 +174,7 @@ _NB = (
 
 def _nb_fit(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    split = split_stratified(spark, folder)
+    split = cut_lineage(split_stratified(spark, folder))
     words = terms.preprocess(F.col("text"))
     labelled = spread(docs, "doc_id").join(split, "doc_id")
     train, test = (labelled.filter(F.col("part") == p) for p in ("train", "test"))

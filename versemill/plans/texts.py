@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from versemill.functions import text
 from versemill.operators import terms
 from versemill.plans.registry import query, table
-from versemill.session import spread
+from versemill.session import cut_lineage, spread
 from versemill.plans.sampling import STRATIFIED, split_stratified
 from versemill.plans.views import GRAMS, TOKENS, WORD_COUNTS, sql_clean, sql_content, sql_tokens
 
@@ -199,7 +199,7 @@ def tfidf_smooth_l2(spark, folder):
 )
 def tfidf_train_test(spark, folder):
     """Vocabulary and document counts come from the training part alone."""
-    parts = split_stratified(spark, folder).select("doc_id", "part")
+    parts = cut_lineage(split_stratified(spark, folder).select("doc_id", "part"))
     docs = _docs(spark, folder).join(parts, "doc_id")
     train, test = (docs.filter(F.col("part") == p) for p in ("train", "test"))
     n_train = parts.filter("part = 'train'").count()
