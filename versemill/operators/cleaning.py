@@ -43,29 +43,21 @@ def select_listed_rows(df: DataFrame, listed: DataFrame, id_col: str) -> DataFra
 def distinct_counts(df: DataFrame) -> DataFrame:
     """(column, is_numeric, n_distinct): one row per column, from one pass over the table.
 
-    Every cell is first cut to its distinct (column, value) pairs, so that no task has to
-    hold all values of one column.
+    Every text cell is first cut to its distinct (column, value) pairs, so that no task has to
+    hold all values of one column. Numeric columns are known from the schema alone.
     """
-    numeric = {f.name: isinstance(f.dataType, NUMERIC) for f in df.schema.fields}
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                for c in df.columns
-                if not numeric[c]
-            ],
-            *[
-                F.struct(F.lit(c).alias("column"), F.lit(None).cast("string").alias("value"))
-                for c in df.columns
-                if numeric[c]
-            ],
+    schema = "column string, is_numeric boolean, n_distinct bigint"
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+    texts = [c for c in df.columns if c not in numbers]
+    out = df.sparkSession.createDataFrame([(c, True, None) for c in numbers], schema)
+    if texts:
+        cells = F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in texts])
         )
-    )
-    distinct = df.select(cells.alias("cell")).select("cell.*").distinct()
-    number = F.col("column").isin([c for c in df.columns if numeric[c]])
-    return distinct.groupBy("column").agg(
-        F.count("value").alias("n_distinct")
-    ).select("column", number.alias("is_numeric"), "n_distinct")
+        distinct = df.select(cells.alias("cell")).select("cell.*").distinct()
+        counted = distinct.groupBy("column").agg(F.count("value").alias("n_distinct"))
+        out = out.unionByName(counted.withColumn("is_numeric", F.lit(False)))
+    return out
 
 
 def column_roles(df: DataFrame, tolerance: int) -> DataFrame:

@@ -8,16 +8,25 @@ from pyspark.sql import functions as F
 
 from versemill.functions.vectors import dot, squared_distance
 from versemill.operators.neighbors import cluster_sizes, silhouette_of
+from versemill.operators.ranking import join_small
+
+MOST_CLUSTERS = 2_000
+
+
+def centroid_table(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
+    """(cluster, centre): the mean vector of each cluster, whatever their number."""
+    long = df.select(cluster, F.posexplode(F.col(vec_col).cast("array<double>")).alias("dim", "x"))
+    means = long.groupBy(cluster, "dim").agg(F.avg("x").alias("mean"))
+    held = F.sort_array(F.collect_list(F.struct("dim", "mean")))
+    return means.groupBy(cluster).agg(F.transform(held, lambda p: p["mean"]).alias("centre"))
 
 
 def centroids(df: DataFrame, cluster: str, vec_col: str) -> dict[int, list[float]]:
-    """Cluster → mean vector. Clusters are few, so the table is clusters × dimensions."""
-    long = df.select(F.col(cluster).alias("c"), F.posexplode(F.col(vec_col).cast("array<double>")).alias("dim", "x"))
-    means = long.groupBy("c", "dim").agg(F.avg("x").alias("mean"))
-    out: dict[int, list[float]] = {}
-    for r in means.orderBy("c", "dim").collect():
-        out.setdefault(r["c"], []).append(r["mean"])
-    return out
+    """The same as cluster → vector for a model of few clusters; more are refused."""
+    rows = centroid_table(df, cluster, vec_col).limit(MOST_CLUSTERS + 1).collect()
+    if len(rows) > MOST_CLUSTERS:
+        raise ValueError(f"more than {MOST_CLUSTERS} clusters: use centroid_table")
+    return {r[cluster]: r["centre"] for r in sorted(rows, key=lambda r: r[cluster])}
 
 
 def _literal(vector: list[float]):
@@ -33,35 +42,35 @@ def assign(df: DataFrame, vec_col: str, centres: dict[int, list[float]], out: st
     return df.withColumn(out, F.array_min(F.array(*distances))["c"])
 
 
-def _to_own_centre(df: DataFrame, cluster: str, vec_col: str, centres: dict) -> DataFrame:
-    table = df.sparkSession.createDataFrame(list(centres.items()), f"{cluster} int, _centre array<double>")
-    return df.join(F.broadcast(table), cluster).select(
-        F.col(cluster).alias("c"), squared_distance(F.col(vec_col), F.col("_centre")).alias("d2")
-    )
-
-
 def quality(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
     """Calinski-Harabasz and Davies-Bouldin indices: one row.
 
-    The rows are read twice (means, distances to them); the rest works on one centre and two
-    sums per cluster.
+    The rows are read twice (means, distances to them). The second index compares every two
+    clusters, which is done on one centre and one spread per cluster.
     """
-    centres = centroids(df, cluster, vec_col)
-    rows = _to_own_centre(df, cluster, vec_col, centres).groupBy("c").agg(
-        F.count("*").alias("n"), F.sum("d2").alias("within"), F.avg(F.sqrt("d2")).alias("spread")
-    ).orderBy("c").collect()
-    n = np.array([r["n"] for r in rows], dtype=float)
-    points = np.array([centres[r["c"]] for r in rows])
+    rows = df.select(F.col(cluster).alias("c"), F.col(vec_col).alias("v"))
+    gap = squared_distance(F.col("v"), F.col("centre"))
+    near = join_small(rows, centroid_table(rows, "c", "v"), ["c"]).select("c", "centre", gap.alias("d2"))
+    stats = near.groupBy("c").agg(
+        F.count("*").alias("n"), F.sum("d2").alias("within"), F.avg(F.sqrt("d2")).alias("spread"), F.first("centre").alias("centre")
+    ).limit(MOST_CLUSTERS + 1).collect()
+    k = len(stats)
+    if k > MOST_CLUSTERS:
+        raise ValueError(f"more than {MOST_CLUSTERS} clusters cannot be compared in pairs")
+    stats.sort(key=lambda r: r["c"])
+    n = np.array([r["n"] for r in stats], dtype=float)
+    points = np.array([r["centre"] for r in stats])
     overall = (points * n[:, None]).sum(axis=0) / n.sum()
     between = (n * ((points - overall) ** 2).sum(axis=1)).sum()
-    k = len(rows)
-    ch = (between / (k - 1)) / (sum(r["within"] for r in rows) / (n.sum() - k))
-    spread = np.array([r["spread"] for r in rows])
-    gaps = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
-    np.fill_diagonal(gaps, np.inf)
-    db = ((spread[:, None] + spread[None, :]) / gaps).max(axis=1).mean()
+    ch = (between / (k - 1)) / (sum(r["within"] for r in stats) / (n.sum() - k))
+    spread = np.array([r["spread"] for r in stats])
+    worst = []
+    for i in range(k):
+        gaps = np.sqrt(((points - points[i]) ** 2).sum(axis=1))
+        gaps[i] = np.inf
+        worst.append(((spread + spread[i]) / gaps).max())
     return df.sparkSession.createDataFrame(
-        [(float(ch), float(db))], "calinski_harabasz double, davies_bouldin double"
+        [(float(ch), float(np.mean(worst)))], "calinski_harabasz double, davies_bouldin double"
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from versemill.functions.scalars import hash_int
 from versemill.operators.ranking import join_small, number_by_id
 
-DENSE_COLUMNS = 10_000
+DENSE_COLUMNS = 1_000
 
 
 def feature_names(columns: list[str]) -> Column:
@@ -29,8 +29,8 @@ def one_hot(train: DataFrame, rows: DataFrame, id_col: str, columns: list[str])
     return held.select(id_col, "feature", F.lit(1.0).alias("value"))
 
 
-def dummies_align(train: DataFrame, rows: DataFrame, id_col: str, column: str) -> DataFrame:
-    """Dense 0/1 array of `rows` over the sorted categories of `train`.
+def category_flags(train: DataFrame, column: str) -> Column:
+    """0/1 array over the sorted categories that `column` has in `train`.
 
     For many categories a dense array is the wrong form: then use `one_hot`.
     """
@@ -38,8 +38,12 @@ def dummies_align(train: DataFrame, rows: DataFrame, id_col: str, column: str) -
     names = sorted(r["c"] for r in found.limit(DENSE_COLUMNS + 1).collect())
     if len(names) > DENSE_COLUMNS:
         raise ValueError(f"more than {DENSE_COLUMNS} categories in {column}: use one_hot")
-    flags = [F.coalesce((F.col(column) == n).cast("int"), F.lit(0)) for n in names]
-    return rows.select(id_col, F.array(*flags).alias("indicators"))
+    return F.array(*[F.coalesce((F.col(column) == n).cast("int"), F.lit(0)) for n in names])
+
+
+def dummies_align(train: DataFrame, rows: DataFrame, id_col: str, column: str) -> DataFrame:
+    """(id, indicators) of `rows` with exactly the categories of `train`."""
+    return rows.select(id_col, category_flags(train, column).alias("indicators"))
 
 
 def feature_hash(df: DataFrame, id_col: str, columns: list[str], buckets: int = 2048) -> DataFrame:

@@ -190,13 +190,17 @@ def best_overall(runs: DataFrame, score: str, *ties: str) -> DataFrame:
 
 
 def error_listing(
-    df: DataFrame, actual: str, predicted: str, probability: str, text: str, id_col: str, n: int = 10
+    df: DataFrame, texts: DataFrame, id_col: str, actual: str, predicted: str, probability: str, text: str, n: int = 10
 ) -> DataFrame:
-    """The first n wrong rows, long texts cut to 100 characters, with the confidence."""
+    """The first n wrong rows, long texts cut to 100 characters, with the confidence.
+
+    The n rows are found first; only then are their texts looked up.
+    """
     wrong = df.filter(F.col(actual) != F.col(predicted)).orderBy(id_col).limit(n)
     shown = F.when(F.length(text) > 100, F.concat(F.substring(text, 1, 100), F.lit("..."))).otherwise(F.col(text))
     sure = F.greatest(F.col(probability), 1 - F.col(probability))
-    return wrong.select(id_col, actual, predicted, shown.alias("shown"), F.round(sure, 3).alias("confidence"))
+    held = texts.select(id_col, text).join(F.broadcast(wrong), id_col)
+    return held.select(id_col, actual, predicted, shown.alias("shown"), F.round(sure, 3).alias("confidence"))
 
 
 def pseudo_label_vote(label: Column, first: Column, second: Column) -> Column:

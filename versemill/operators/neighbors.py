@@ -19,7 +19,7 @@ from versemill.operators.ranking import join_small, number_by_id
 from versemill.session import cut_lineage
 
 BLOCK_ROWS = 2048
-MOST_CELLS = 256
+MOST_CELLS = 2048
 CHUNK = 32
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from versemill.session import cut_lineage
 
-SMALL_ROWS = 200_000
+SMALL_ROWS = 100_000
 HASH_DIGITS = 3
 
 

@@ -202,9 +202,8 @@ def best_overall(spark, folder):
         FROM predicted JOIN documents USING (doc_id) WHERE label <> pred ORDER BY doc_id LIMIT 10""",
 )
 def error_listing(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    rows = _predicted(spark, folder).join(docs, "doc_id")
-    return metrics.error_listing(rows, "label", "pred", "score", "text", "doc_id")
+    docs = table(spark, folder, "documents")
+    return metrics.error_listing(_predicted(spark, folder), docs, "doc_id", "label", "pred", "score", "text")
 
 
 @query("pseudo_label_vote", f"""WITH {PREDICTED} SELECT doc_id, label, pred, said, CASE

@@ -40,8 +40,9 @@ def src_row_range(spark, folder):
 def src_embedding(spark, folder):
     emb = table(spark, folder, "embeddings").select("vec_id", "embedding")
     rows = table(spark, folder, "documents").select("doc_id", "lang")
-    known = rows.join(emb, F.col("doc_id") == F.col("vec_id"), "left_semi")
-    both = files.align_vectors(known, emb, "doc_id", "vec_id")
+    same = F.col("doc_id") == F.col("vec_id")
+    known, held = rows.join(emb.select("vec_id"), same, "left_semi"), emb.join(rows.select("doc_id"), same, "left_semi")
+    both = files.align_vectors(known, held, "doc_id", "vec_id")
     return both.select("vec_id", "lang", F.posexplode(F.col("embedding").cast("array<double>")).alias("d", "value")).select(
         "vec_id", "lang", F.col("d").cast("bigint").alias("dim"), "value"
     )

@@ -208,7 +208,7 @@ def pca(spark, folder):
 def hybrid_vector(spark, folder):
     text_vectors = _embedded_documents(spark, folder, 20)
     rows = songs(spark, folder).select("doc_id", *NUMBERS, "genre", "emotion").join(text_vectors, "doc_id")
-    mixed = vec.hybrid_vector(rows, "doc_id", "vector", NUMBERS, ["genre", "emotion"])
+    mixed = vec.hybrid_vector(cut_lineage(rows), "vector", NUMBERS, ["genre", "emotion"])
     return mixed.select("doc_id", F.size("hybrid").alias("dim"))
 
 
