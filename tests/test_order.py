@@ -111,3 +111,10 @@ def test_holm_rejects_in_order(spark):
     assert [r["holm_order"] for r in out] == [1, 2, 3]
     assert [r["p_value"] for r in out] == sorted(r["p_value"] for r in out)
     assert out[0]["rejected"] and out[0]["statistic"] == 0.0
+
+
+def test_rows_without_a_class_stay(spark):
+    rows = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(60)], "id bigint, y int")
+    assert sampling.split_stratified(rows, "id", "y").count() == 60
+    folds = sampling.kfold_stratified(rows, "id", "y", 5)
+    assert folds.count() == 60 and folds.filter("fold IS NULL").count() == 0

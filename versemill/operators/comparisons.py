@@ -63,8 +63,9 @@ def friedman(df: DataFrame, dataset: str, model: str, value: str) -> DataFrame:
         F.sum(F.col("sum") * F.col("sum")).alias("squares"), F.sum("tie").alias("ties"),
     ).head()
     k, n = row["k"], row["n"]
-    correction = 1 - row["ties"] / (n * k * (k * k - 1))
-    statistic = (12 / (n * k * (k + 1)) * row["squares"] - 3 * n * (k + 1)) / correction
+    # With one model, or with ties everywhere, there is nothing to tell apart.
+    correction = 1 - row["ties"] / (n * k * (k * k - 1)) if k > 1 else 0.0
+    statistic = (12 / (n * k * (k + 1)) * row["squares"] - 3 * n * (k + 1)) / correction if correction else 0.0
     return df.sparkSession.createDataFrame(
         [(n, k, statistic, chi2_tail(statistic, k - 1))],
         "n_datasets bigint, n_models bigint, statistic double, p_value double",

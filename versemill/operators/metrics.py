@@ -101,16 +101,18 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
             "support",
         )
     )
+    # One rollup gives the classes and, in its total row, both averages over them.
     names = ["precision", "recall", "f1"]
-    macro = per_class.agg(*[F.avg(n).alias(n) for n in names], F.sum("support").alias("support"))
-    weighted = per_class.agg(
-        *[(F.sum(F.col(n) * F.col("support")) / F.sum("support")).alias(n) for n in names],
+    rolled = per_class.rollup("class").agg(
+        *[F.avg(n).alias(n) for n in names],
+        *[ratio(F.sum(F.col(n) * F.col("support")), F.sum("support")).alias(f"w_{n}") for n in names],
         F.sum("support").alias("support"),
+        F.grouping("class").alias("total"),
     )
-    return (
-        per_class.unionByName(macro.select(F.lit("macro avg").alias("class"), *names, "support"))
-        .unionByName(weighted.select(F.lit("weighted avg").alias("class"), *names, "support"))
-    )
+    plain = F.struct(F.coalesce(F.col("class"), F.lit("macro avg")).alias("class"), *names, "support")
+    weighted = F.struct(F.lit("weighted avg").alias("class"), *[F.col(f"w_{n}").alias(n) for n in names], "support")
+    rows = F.when(F.col("total") == 1, F.array(plain, weighted)).otherwise(F.array(plain))
+    return rolled.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def roc_auc(df: DataFrame, score: str, actual: str) -> DataFrame:

@@ -8,6 +8,8 @@ sort key, so a group that holds most of the rows is still spread over many tasks
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -23,13 +25,18 @@ def join_small(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner"
     """Join a summary: broadcast when it has been counted as small, else an ordinary join.
 
     The summary is read once: at most SMALL_ROWS rows come to the driver; beyond that it is
-    kept as a checkpoint and joined by key.
+    kept as a checkpoint and joined by key. An absent key matches an absent key, so rows
+    without a group stay in the result.
     """
     rows = side.limit(SMALL_ROWS + 1).collect()
     if len(rows) <= SMALL_ROWS:
-        local = df.sparkSession.createDataFrame(rows, side.schema)
-        return df.join(F.broadcast(local), on, how)
-    return df.join(cut_lineage(side), on, how)
+        side = F.broadcast(df.sparkSession.createDataFrame(rows, side.schema))
+    else:
+        side = cut_lineage(side)
+    keys = {c: f"_on_{c}" for c in on}
+    side = side.withColumnsRenamed(keys)
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()))
+    return df.join(side, same, how).drop(*keys.values())
 
 
 def bucket_count(df: DataFrame) -> int:
