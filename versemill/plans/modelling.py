@@ -13,7 +13,7 @@ from versemill.models import experiments, linear
 from versemill.models import vectors as vec
 from versemill.operators import metrics, sampling, terms
 from versemill.plans.registry import query, table
-from versemill.plans.views import songs
+from versemill.plans.views import SONGS, songs
 from versemill.session import cut_lineage, spread, work_folder
 
 QUICK = ml.QUICK
@@ -171,7 +171,11 @@ def ablation_leave_one_out(spark, folder):
     return _ablation(spark, folder, leave_out=True)
 
 
-@query("model_save_load")
+@query(
+    "model_save_load",
+    """SELECT sum(n)::BIGINT AS n, 0::BIGINT AS n_different
+       FROM (SELECT round(0.2::DOUBLE * count(*)) AS n FROM embeddings GROUP BY label >= 5)""",
+)
 def model_save_load(spark, folder):
     """Predictions of a saved and loaded model: rows, and rows that differ (none)."""
     train, test, n = _parts(embedding_rows(spark, folder))
@@ -204,7 +208,11 @@ def pca(spark, folder):
     return rows.select("vec_id", F.posexplode("projected").alias("component", "v")).select("vec_id", "component", F.round("v", 6).alias("value"))
 
 
-@query("hybrid_vector")
+@query(
+    "hybrid_vector",
+    f"""WITH {SONGS} SELECT doc_id, (20 + 3 + (SELECT count(DISTINCT coalesce(genre, 'unknown')) + count(DISTINCT coalesce(emotion, 'unknown'))
+          FROM songs))::INTEGER AS dim FROM songs""",
+)
 def hybrid_vector(spark, folder):
     text_vectors = _embedded_documents(spark, folder, 20)
     rows = songs(spark, folder).select("doc_id", *NUMBERS, "genre", "emotion").join(text_vectors, "doc_id")

@@ -58,9 +58,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint in the shared folder, so lost executors cost no recomputation."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+    """The rows as a written table in the shared folder: a lost executor costs no recomputation,
+    and later plans know the size of the table and read only the columns they need."""
+    spark = df.sparkSession
+    path = work_folder(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df, *keys: str):
