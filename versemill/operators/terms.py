@@ -31,6 +31,16 @@ def preprocess(
     return text.drop_short(stem_tokens(tokens, language))
 
 
+def drop_empty(df: DataFrame, id_col: str, made: Column, name: str) -> DataFrame:
+    """Rows whose derived text is not empty.
+
+    A plain filter would move below the projection and make the text a second time; a
+    generated column is made once and filtered where it stands.
+    """
+    rows = df.select(id_col, F.explode_outer(F.array(made)).alias(name))
+    return rows.filter(F.length(name) > 0)
+
+
 def run_starts(items: Column) -> Column:
     """array<struct<term, start>> of the runs of equal items in a sorted array."""
     before = F.concat(F.array(F.lit(None).cast("string")), items)

@@ -91,7 +91,8 @@ def preprocess_text_spanish(spark, folder):
 
 @query("drop_empty_text", f"WITH {TOKENS} SELECT doc_id, array_to_string(words, ' ') AS processed FROM tokens WHERE len(words) > 0")
 def drop_empty_text(spark, folder):
-    return preprocess_text(spark, folder).filter(F.length("processed") > 0)
+    words = F.array_join(terms.preprocess(F.col("text")), " ")
+    return terms.drop_empty(_docs(spark, folder), "doc_id", words, "processed")
 
 
 @query("stem_vocabulary")

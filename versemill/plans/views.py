@@ -151,8 +151,8 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
             "model",
             F.round((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")), 6).alias("accuracy"),
             F.round(F.when(F.col("tp") > 0, 2.0 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))).otherwise(0.0), 6).alias("f1"),
-            # Two decimals make ties between models of one data set.
-            F.round((F.col("fp") + F.col("fn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")), 2).alias("error"),
+            # Whole percents make ties between models of one data set.
+            F.expr("(fp + fn) * 100 div (tp + fp + fn + tn) / 100.0D").alias("error"),
         )
     )
 
@@ -160,7 +160,7 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
 RUNS = """runs AS (
   SELECT dataset, model, round((tp + tn)::DOUBLE / (tp + fp + fn + tn), 6) AS accuracy,
     round(CASE WHEN tp > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0.0::DOUBLE END, 6) AS f1,
-    round((fp + fn)::DOUBLE / (tp + fp + fn + tn), 2) AS error
+    ((fp + fn) * 100 // (tp + fp + fn + tn)) / 100.0::DOUBLE AS error
   FROM (SELECT l_suppkey AS dataset, 'model_' || l_linenumber AS model,
       (count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'O'))::BIGINT AS tp,
       (count(*) FILTER (l_returnflag = 'R' AND l_linestatus <> 'O'))::BIGINT AS fp,
