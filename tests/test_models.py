@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from versemill.models import classifiers as ml
-from versemill.models import vectors
+from versemill.models import experiments, vectors
 from versemill.operators import encoding, metrics
 from versemill.plans import modelling
 
@@ -67,16 +67,16 @@ def test_inertia_falls_and_best_is_marked(spark, small):
 def test_documents_without_known_words_are_zero(spark):
     words = [(1, ["sun", "moon"]), (2, ["sun", "rare"]), (3, ["odd"]), (4, []), (5, ["moon", "sun"])]
     df = spark.createDataFrame(words, "id int, w array<string>")
-    out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4).collect()}
+    out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4, partitions=1).collect()}
     assert len(out) == 5 and not out[3].any() and not out[4].any()
     assert np.allclose(out[1], out[5]) and np.linalg.norm(out[2]) > 0
-    again = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4).collect()}
+    again = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4, partitions=1).collect()}
     assert np.allclose(out[1], again[1])
 
 
 def test_word_mean_is_over_known_words(spark):
     df = spark.createDataFrame([(1, ["sun"]), (2, ["sun", "rare", "other"])], "id int, w array<string>")
-    out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4).collect()}
+    out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4, partitions=1).collect()}
     assert np.allclose(out[1], out[2])
 
 
@@ -96,3 +96,17 @@ def test_too_many_dense_categories(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, c string")
     with pytest.raises(ValueError):
         encoding.dummies_align(df, df, "id", "c")
+
+
+def test_one_hot_vectors_of_unknown_values_are_zero(spark):
+    train = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b"), (4, None)], "id int, c string")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "x"), (4, None)], "id int, c string")
+    out = {r["id"]: r["v"].toArray().tolist() for r in experiments.one_hot_vectors(train, df, "id", "c", "v").collect()}
+    assert out == {1: [0.0, 1.0], 2: [1.0, 0.0], 3: [0.0, 0.0], 4: [0.0, 0.0]}
+
+
+def test_column_vectors_choose_a_form_per_column(spark):
+    rows = [(i, float(i), ["sun rise", "moon"][i % 2], f"Name {i % 4}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, x double, words string, name string")
+    out = experiments.column_vectors(df, df, "id", ["x"], ["words", "name"]).orderBy("id").collect()
+    assert out[39]["v_x"][0] == 1.0 and len(out[0]["v_words"]) == 4 and len(out[0]["v_name"]) == 4

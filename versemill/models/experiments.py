@@ -9,15 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import numpy as np
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, VectorAssembler
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versemill.models.classifiers import score
 from versemill.operators import encoding, sampling, terms
+from versemill.operators.ranking import join_small
 
 METRICS = ["accuracy", "precision", "recall", "f1"]
 RESULT = "feature_set string, model string, part string, metric string, value double"
@@ -108,6 +109,18 @@ def leakage_safe_folds(
     return out
 
 
+def one_hot_vectors(train: DataFrame, df: DataFrame, id_col: str, column: str, out: str) -> DataFrame:
+    """Sparse indicators of the categories of `train`, however many; others give all zeros.
+
+    The codes are a table joined by value, not a list of labels on the driver.
+    """
+    codes = encoding.ordinal_codes(train, id_col, column)
+    known = codes.withColumn("_code", F.col("code").cast("double")).drop("code")
+    encoder = OneHotEncoder(inputCols=["_code"], outputCols=[out], handleInvalid="keep").fit(known)
+    coded = join_small(df, known, [column], "left").na.fill(float(encoder.categorySizes[0]), ["_code"])
+    return encoder.transform(coded).drop("_code")
+
+
 def column_vectors(
     train: DataFrame, df: DataFrame, id_col: str, numeric: Iterable[str], texts: Iterable[str]
 ) -> DataFrame:
@@ -130,13 +143,7 @@ def column_vectors(
                 out = terms.tfidf_vectors(out, words, fitted, out=f"v_{column}")
                 break
         else:
-            known = Pipeline(
-                stages=[
-                    StringIndexer(inputCol=column, outputCol=f"i_{column}", handleInvalid="keep"),
-                    OneHotEncoder(inputCols=[f"i_{column}"], outputCols=[f"v_{column}"]),
-                ]
-            ).fit(train.na.fill("unknown", [column]))
-            out = known.transform(out.na.fill("unknown", [column])).drop(f"i_{column}")
+            out = one_hot_vectors(train, out, id_col, column, f"v_{column}")
     return out
 
 

@@ -150,7 +150,7 @@ TEXTS = ["emotion", "genre", "artist"]
 
 
 def _ablation(spark, folder, leave_out):
-    rows = _labelled_songs(spark, folder).select("doc_id", "label", "part", *NUMBERS, *TEXTS)
+    rows = cut_lineage(_labelled_songs(spark, folder).select("doc_id", "label", "part", *NUMBERS, *TEXTS))
     train = rows.filter("part = 'train'")
     vectors = cut_lineage(experiments.column_vectors(train, rows, "doc_id", NUMBERS, TEXTS))
     train, test, n = _parts(vectors)
