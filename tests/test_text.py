@@ -108,3 +108,16 @@ def test_parsing_edges(spark):
 def test_sigmoid_is_clipped(spark):
     low, high = column(spark, [-1e9, 1e9], sigmoid_clip, "double")
     assert 0 < low < 1e-200 and high == 1.0
+
+
+def test_task_functions_travel_without_the_package(tmp_path):
+    """What a task gets must load where the package cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(porter))
+    code = "import pickle; print(pickle.load(open('f.pkl', 'rb'))('songs'))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "song", done.stderr

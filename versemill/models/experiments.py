@@ -1,7 +1,7 @@
 """Experiments: cross-validation, grid search, comparison, ablation.
 
 The driver loops over models, folds and columns; every fit and score is a Spark job on a
-prepared table, which callers keep as a checkpoint.
+prepared table, which callers keep as a written table.
 """
 
 from __future__ import annotations

@@ -25,7 +25,7 @@ def join_small(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner"
     """Join a summary: broadcast when it has been counted as small, else an ordinary join.
 
     The summary is read once: at most SMALL_ROWS rows come to the driver; beyond that it is
-    kept as a checkpoint and joined by key. An absent key matches an absent key, so rows
+    kept as a written table and joined by key. An absent key matches an absent key, so rows
     without a group stay in the result.
     """
     rows = side.limit(SMALL_ROWS + 1).collect()
