@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import chat, mixing, quality, secrets, toxicity, warc
+from versemill.llm import chat, decontam, lines, lm, mixing, quality, secrets, setjoin, toxicity, warc
 from versemill.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,12 +27,40 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_latent_leaks")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, item_id) of every benchmark item found in a document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontam.with_leaks(docs, table(spark, folder, "benchmark"))
+    leaks = found.select("doc_id", F.explode("leaks").alias("leak"))
+    return leaks.select(
+        "doc_id", F.col("leak.item").alias("item_id"), F.col("leak.share").alias("lcs_share"), F.col("leak.answer").alias("answer_share")
+    )
+
+
 @query("op2_chat_repair")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn of `conversations` with its repair and its piece of the rendered text."""
     return chat.repair(table(spark, folder, "conversations"))
 
 
+@query("op3_fuzzy_lines")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the lines that stay."""
+    docs = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query("op4_deleted_interpolation")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 7) == 2
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), (~held_out).alias("flag"), "text")
+    scored = lm.interpolated_scores(docs)
+    return scored.select(
+        F.col("id").alias("doc_id"), (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query("op5_secret_scan")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, folder, "documents"))
@@ -85,6 +113,25 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query(
+    "op8_jaccard_join",
+    rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) g FROM d),
+e AS (SELECT doc_id, len(g) n, unnest(g) x FROM s),
+p AS (SELECT a.doc_id a, b.doc_id b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id u, doc_id v FROM s UNION SELECT r.u, l.b FROM r JOIN l ON r.v = l.a)
+SELECT doc_id, len(g)::BIGINT n_shingles, coalesce(c, doc_id) component_id FROM s LEFT JOIN (SELECT u, min(v) c FROM r GROUP BY u) ON u = doc_id
+""",
+)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    groups = setjoin.near_groups(table(spark, folder, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query(
     "op9_warc_captures",
     """
