@@ -140,11 +140,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     # The table of digests is read once a level; the texts are not.
     sized = cut_lineage(named)
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = thresholds(sized, targets(sizes)).withColumnRenamed("source", "_source")
+    plan = thresholds(sized, targets(sizes)).withColumnsRenamed({c: f"_{c}" for c in ("source", "whole", "with_edge", "upto")})
     plan = cut_lineage(plan)
     rows = kept.withColumns({"_digest": digest(id_col), "size": word_count(text)})
     joined = rows.join(plan, F.col(source).eqNullSafe(F.col("_source")))
-    under = (F.col("_digest") < F.col("upto")) | (F.col("with_edge") & (F.col("_digest") == F.col("upto")))
-    repeats = F.when(F.col("size") > 0, F.least(F.col("whole") + F.when(under, 1).otherwise(0), F.lit(MOST_REPEATS))).otherwise(0)
+    under = (F.col("_digest") < F.col("_upto")) | (F.col("_with_edge") & (F.col("_digest") == F.col("_upto")))
+    repeats = F.when(F.col("size") > 0, F.least(F.col("_whole") + F.when(under, 1).otherwise(0), F.lit(MOST_REPEATS))).otherwise(0)
     out = joined.withColumn("repeats", repeats.cast("long")).withColumn("taken", F.col("repeats") * F.col("size"))
     return out.select(*kept.columns, "size", "source_size", "target", "repeats", "taken")

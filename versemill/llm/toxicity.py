@@ -274,7 +274,8 @@ def _exact_batches(entries: frozenset[str]):
 
 def _cover(groups: list[tuple[int, frozenset[str], int]]) -> list[str]:
     """Entries by greedy cover: each must explain MIN_TOXIC more toxic documents than it costs
-    clean ones ten times over. Of equals the beginning wins, then the shorter, then the first."""
+    clean ones ten times over. Of equals a whole word wins, for it is matched with misspellings,
+    then the longer, then the last."""
     open_groups = groups
     chosen: list[str] = []
     while True:
@@ -282,7 +283,7 @@ def _cover(groups: list[tuple[int, frozenset[str], int]]) -> list[str]:
         for toxic, held, n in open_groups:
             for entry in held:
                 gain[entry] += n if toxic else -10 * n
-        best = max(gain, key=lambda e: (gain[e], e.endswith("*"), -len(e), e), default=None)
+        best = max(gain, key=lambda e: (gain[e], not e.endswith("*"), len(e), e), default=None)
         if best is None or gain[best] < MIN_TOXIC:
             return chosen
         chosen.append(best)
