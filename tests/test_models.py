@@ -8,15 +8,18 @@ from versemill.operators import encoding, metrics
 from versemill.plans import modelling
 
 
+QUICK = ml.Settings(iterations=50, tree_depth=5, trees=10, forest_depth=5, rounds=5, boost_depth=3)
+
+
 @pytest.fixture(scope="module")
 def rows(spark, small):
     return modelling.embedding_rows(spark, small).cache()
 
 
 @pytest.mark.parametrize("make", [
-    lambda n: ml.logistic_regression(n, settings=ml.QUICK),
-    lambda n: ml.linear_svm(n, settings=ml.QUICK),
-    lambda n: ml.random_forest(settings=ml.QUICK),
+    lambda n: ml.logistic_regression(n, settings=QUICK),
+    lambda n: ml.linear_svm(n, settings=QUICK),
+    lambda n: ml.random_forest(settings=QUICK),
 ])
 def test_fit_twice_gives_the_same(rows, make):
     n = rows.count()
@@ -31,7 +34,7 @@ def test_auc_floor(rows):
     signal = F.get("embedding", F.lit(0)) + F.get("embedding", F.lit(1)) - F.get("embedding", F.lit(2))
     marked = rows.withColumn("label", (signal > 0).cast("int"))
     train, test = marked.filter("part = 'train'"), marked.filter("part = 'test'")
-    predicted = ml.logistic_regression(train.count(), settings=ml.QUICK).fit(train).transform(test)
+    predicted = ml.logistic_regression(train.count(), settings=QUICK).fit(train).transform(test)
     scored = predicted.withColumn("score", vectors.vector_to_array("probability")[1])
     assert metrics.roc_auc(scored, "score", "label").head()["auc"] > 0.9
 
@@ -43,7 +46,9 @@ def test_saved_model_predicts_the_same(spark, small):
 
 def test_mlp_keeps_the_best_stage(rows):
     model = ml.train_mlp(rows, rows, [8], 64, steps=2, iterations=5)
-    assert model.layers == [64, 8, 2] if isinstance(model.layers, list) else True
+    assert model.getLayers() == [64, 8, 2]
+    stages = [ml.score(ml.train_mlp(rows, rows, [8], 64, steps=n, iterations=5).transform(rows))["f1"] for n in (1, 2)]
+    assert ml.score(model.transform(rows))["f1"] == max(stages)
 
 
 def test_projection_is_centred_and_orthogonal(spark, small):
@@ -74,6 +79,12 @@ def test_documents_without_known_words_are_zero(spark):
     assert np.allclose(out[1], again[1])
 
 
+def test_rare_words_count_as_often_as_they_occur(spark):
+    df = spark.createDataFrame([(1, ["sun"]), (2, ["sun", "rare", "rare"]), (3, ["sun", "sun"])], "id int, w array<string>")
+    out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4, min_count=3, partitions=1).collect()}
+    assert np.allclose(out[1], out[2]) and np.allclose(out[1], out[3]) and out[1].any()
+
+
 def test_word_mean_is_over_known_words(spark):
     df = spark.createDataFrame([(1, ["sun"]), (2, ["sun", "rare", "other"])], "id int, w array<string>")
     out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4, partitions=1).collect()}
@@ -91,11 +102,18 @@ def test_mean_pool_of_an_empty_mask(spark):
     assert [r["value"] for r in encoding.mean_pool(df, "g", "v", F.col("m")).collect()] == [0.0, 0.0]
 
 
-def test_too_many_dense_categories(spark, monkeypatch):
-    monkeypatch.setattr(encoding, "DENSE_COLUMNS", 1)
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, c string")
-    with pytest.raises(ValueError):
-        encoding.dummies_align(df, df, "id", "c")
+def test_many_dense_categories(spark):
+    df = spark.createDataFrame([(i, f"c{i:05d}") for i in range(1500)] + [(2000, None)], "id int, c string")
+    out = {r["id"]: r["indicators"] for r in encoding.dummies_align(df.filter("id < 1400"), df, "id", "c").collect()}
+    assert all(out[i].index(1) == i and sum(out[i]) == 1 and len(out[i]) == 1400 for i in range(0, 1400, 99))
+    assert sum(out[1450]) == 0 and sum(out[2000]) == 0
+
+
+def test_penalty_follows_the_fitted_rows(rows):
+    """On a part of the rows C = 1 is the penalty of that part."""
+    part = rows.filter("vec_id % 3 = 0")
+    model = experiments.fit_on(ml.logistic_regression, part)
+    assert model.getRegParam() == 1 / part.count()
 
 
 def test_one_hot_vectors_of_unknown_values_are_zero(spark):

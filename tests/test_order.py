@@ -35,12 +35,18 @@ def test_exact_percentiles(skewed):
         assert got[name] == pytest.approx(list(np.percentile(frame[name], [100 * s for s in shares])))
 
 
-def test_summary_beyond_the_limit_is_joined(skewed, monkeypatch):
-    monkeypatch.setattr(ranking, "SMALL_ROWS", 3)
+def test_numbers_of_ids(skewed):
     got = [r["rn"] for r in ranking.number_by_id(skewed, "id").orderBy("id").collect()]
     assert got == list(range(1, 3001))
 
 
+def test_numbers_along_texts(spark):
+    values = [f"é{i % 7}{i:04d}" for i in range(500)] + [None]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    got = {r["v"]: r["rn"] for r in ranking.number_sorted(df, "v").collect()}
+    assert got == {v: i for i, v in enumerate([*sorted(values[:-1]), None], 1)}
+
+
 @pytest.mark.parametrize("n", [0, 1, 100, 2999, 3000, 5000])
 def test_sample_size(skewed, n):
     got = sampling.sample_n(skewed, "id", n, seed=1)
@@ -91,10 +97,9 @@ def test_pack_batches_limits(spark):
     assert groups.count().max() <= 20 and groups.sum().max() < 300 + 60
 
 
-def test_drop_list_beyond_the_rows_is_ignored(spark):
+def test_ids_listed_beyond_the_rows_do_not_matter(spark):
     rows = spark.range(5)
     drop = spark.createDataFrame([(1,), (9,)], "id bigint")
-    assert cleaning.drop_listed_rows(rows, drop, "id", skip_if_beyond=True).count() == 5
     kept = cleaning.drop_listed_rows(rows, drop, "id").orderBy("id").collect()
     assert [(r["id"], r["row_id"]) for r in kept] == [(0, 0), (2, 1), (3, 2), (4, 3)]
 

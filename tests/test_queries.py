@@ -5,7 +5,11 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import check
 
-SLOW = {"grid_search", "elbow_sweep", "best_k", "leakage_safe_fit", "ablation_leave_one_out", "compare_models"}
+# Minutes each with the full model sizes; `compare.py` runs them as well.
+SLOW = {
+    "grid_search", "elbow_sweep", "best_k", "leakage_safe_fit", "ablation_single", "ablation_leave_one_out",
+    "compare_models", "cross_validate_refit", "gradient_boosting", "mlp",
+}
 QUERIES, SQL = queries(), oracle_sql()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator
@@ -35,9 +36,6 @@ class Settings:
     seed: int = 42
 
 
-QUICK = Settings(iterations=50, tree_depth=5, trees=10, forest_depth=5, rounds=5, boost_depth=3)
-
-
 def with_vector(df: DataFrame, vec_col: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(vec_col).cast("array<double>")))
 
@@ -90,21 +88,26 @@ def gradient_boosting(
     )
 
 
+#: Hidden layers of the nets that are compared.
+NETS = {"1": [32], "5": [512, 256, 128, 64], "6": [1024, 512, 256, 128, 64, 32]}
+
+
 def naive_bayes(label="label", features="features", counts: bool = False) -> NaiveBayes:
     """Multinomial on non-negative weights (TF-IDF), else Gaussian."""
     return NaiveBayes(modelType="multinomial" if counts else "gaussian", smoothing=1.0, **_columns(label, features))
 
 
 def classifiers(
-    n: int, label="label", features="features", counts: bool = False, settings: Settings = Settings()
-) -> dict[str, Estimator]:
+    label="label", features="features", counts: bool = False, settings: Settings = Settings()
+) -> dict[str, Callable[[int], Estimator]]:
+    """Name → estimator for so many fitted rows (the penalties depend on their number)."""
     return {
-        "logistic_regression": logistic_regression(n, label, features, settings=settings),
-        "linear_svm": linear_svm(n, label, features, settings=settings),
-        "decision_tree": decision_tree(label, features, settings=settings),
-        "random_forest": random_forest(label, features, settings=settings),
-        "gradient_boosting": gradient_boosting(label, features, settings=settings),
-        "naive_bayes": naive_bayes(label, features, counts),
+        "logistic_regression": lambda n: logistic_regression(n, label, features, settings=settings),
+        "linear_svm": lambda n: linear_svm(n, label, features, settings=settings),
+        "decision_tree": lambda n: decision_tree(label, features, settings=settings),
+        "random_forest": lambda n: random_forest(label, features, settings=settings),
+        "gradient_boosting": lambda n: gradient_boosting(label, features, settings=settings),
+        "naive_bayes": lambda n: naive_bayes(label, features, counts),
     }
 
 

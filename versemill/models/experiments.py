@@ -7,12 +7,12 @@ prepared table, which callers keep as a written table.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import Estimator
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, VectorAssembler
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ METRICS = ["accuracy", "precision", "recall", "f1"]
 RESULT = "feature_set string, model string, part string, metric string, value double"
 
 
-def _rows(feature_set: str, model: str, part: str, values: dict) -> list[tuple]:
+def metric_rows(feature_set: str, model: str, part: str, values: dict) -> list[tuple]:
     return [(feature_set, model, part, m, float(values[m])) for m in METRICS]
 
 
@@ -33,53 +33,71 @@ def result_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, RESULT)
 
 
-def f1_evaluator(label: str) -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(
-        labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0
-    )
+def fit_on(make: Callable[[int], Estimator], train: DataFrame):
+    """Fit the estimator that `make` gives for the number of rows that are fitted."""
+    return make(train.count()).fit(train)
 
 
 def compare_models(
-    models: dict[str, Estimator], train: DataFrame, test: DataFrame, label: str, feature_set: str
+    models: dict[str, Callable[[int], Estimator]], train: DataFrame, test: DataFrame, label: str, feature_set: str
 ) -> list[tuple]:
     """Fit each model on the training part and score it on the test part."""
     out = []
-    for name, estimator in models.items():
-        out += _rows(feature_set, name, "test", score(estimator.fit(train).transform(test), label))
+    for name, make in models.items():
+        out += metric_rows(feature_set, name, "test", score(fit_on(make, train).transform(test), label))
     return out
 
 
 def cross_validate_refit(
-    models: dict[str, Estimator], train: DataFrame, test: DataFrame, label: str, fold: str, k: int, feature_set: str
+    models: dict[str, Callable[[int], Estimator]], train: DataFrame, test: DataFrame, label: str, fold: str, k: int, feature_set: str
 ) -> list[tuple]:
     """Per model: mean and population deviation over folds, then a fit on all training rows."""
     out = []
-    for name, estimator in models.items():
+    for name, make in models.items():
         seen = []
         for i in range(k):
-            model = estimator.fit(train.filter(F.col(fold) != i))
+            model = fit_on(make, train.filter(F.col(fold) != i))
             seen.append(score(model.transform(train.filter(F.col(fold) == i)), label))
         for part, summary in (("cv_mean", np.mean), ("cv_std", np.std)):
-            out += _rows(feature_set, name, part, {m: round(float(summary([s[m] for s in seen])), 4) for m in METRICS})
-        out += _rows(feature_set, name, "test", score(estimator.fit(train).transform(test), label))
+            out += metric_rows(feature_set, name, part, {m: round(float(summary([s[m] for s in seen])), 4) for m in METRICS})
+        out += metric_rows(feature_set, name, "test", score(fit_on(make, train).transform(test), label))
     return out
 
 
 def grid_search(
-    searches: dict[str, tuple[Estimator, list[dict]]], train: DataFrame, label: str, fold: str, k: int
+    searches: dict[str, tuple[Callable[..., Estimator], dict[str, list]]],
+    train: DataFrame,
+    test: DataFrame,
+    label: str,
+    fold: str,
+    k: int,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """(model, params, f1, best): mean F1 over the given folds for each parameter set."""
+    """(model, params, f1, best, test_f1): mean F1 over the folds for each parameter set; the best
+    set of each model is fitted on all training rows and scored on the test rows.
+
+    A search is a function of (rows fitted, parameters by name) and the values of each parameter.
+    """
+    sizes = {r[fold]: r["count"] for r in train.groupBy(fold).count().collect()}
+    total = sum(sizes.values())
+
+    def fold_score(job) -> float:
+        make, params, i = job
+        model = make(total - sizes.get(i, 0), **params).fit(train.filter(F.col(fold) != i))
+        return score(model.transform(train.filter(F.col(fold) == i)), label)["f1"]
+
     rows = []
-    for name, (estimator, grid) in searches.items():
-        validator = CrossValidator(
-            estimator=estimator, estimatorParamMaps=grid, evaluator=f1_evaluator(label), numFolds=k, foldCol=fold, parallelism=4
-        )
-        means = validator.fit(train).avgMetrics
-        best = max(range(len(grid)), key=lambda i: means[i])
-        for i, params in enumerate(grid):
-            shown = ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))
-            rows.append((name, shown, float(means[i]), i == best))
-    return train.sparkSession.createDataFrame(rows, "model string, params string, f1 double, best boolean")
+    for name, (make, grid) in searches.items():
+        sets = [dict(zip(grid, values)) for values in product(*grid.values())]
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(fold_score, [(make, params, i) for params in sets for i in range(k)], chunksize=1)
+        means = [float(np.mean(scores[i * k : (i + 1) * k])) for i in range(len(sets))]
+        best = max(range(len(sets)), key=lambda i: means[i])
+        tested = score(make(total, **sets[best]).fit(train).transform(test), label)["f1"]
+        for i, params in enumerate(sets):
+            shown = ", ".join(f"{p}={v}" for p, v in sorted(params.items()))
+            rows.append((name, shown, means[i], i == best, float(tested) if i == best else None))
+    return train.sparkSession.createDataFrame(rows, "model string, params string, f1 double, best boolean, test_f1 double")
 
 
 def leakage_safe_folds(
@@ -104,8 +122,8 @@ def leakage_safe_folds(
             terms.tfidf_vectors(part, words(), fitted) for part in (train, balanced, valid)
         )
         scaler = MaxAbsScaler(inputCol="tfidf", outputCol="features").fit(whole)
-        model = estimator(n).fit(scaler.transform(kept))
-        out += _rows("tfidf", "undersampled", f"fold_{i}", score(model.transform(scaler.transform(held_out)), label))
+        model = fit_on(estimator, scaler.transform(kept))
+        out += metric_rows("tfidf", "undersampled", f"fold_{i}", score(model.transform(scaler.transform(held_out)), label))
     return out
 
 
@@ -148,7 +166,7 @@ def column_vectors(
 
 
 def ablation(
-    train: DataFrame, test: DataFrame, columns: list[str], models: dict[str, Estimator], label: str, leave_out: bool
+    train: DataFrame, test: DataFrame, columns: list[str], models: dict[str, Callable[[int], Estimator]], label: str, leave_out: bool
 ) -> list[tuple]:
     """Each column alone, or all columns but one; the feature set is named by that column."""
     out = []

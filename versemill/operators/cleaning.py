@@ -19,18 +19,9 @@ def fill_unknown(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.na.fill("unknown", subset=columns)
 
 
-def drop_listed_rows(
-    df: DataFrame, drop: DataFrame, id_col: str, skip_if_beyond: bool = False
-) -> DataFrame:
-    """Rows whose id is not listed, numbered again from 0 in `row_id`.
-
-    With `skip_if_beyond` the list is ignored when its last id is above the row count: a
-    trial run on the first rows of a table keeps all of them.
-    """
-    kept = df
-    beyond = skip_if_beyond and (drop.agg(F.max(id_col)).head()[0] or 0) > df.count()
-    if not beyond:
-        kept = df.join(drop.select(id_col), id_col, "left_anti")
+def drop_listed_rows(df: DataFrame, drop: DataFrame, id_col: str) -> DataFrame:
+    """Rows whose id is not listed, numbered again from 0 in `row_id`."""
+    kept = df.join(drop.select(id_col), id_col, "left_anti")
     numbered = number_by_id(kept, id_col, "row_id")
     return numbered.withColumn("row_id", F.col("row_id") - 1)
 

@@ -33,21 +33,47 @@ def rank_summary(ranked: DataFrame, model: str) -> DataFrame:
 
 
 def chi2_tail(x: float, degrees: int) -> float:
-    """Upper tail of the chi-squared distribution (the regularised gamma function)."""
+    """Upper tail of the chi-squared distribution (the regularised gamma functions).
+
+    Below the mean the series of the lower tail is summed until it stands still; above it the
+    continued fraction of the upper tail converges in a few steps (Lentz's method).
+    """
     a, z = degrees / 2, x / 2
     if z <= 0:
         return 1.0
-    term = total = 1 / a
-    for k in range(1, 1000):
-        term *= z / (a + k)
-        total += term
-        if term < total * 1e-16:
-            break
-    return max(0.0, 1 - total * math.exp(a * math.log(z) - z - math.lgamma(a)))
+    front = math.exp(a * math.log(z) - z - math.lgamma(a))
+    if z < a + 1:
+        term = total = 1 / a
+        k = 0
+        while term > total * 1e-17:
+            k += 1
+            term *= z / (a + k)
+            total += term
+        return max(0.0, 1 - total * front)
+    tiny = 1e-300
+    b = z + 1 - a
+    c, d = 1 / tiny, 1 / b
+    h, step, k = d, 2.0, 0
+    while abs(step - 1) > 1e-16:
+        k += 1
+        part = -k * (k - a)
+        b += 2
+        d = 1 / (part * d + b or tiny)
+        c = b + part / c or tiny
+        step = d * c
+        h *= step
+    return front * h
 
 
 def friedman(df: DataFrame, dataset: str, model: str, value: str) -> DataFrame:
-    """Friedman chi-squared with tie correction, and its p value: one row."""
+    """Friedman chi-squared with tie correction, and its p value: one row.
+
+    Only data sets with all models are ranked; the others are counted in `n_incomplete`.
+    """
+    sizes = df.groupBy(F.col(dataset).alias("_d")).agg(F.countDistinct(model).alias("_k"))
+    seen = df.agg(F.countDistinct(model).alias("k"), F.countDistinct(dataset).alias("n")).head()
+    whole = sizes.filter(F.col("_k") == (seen["k"] or 0))
+    df = df.join(whole, F.col(dataset) == F.col("_d"), "left_semi")
     order = Window.partitionBy(dataset).orderBy(value)
     ties = Window.partitionBy(dataset, value)
     same = F.count("*").over(ties)
@@ -62,13 +88,13 @@ def friedman(df: DataFrame, dataset: str, model: str, value: str) -> DataFrame:
         F.count("*").alias("k"), F.max("n").alias("n"),
         F.sum(F.col("sum") * F.col("sum")).alias("squares"), F.sum("tie").alias("ties"),
     ).head()
-    k, n = row["k"], row["n"]
+    k, n = row["k"] or 0, row["n"] or 0
     # With one model, or with ties everywhere, there is nothing to tell apart.
     correction = 1 - row["ties"] / (n * k * (k * k - 1)) if k > 1 else 0.0
     statistic = (12 / (n * k * (k + 1)) * row["squares"] - 3 * n * (k + 1)) / correction if correction else 0.0
     return df.sparkSession.createDataFrame(
-        [(n, k, statistic, chi2_tail(statistic, k - 1))],
-        "n_datasets bigint, n_models bigint, statistic double, p_value double",
+        [(n, seen["n"] - n, k, statistic, chi2_tail(statistic, max(1, k - 1)))],
+        "n_datasets bigint, n_incomplete bigint, n_models bigint, statistic double, p_value double",
     )
 
 
@@ -87,19 +113,25 @@ def signed_ranks(df: DataFrame, dataset: str, model: str, value: str) -> DataFra
     )
     gaps = pairs.select(
         F.col("a.m").alias("first"), F.col("b.m").alias("second"), F.round(F.col("a.v") - F.col("b.v"), 9).alias("gap")
-    ).filter("gap <> 0")
-    counted = gaps.groupBy("first", "second", F.abs("gap").alias("size")).agg(
+    )
+    every = gaps.select(F.col("first").alias("_f"), F.col("second").alias("_s")).distinct()
+    counted = gaps.filter("gap <> 0").groupBy("first", "second", F.abs("gap").alias("size")).agg(
         F.count("*").alias("n"), F.sum((F.col("gap") > 0).cast("bigint")).alias("n_plus")
     )
     ranked = running_totals(value_buckets(counted, "size"), ["first", "second"], ["size"], {"below": F.col("n")})
     rank = F.col("below") + (F.col("n") + 1) / 2
     n = F.col("n")
-    return ranked.groupBy("first", "second").agg(
+    sums = ranked.groupBy("first", "second").agg(
         F.sum("n").alias("n"),
         F.sum(rank * F.col("n_plus")).alias("plus"),
         F.sum(rank * (n - F.col("n_plus"))).alias("minus"),
         F.sum(n * n * n - n).alias("ties"),
     )
+    # Two models that never differ are a pair as well, with nothing to rank.
+    joined = every.join(sums, (F.col("first") == F.col("_f")) & (F.col("second") == F.col("_s")), "left")
+    return joined.select(
+        F.col("_f").alias("first"), F.col("_s").alias("second"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "plus", "minus", "ties")]
+    )
 
 
 def wilcoxon_holm(df: DataFrame, dataset: str, model: str, value: str, alpha: float = 0.05) -> DataFrame:
@@ -110,9 +142,9 @@ def wilcoxon_holm(df: DataFrame, dataset: str, model: str, value: str, alpha: fl
         n, statistic = r["n"], min(r["plus"], r["minus"])
         spread = math.sqrt((n * (n + 1) * (2 * n + 1) - r["ties"] / 2) / 24)
         z = (statistic - n * (n + 1) / 4) / spread if spread else 0.0
-        tested.append((math.erfc(abs(z) / math.sqrt(2)), r["first"], r["second"], n, statistic))
+        tested.append((-round(abs(z), 9), r["first"], r["second"], n, float(statistic), math.erfc(abs(z) / math.sqrt(2))))
     out, rejecting = [], True
-    for place, (p, first, second, n, statistic) in enumerate(sorted(tested)):
+    for place, (_, first, second, n, statistic, p) in enumerate(sorted(tested)):
         rejecting = rejecting and p <= alpha / (len(tested) - place)
         out.append((first, second, n, statistic, p, place + 1, rejecting))
     return df.sparkSession.createDataFrame(

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from versemill.functions.scalars import hash_int
-from versemill.operators.ranking import join_small, number_by_id
-
-DENSE_COLUMNS = 1_000
+from versemill.operators.ranking import join_small, number_by_id, number_sorted
+from versemill.session import cut_lineage
 
 
 def feature_names(columns: list[str]) -> Column:
@@ -29,21 +28,22 @@ def one_hot(train: DataFrame, rows: DataFrame, id_col: str, columns: list[str])
     return held.select(id_col, "feature", F.lit(1.0).alias("value"))
 
 
-def category_flags(train: DataFrame, column: str) -> Column:
-    """0/1 array over the sorted categories that `column` has in `train`.
+def with_flags(train: DataFrame, rows: DataFrame, column: str, out: str) -> DataFrame:
+    """`rows` with a 0/1 array over the sorted categories that `column` has in `train`.
 
-    For many categories a dense array is the wrong form: then use `one_hot`.
+    The codes are a table joined by value, however many; the array has a place for each.
     """
-    found = train.select(F.col(column).alias("c")).filter("c IS NOT NULL").distinct()
-    names = sorted(r["c"] for r in found.limit(DENSE_COLUMNS + 1).collect())
-    if len(names) > DENSE_COLUMNS:
-        raise ValueError(f"more than {DENSE_COLUMNS} categories in {column}: use one_hot")
-    return F.array(*[F.coalesce((F.col(column) == n).cast("int"), F.lit(0)) for n in names])
+    found = train.select(F.col(column).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    codes = cut_lineage(number_sorted(found, column, "_code"))
+    places = F.sequence(F.lit(1), F.lit(codes.count()).cast("long")) if not codes.isEmpty() else F.array().cast("array<bigint>")
+    coded = join_small(rows, codes, [column], "left")
+    flags = F.transform(places, lambda i: F.coalesce((i == F.col("_code")).cast("int"), F.lit(0)))
+    return coded.withColumn(out, flags).drop("_code")
 
 
 def dummies_align(train: DataFrame, rows: DataFrame, id_col: str, column: str) -> DataFrame:
     """(id, indicators) of `rows` with exactly the categories of `train`."""
-    return rows.select(id_col, category_flags(train, column).alias("indicators"))
+    return with_flags(train, rows, column, "indicators").select(id_col, "indicators")
 
 
 def feature_hash(df: DataFrame, id_col: str, columns: list[str], buckets: int = 2048) -> DataFrame:

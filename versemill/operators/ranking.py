@@ -17,22 +17,14 @@ from pyspark.sql import functions as F
 
 from versemill.session import cut_lineage
 
-SMALL_ROWS = 100_000
 HASH_DIGITS = 3
 
 
 def join_small(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join a summary: broadcast when it has been counted as small, else an ordinary join.
+    """Join a summary by key; adaptive execution broadcasts it if its measured bytes allow.
 
-    The summary is read once: at most SMALL_ROWS rows come to the driver; beyond that it is
-    kept as a written table and joined by key. An absent key matches an absent key, so rows
-    without a group stay in the result.
+    An absent key matches an absent key, so rows without a group stay in the result.
     """
-    rows = side.limit(SMALL_ROWS + 1).collect()
-    if len(rows) <= SMALL_ROWS:
-        side = F.broadcast(df.sparkSession.createDataFrame(rows, side.schema))
-    else:
-        side = cut_lineage(side)
     keys = {c: f"_on_{c}" for c in on}
     side = side.withColumnsRenamed(keys)
     same = reduce(and_, (F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()))
@@ -41,7 +33,7 @@ def join_small(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner"
 
 def bucket_count(df: DataFrame) -> int:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(4096, 2 * partitions))
+    return max(16, 2 * partitions)
 
 
 def value_buckets(df: DataFrame, column: str, out: str = "_bucket") -> DataFrame:
@@ -167,6 +159,22 @@ def number_by_id(df: DataFrame, id_col: str, out: str = "rn") -> DataFrame:
     return row_numbers(value_buckets(df, id_col), [], [id_col], out)
 
 
+def number_sorted(df: DataFrame, column: str, out: str = "rn") -> DataFrame:
+    """1, 2, 3 … along `column`, which has one row a value of any type; absent values come last.
+
+    Rows are put into ranges of the column and numbered there; the ranges' row counts (one row a
+    partition) give the offsets.
+    """
+    order = F.col(column).asc_nulls_last()
+    ranged = cut_lineage(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(order)
+    numbered = ranged.join(offsets, F.col("_part") == F.col("_of"))
+    return numbered.withColumn(out, F.col("_before") + F.row_number().over(inside)).drop("_part", "_of", "_before")
+
+
 def take_first(
     df: DataFrame,
     groups: list[str],

@@ -158,7 +158,7 @@ def _sql_counts(name: str, texts: list[str], numbers: list[str]) -> str:
 
 _CUSTOMER = _sql_counts("customer", ["c_name", "c_mktsegment"], ["c_custkey", "c_nationkey", "c_acctbal"])
 _ORDERS = _sql_counts(
-    "orders", ["o_orderstatus", "o_orderpriority"], ["o_orderkey", "o_custkey", "o_totalprice"]
+    "orders", ["o_orderstatus", "o_orderpriority", "o_orderdate"], ["o_orderkey", "o_custkey", "o_totalprice"]
 )
 
 
@@ -169,7 +169,7 @@ _ORDERS = _sql_counts(
 )
 def column_roles(spark, folder):
     both = [cleaning.column_roles(table(spark, folder, "customer"), 100)]
-    both.append(cleaning.column_roles(table(spark, folder, "orders").drop("o_orderdate"), 100))
+    both.append(cleaning.column_roles(table(spark, folder, "orders"), 100))
     return both[0].unionByName(both[1])
 
 

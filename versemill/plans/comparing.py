@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from versemill.operators import comparisons
@@ -47,11 +49,13 @@ def rank_table(spark, folder):
 
 @query(
     "friedman",
-    f"""WITH {RUNS}, r AS (SELECT model, rank() OVER (PARTITION BY dataset ORDER BY error) + (count(*) OVER (PARTITION BY dataset, error) - 1) / 2 AS rk,
-          count(*) OVER (PARTITION BY dataset, error) AS t FROM runs),
+    f"""WITH {RUNS}, complete AS (SELECT dataset FROM runs GROUP BY dataset HAVING count(DISTINCT model) = (SELECT count(DISTINCT model) FROM runs)),
+        w AS (SELECT * FROM runs WHERE dataset IN (SELECT dataset FROM complete)),
+        r AS (SELECT model, rank() OVER (PARTITION BY dataset ORDER BY error) + (count(*) OVER (PARTITION BY dataset, error) - 1) / 2 AS rk,
+          count(*) OVER (PARTITION BY dataset, error) AS t FROM w),
         m AS (SELECT model, sum(rk) AS s, sum(t * t - 1) AS tie, count(*) AS n FROM r GROUP BY model),
         a AS (SELECT count(*) AS k, max(n) AS n, sum(s * s) AS sq, sum(tie) AS ties FROM m)
-        SELECT n AS n_datasets, k AS n_models,
+        SELECT n AS n_datasets, (SELECT count(DISTINCT dataset) FROM runs) - n AS n_incomplete, k AS n_models,
           round((12 / (n * k * (k + 1)) * sq - 3 * n * (k + 1)) / (1 - ties / (n * k * (k * k - 1))), 6) AS statistic FROM a""",
 )
 def friedman(spark, folder):
@@ -59,20 +63,34 @@ def friedman(spark, folder):
     return result.drop("p_value").withColumn("statistic", F.round("statistic", 6))
 
 
-@query(
-    "wilcoxon_holm",
-    f"""WITH {RUNS}, d AS (SELECT a.model AS first, b.model AS second, round(a.error - b.error, 9) AS gap
-          FROM runs a JOIN runs b ON a.dataset = b.dataset AND a.model < b.model WHERE round(a.error - b.error, 9) <> 0),
-        r AS (SELECT first, second, gap, rank() OVER (PARTITION BY first, second ORDER BY abs(gap))
-          + (count(*) OVER (PARTITION BY first, second, abs(gap)) - 1) / 2 AS rk FROM d)
-        SELECT first, second, count(*) AS n, round(least(coalesce(sum(rk) FILTER (gap > 0), 0), coalesce(sum(rk) FILTER (gap < 0), 0)), 6) AS statistic
-        FROM r GROUP BY first, second""",
-)
+_PAIRS = f"""{RUNS}, d AS (SELECT a.model AS first, b.model AS second, round(a.error - b.error, 9) AS gap
+      FROM runs a JOIN runs b ON a.dataset = b.dataset AND a.model < b.model),
+    r AS (SELECT first, second, gap, rank() OVER (PARTITION BY first, second ORDER BY abs(gap))
+      + (count(*) OVER (PARTITION BY first, second, abs(gap)) - 1) / 2 AS rk, count(*) OVER (PARTITION BY first, second, abs(gap)) AS t
+      FROM d WHERE gap <> 0),
+    s AS (SELECT first, second, count(*) AS n, least(coalesce(sum(rk) FILTER (gap > 0), 0), coalesce(sum(rk) FILTER (gap < 0), 0)) AS low,
+      sum(t * t - 1) AS ties FROM r GROUP BY first, second),
+    p AS (SELECT first, second, coalesce(n, 0) AS n, coalesce(low, 0)::DOUBLE AS low, coalesce(ties, 0) AS ties
+      FROM (SELECT DISTINCT first, second FROM d) LEFT JOIN s USING (first, second))"""
+#: |z| at which a two-sided test at 0.05 / j rejects, for Holm's j-th last pair.
+_CRITICAL = ", ".join(f"({j}, {NormalDist().inv_cdf(1 - 0.05 / (2 * j))!r})" for j in range(1, 401))
+
+
+@query("wilcoxon_holm", f"WITH {_PAIRS} SELECT first, second, n, round(low, 6) AS statistic FROM p")
 def wilcoxon_holm(spark, folder):
     result = comparisons.wilcoxon_holm(_errors(spark, folder), "dataset", "model", "error")
     return result.select("first", "second", "n", F.round("statistic", 6).alias("statistic"))
 
 
-@query("wilcoxon_holm_decisions")
+@query(
+    "wilcoxon_holm_decisions",
+    f"""WITH {_PAIRS}, c(j, z) AS (VALUES {_CRITICAL}),
+        v AS (SELECT *, sqrt((n * (n + 1) * (2 * n + 1) - ties / 2) / 24) AS spread FROM p),
+        z AS (SELECT first, second, CASE WHEN spread > 0 THEN round(abs((low - n * (n + 1) / 4) / spread), 9) ELSE 0 END AS z FROM v),
+        o AS (SELECT *, row_number() OVER (ORDER BY z DESC, first, second) AS place, count(*) OVER () AS m FROM z)
+        SELECT first, second, place::INTEGER AS holm_order, bool_and(o.z >= c.z) OVER (ORDER BY place) AS rejected
+        FROM o JOIN c ON c.j = m - place + 1""",
+)
 def wilcoxon_holm_decisions(spark, folder):
-    return comparisons.wilcoxon_holm(_errors(spark, folder), "dataset", "model", "error")
+    result = comparisons.wilcoxon_holm(_errors(spark, folder), "dataset", "model", "error")
+    return result.select("first", "second", "holm_order", "rejected")

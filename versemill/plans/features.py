@@ -69,14 +69,6 @@ def feature_hash(spark, folder):
     return encoding.feature_hash(table(spark, folder, "orders"), "o_orderkey", ["o_orderstatus", "o_orderpriority", "o_custkey"])
 
 
-@query("feature_hash_ml")
-def feature_hash_ml(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_custkey").cast("string"))
-    hasher = FeatureHasher(inputCols=["o_orderstatus", "o_orderpriority", "o_custkey"], outputCol="features", numFeatures=2048)
-    hashed = hasher.transform(orders)
-    return hashed.select("o_orderkey", F.col("features").cast("string").alias("features"))
-
-
 @query(
     "ordinal_encode",
     """WITH f AS (SELECT event_type, min(event_id) AS first FROM events GROUP BY event_type),
@@ -175,10 +167,11 @@ def _nb_fit(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     split = cut_lineage(split_stratified(spark, folder))
     words = terms.preprocess(F.col("text"))
-    labelled = spread(docs, "doc_id").join(split, "doc_id")
+    # The label goes along as part of the key, so term rows are never joined by document.
+    labelled = spread(docs, "doc_id").join(split, "doc_id").withColumn("key", F.struct("doc_id", "toxic"))
     train, test = (labelled.filter(F.col("part") == p) for p in ("train", "test"))
     priors, n_train = bayes.class_priors(split.filter("part = 'train'"), "toxic")
-    counts = terms.term_counts(train, "doc_id", words).join(split.select("doc_id", "toxic"), "doc_id")
+    counts = terms.term_counts(train, "key", words).withColumn("toxic", F.col("key.toxic"))
     fitted = bayes.multinomial_fit(counts, "toxic", list(priors), n_train)
     return fitted, priors, test, terms.term_counts(test, "doc_id", words)
 

@@ -1,10 +1,9 @@
-"""Fits on whole tables with small model sizes; the full sizes are the defaults of Settings."""
+"""Fits on whole tables with the full model sizes."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from versemill.functions.parsing import label_lower_yes
@@ -16,8 +15,7 @@ from versemill.plans.registry import query, table
 from versemill.plans.views import SONGS, songs
 from versemill.session import cut_lineage, spread, work_folder
 
-QUICK = ml.QUICK
-FOLDS = 3
+FOLDS = 5
 
 
 def embedding_rows(spark, folder):
@@ -45,7 +43,7 @@ def _tested(spark, folder, make):
 @query("logistic_regression")
 def logistic_regression(spark, folder):
     train, test, n = _parts(embedding_rows(spark, folder))
-    predicted = ml.logistic_regression(n, settings=QUICK).fit(train).transform(test)
+    predicted = ml.logistic_regression(n).fit(train).transform(test)
     scored = predicted.withColumn("score", vec.vector_to_array("probability")[1])
     auc = metrics.roc_auc(scored, "score", "label").head()["auc"]
     return metrics.binary_metrics(scored, "label", "prediction").withColumn("auc", F.lit(auc))
@@ -53,78 +51,87 @@ def logistic_regression(spark, folder):
 
 @query("logistic_regression_l1")
 def logistic_regression_l1(spark, folder):
-    return _tested(spark, folder, lambda n: ml.logistic_regression(n, penalty="l1", settings=QUICK))
+    return _tested(spark, folder, lambda n: ml.logistic_regression(n, penalty="l1"))
 
 
 @query("linear_svm")
 def linear_svm(spark, folder):
-    return _tested(spark, folder, lambda n: ml.linear_svm(n, settings=QUICK))
+    return _tested(spark, folder, lambda n: ml.linear_svm(n))
 
 
 @query("decision_tree")
 def decision_tree(spark, folder):
-    return _tested(spark, folder, lambda n: ml.decision_tree(settings=QUICK))
+    return _tested(spark, folder, lambda n: ml.decision_tree())
 
 
 @query("random_forest")
 def random_forest(spark, folder):
-    return _tested(spark, folder, lambda n: ml.random_forest(settings=QUICK))
+    return _tested(spark, folder, lambda n: ml.random_forest())
 
 
 @query("gradient_boosting")
 def gradient_boosting(spark, folder):
-    return _tested(spark, folder, lambda n: ml.gradient_boosting(settings=QUICK))
+    return _tested(spark, folder, lambda n: ml.gradient_boosting())
 
 
 @query("mlp")
 def mlp(spark, folder):
+    """The nets, each the best of its stages by F1 on a validation fold."""
     train, test, _ = _parts(embedding_rows(spark, folder))
     fit, valid = train.filter("fold <> 0"), train.filter("fold = 0")
     size = len(train.select("embedding").head()["embedding"])
-    model = ml.train_mlp(fit, valid, [32], size, steps=2, iterations=20)
-    return metrics.binary_metrics(model.transform(test), "label", "prediction")
+    rows = []
+    for name, hidden in ml.NETS.items():
+        model = ml.train_mlp(fit, valid, hidden, size)
+        rows += experiments.metric_rows("embedding", f"net_{name}", "test", ml.score(model.transform(test)))
+    return experiments.result_table(spark, rows)
 
 
 @query("grid_search")
 def grid_search(spark, folder):
-    train, _, n = _parts(embedding_rows(spark, folder))
-    logistic, svm = ml.logistic_regression(n, settings=QUICK), ml.linear_svm(n, settings=QUICK)
-    tree, boosted = ml.decision_tree(settings=QUICK), ml.gradient_boosting(settings=QUICK)
-    by_c = lambda e: ParamGridBuilder().addGrid(e.regParam, [1 / (c * n) for c in (0.1, 1.0)]).build()
+    train, test, _ = _parts(embedding_rows(spark, folder))
+    boosted = lambda n, depth, share: ml.gradient_boosting(settings=ml.Settings(boost_depth=depth), row_share=share)
+
+    def tree(n, impurity, depth, split, leaf):
+        # MLlib has no least size of a split node: a node of fewer than two leaves is not split.
+        return ml.decision_tree(impurity=impurity, settings=ml.Settings(tree_depth=depth), min_leaf=max(leaf, -(-split // 2)))
+
     searches = {
-        "logistic_regression": (logistic, by_c(logistic)),
-        "linear_svm": (svm, by_c(svm)),
-        "decision_tree": (tree, ParamGridBuilder().addGrid(tree.impurity, ["gini", "entropy"]).addGrid(tree.maxDepth, [4, 5]).build()),
-        "gradient_boosting": (boosted, ParamGridBuilder().addGrid(boosted.subsamplingRate, [0.7, 0.8]).build()),
+        "logistic_regression": (lambda n, c: ml.logistic_regression(n, c=c), {"c": [0.1, 1.0]}),
+        "linear_svm": (lambda n, c: ml.linear_svm(n, c=c), {"c": [0.1, 1.0]}),
+        "decision_tree": (tree, {"impurity": ["gini", "entropy"], "depth": [4, 5, 6, 7, 10], "split": [2, 5], "leaf": [1, 2]}),
+        "gradient_boosting": (boosted, {"depth": [6, 8], "share": [0.7, 0.8]}),
     }
-    return experiments.grid_search(searches, train, "label", "fold", FOLDS)
+    return experiments.grid_search(searches, train, test, "label", "fold", FOLDS)
 
 
 @query("grid_search_text")
 def grid_search_text(spark, folder):
     """Naive Bayes on hashed TF-IDF; the weights are fitted inside each fold."""
-    rows = _labelled_songs(spark, folder).filter("part = 'train'").select("doc_id", "text", "label")
+    rows = _labelled_songs(spark, folder).select("doc_id", "text", "label", "part")
     folded = sampling.kfold_stratified(spread(rows, "doc_id"), "doc_id", "label", FOLDS, seed=7)
     words = cut_lineage(folded.withColumn("words", terms.preprocess(F.col("text"))).drop("text"))
-    bayes = ml.naive_bayes(counts=True)
-    stages = [HashingTF(numFeatures=4096, inputCol="words", outputCol="tf"), IDF(inputCol="tf", outputCol="features"), bayes]
-    grid = ParamGridBuilder().addGrid(bayes.smoothing, [0.5, 1.0, 2.0]).build()
-    return experiments.grid_search({"naive_bayes": (Pipeline(stages=stages), grid)}, words, "label", "fold", FOLDS)
+    train, test = (words.filter(F.col("part") == p) for p in ("train", "test"))
+
+    def bayes(n, smoothing):
+        stages = [HashingTF(numFeatures=4096, inputCol="words", outputCol="tf"), IDF(inputCol="tf", outputCol="features")]
+        return Pipeline(stages=[*stages, ml.naive_bayes(counts=True).setSmoothing(smoothing)])
+
+    return experiments.grid_search({"naive_bayes": (bayes, {"smoothing": [0.5, 1.0, 2.0]})}, train, test, "label", "fold", FOLDS)
 
 
 @query("cross_validate_refit")
 def cross_validate_refit(spark, folder):
-    train, test, n = _parts(embedding_rows(spark, folder))
-    models = {"logistic_regression": ml.logistic_regression(n, settings=QUICK), "decision_tree": ml.decision_tree(settings=QUICK)}
-    rows = experiments.cross_validate_refit(models, train, test, "label", "fold", FOLDS, "embedding")
+    train, test, _ = _parts(embedding_rows(spark, folder))
+    rows = experiments.cross_validate_refit(ml.classifiers(), train, test, "label", "fold", FOLDS, "embedding")
     return experiments.result_table(spark, rows)
 
 
 @query("compare_models")
 def compare_models(spark, folder):
     """All models on one feature set, in order of F1."""
-    train, test, n = _parts(embedding_rows(spark, folder))
-    rows = experiments.compare_models(ml.classifiers(n, settings=QUICK), train, test, "label", "embedding")
+    train, test, _ = _parts(embedding_rows(spark, folder))
+    rows = experiments.compare_models(ml.classifiers(), train, test, "label", "embedding")
     f1 = experiments.result_table(spark, rows).filter("metric = 'f1'")
     return metrics.leaderboard(f1.withColumnRenamed("value", "f1"), "feature_set", "model", "f1")
 
@@ -140,8 +147,7 @@ def leakage_safe_fit(spark, folder):
     rows = _labelled_songs(spark, folder).select("doc_id", "text", "label")
     folded = sampling.kfold_stratified(spread(rows, "doc_id"), "doc_id", "label", FOLDS, seed=7)
     kept = cut_lineage(folded.withColumn("words", terms.preprocess(F.col("text"))).drop("text"))
-    make = lambda n: ml.logistic_regression(n, settings=QUICK)
-    out = experiments.leakage_safe_folds(kept, "doc_id", lambda: F.col("words"), "label", "fold", FOLDS, make)
+    out = experiments.leakage_safe_folds(kept, "doc_id", lambda: F.col("words"), "label", "fold", FOLDS, ml.logistic_regression)
     return experiments.result_table(spark, out)
 
 
@@ -153,10 +159,9 @@ def _ablation(spark, folder, leave_out):
     rows = cut_lineage(_labelled_songs(spark, folder).select("doc_id", "label", "part", *NUMBERS, *TEXTS))
     train = rows.filter("part = 'train'")
     vectors = cut_lineage(experiments.column_vectors(train, rows, "doc_id", NUMBERS, TEXTS))
-    train, test, n = _parts(vectors)
+    train, test, _ = _parts(vectors)
     balanced = sampling.undersample(train, "doc_id", "label")
-    models = {"logistic_regression": ml.logistic_regression(n, settings=QUICK), "decision_tree": ml.decision_tree(settings=QUICK)}
-    result = experiments.ablation(cut_lineage(balanced), test, NUMBERS + TEXTS, models, "label", leave_out)
+    result = experiments.ablation(cut_lineage(balanced), test, NUMBERS + TEXTS, ml.classifiers(), "label", leave_out)
     wide = experiments.result_table(spark, result).groupBy("feature_set", "model").pivot("metric", experiments.METRICS).agg(F.first("value"))
     return metrics.best_per_group(wide, "feature_set", "model", "f1")
 
@@ -180,7 +185,7 @@ def model_save_load(spark, folder):
     """Predictions of a saved and loaded model: rows, and rows that differ (none)."""
     train, test, n = _parts(embedding_rows(spark, folder))
     scale = MinMaxScaler(inputCol="features", outputCol="scaled")
-    fitted = Pipeline(stages=[scale, ml.logistic_regression(n, features="scaled", settings=QUICK)]).fit(train)
+    fitted = Pipeline(stages=[scale, ml.logistic_regression(n, features="scaled")]).fit(train)
     path = work_folder(spark, "model")
     fitted.write().overwrite().save(path)
     loaded = PipelineModel.load(path)

@@ -64,12 +64,6 @@ _PAIRS = """pairs AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, list_distanc
   near AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) - 1 AS place FROM pairs QUALIFY place < 5)"""
 
 
-@query("nearest_neighbors", "WITH " + _PAIRS.format(source="embeddings") + " SELECT id, place::INTEGER AS place, neighbour, round(distance, 6) AS distance FROM near")
-def nearest_neighbors(spark, folder):
-    near = neighbors.nearest(_embeddings(spark, folder), "vec_id", "embedding", 5, block=64)
-    return near.withColumn("distance", F.round("distance", 6))
-
-
 _DIGEST = sql_hash(42, "number")
 
 

@@ -76,37 +76,12 @@ def preprocess_text(spark, folder):
     return _docs(spark, folder).select("doc_id", F.array_join(words, " ").alias("processed"))
 
 
-@query("preprocess_text_stemmed")
-def preprocess_text_stemmed(spark, folder):
-    words = terms.preprocess(F.col("text"), stem=True)
-    return _docs(spark, folder).select("doc_id", F.array_join(words, " ").alias("processed"))
-
-
-@query("preprocess_text_spanish")
-def preprocess_text_spanish(spark, folder):
-    rows = table(spark, folder, "documents").filter("lang = 'es'")
-    words = terms.preprocess(F.col("text"), "spanish", stem=True)
-    return rows.select("doc_id", F.array_join(words, " ").alias("processed"))
-
-
 @query("drop_empty_text", f"WITH {TOKENS} SELECT doc_id, array_to_string(words, ' ') AS processed FROM tokens WHERE len(words) > 0")
 def drop_empty_text(spark, folder):
     words = F.array_join(terms.preprocess(F.col("text")), " ")
     return terms.drop_empty(_docs(spark, folder), "doc_id", words, "processed")
 
 
-@query("stem_vocabulary")
-def stem_vocabulary(spark, folder):
-    return terms.stem_vocabulary(_word_counts(spark, folder))
-
-
-@query("stem_vocabulary_spanish")
-def stem_vocabulary_spanish(spark, folder):
-    rows = table(spark, folder, "documents").filter("lang = 'es'")
-    counts = terms.term_counts(rows, "doc_id", terms.preprocess(F.col("text"), "spanish"))
-    return terms.stem_vocabulary(counts, "spanish")
-
-
 def _word_counts(spark, folder):
     return terms.term_counts(_docs(spark, folder), "doc_id", terms.preprocess(F.col("text")))
 

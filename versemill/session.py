@@ -28,6 +28,7 @@ def build_session(app: str = "versemill", master: str | None = None) -> SparkSes
             .config("spark.sql.shuffle.partitions", partitions)
             .config("spark.driver.memory", "12g")
             .config("spark.ui.enabled", "false")
+            .config("versemill.spread", partitions)
         )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -67,10 +68,10 @@ def cut_lineage(df):
 
 
 def spread(df, *keys: str):
-    """Give an input of few splits to all cores; an input with enough splits stays as it is.
+    """Give an input of few splits to all cores, where the session asks for it.
 
-    A small file can be one row group, hence one task, however many cores there are. Large
-    inputs have more splits than cores and are never shuffled for this.
+    A small file can be one row group, hence one task, however many cores there are. The setting
+    `versemill.spread` names the number of partitions; without it nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    n = df.sparkSession.conf.get("versemill.spread", None)
+    return df.repartition(int(n), *keys) if n else df
