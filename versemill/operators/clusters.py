@@ -1,16 +1,22 @@
-"""Clusters given as a column: centroids, assignment, quality."""
+"""Clusters given as a column: centroids, assignment, quality.
+
+What is known of the clusters is a table of one row a cluster. Rows meet it in blocks: a block is
+one row that holds BLOCK clusters as an array, so every row compares itself with all clusters in
+the row, without copies of rows, whatever the number of clusters.
+"""
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from versemill.functions.vectors import dot, squared_distance
-from versemill.operators.neighbors import cluster_sizes, silhouette_of
 from versemill.operators.ranking import join_small
 
-MOST_CLUSTERS = 2_000
+BLOCK = 500
 
 
 def centroid_table(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
@@ -21,25 +27,27 @@ def centroid_table(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
     return means.groupBy(cluster).agg(F.transform(held, lambda p: p["mean"]).alias("centre"))
 
 
-def centroids(df: DataFrame, cluster: str, vec_col: str) -> dict[int, list[float]]:
-    """The same as cluster → vector for a model of few clusters; more are refused."""
-    rows = centroid_table(df, cluster, vec_col).limit(MOST_CLUSTERS + 1).collect()
-    if len(rows) > MOST_CLUSTERS:
-        raise ValueError(f"more than {MOST_CLUSTERS} clusters: use centroid_table")
-    return {r[cluster]: r["centre"] for r in sorted(rows, key=lambda r: r[cluster])}
-
+def _blocks(table: DataFrame) -> Iterator[DataFrame]:
+    """One-row frames of BLOCK rows of a table by cluster, as the array `_block`."""
+    schema = T.StructType([T.StructField("_block", T.ArrayType(table.schema))])
+    held = []
+    for row in table.orderBy(table.columns[0]).toLocalIterator():
+        held.append(row)
+        if len(held) == BLOCK:
+            yield table.sparkSession.createDataFrame([(held,)], schema)
+            held = []
+    if held:
+        yield table.sparkSession.createDataFrame([(held,)], schema)
 
-def _literal(vector: list[float]):
-    return F.array(*[F.lit(float(x)) for x in vector])
 
-
-def assign(df: DataFrame, vec_col: str, centres: dict[int, list[float]], out: str = "cluster") -> DataFrame:
-    """Number of the nearest centre, in the row; ties go to the smaller number."""
-    distances = [
-        F.struct(squared_distance(F.col(vec_col), _literal(v)).alias("d"), F.lit(c).alias("c"))
-        for c, v in sorted(centres.items())
-    ]
-    return df.withColumn(out, F.array_min(F.array(*distances))["c"])
+def assign(df: DataFrame, vec_col: str, centres: DataFrame, out: str = "cluster") -> DataFrame:
+    """Number of the nearest of the (cluster, centre) rows; ties go to the smaller number."""
+    name = centres.columns[0]
+    near = df.withColumn("_near", F.lit(None).cast(f"struct<d: double, c: {dict(centres.dtypes)[name]}>"))
+    for block in _blocks(centres):
+        distances = F.transform("_block", lambda b: F.struct(squared_distance(F.col(vec_col), b["centre"]).alias("d"), b[name].alias("c")))
+        near = near.crossJoin(F.broadcast(block)).withColumn("_near", F.least("_near", F.array_min(distances))).drop("_block")
+    return near.withColumn(out, F.col("_near.c")).drop("_near")
 
 
 def quality(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
@@ -52,44 +60,52 @@ def quality(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
     gap = squared_distance(F.col("v"), F.col("centre"))
     near = join_small(rows, centroid_table(rows, "c", "v"), ["c"]).select("c", "centre", gap.alias("d2"))
     stats = near.groupBy("c").agg(
-        F.count("*").alias("n"), F.sum("d2").alias("within"), F.avg(F.sqrt("d2")).alias("spread"), F.first("centre").alias("centre")
-    ).limit(MOST_CLUSTERS + 1).collect()
-    k = len(stats)
-    if k > MOST_CLUSTERS:
-        raise ValueError(f"more than {MOST_CLUSTERS} clusters cannot be compared in pairs")
-    stats.sort(key=lambda r: r["c"])
-    n = np.array([r["n"] for r in stats], dtype=float)
-    points = np.array([r["centre"] for r in stats])
-    overall = (points * n[:, None]).sum(axis=0) / n.sum()
-    between = (n * ((points - overall) ** 2).sum(axis=1)).sum()
-    ch = (between / (k - 1)) / (sum(r["within"] for r in stats) / (n.sum() - k))
-    spread = np.array([r["spread"] for r in stats])
-    worst = []
-    for i in range(k):
-        gaps = np.sqrt(((points - points[i]) ** 2).sum(axis=1))
-        gaps[i] = np.inf
-        worst.append(((spread + spread[i]) / gaps).max())
-    return df.sparkSession.createDataFrame(
-        [(float(ch), float(np.mean(worst)))], "calinski_harabasz double, davies_bouldin double"
+        F.first("centre").alias("centre"), F.avg(F.sqrt("d2")).alias("spread"), F.count("*").alias("n"), F.sum("d2").alias("within")
+    )
+    long = stats.select("n", F.posexplode("centre").alias("dim", "m"))
+    # Between the clusters: the sum of n (m - overall)² is that of n m² less N overall², by dimension.
+    n, m = F.col("n"), F.col("m")
+    by_dim = long.groupBy("dim").agg(F.sum(n * m * m).alias("nmm"), F.sum(n * m).alias("nm"), F.sum(n).alias("all"))
+    between = by_dim.agg(F.sum(F.col("nmm") - F.col("nm") * F.col("nm") / F.col("all")).alias("between"))
+    worst = stats.withColumn("_worst", F.lit(None).cast("double"))
+    for block in _blocks(stats.select("c", "centre", "spread")):
+        others = F.filter("_block", lambda b: b["c"] != F.col("c"))
+        ratio = F.transform(others, lambda b: (F.col("spread") + b["spread"]) / F.sqrt(squared_distance(F.col("centre"), b["centre"])))
+        worst = worst.crossJoin(F.broadcast(block)).withColumn("_worst", F.greatest("_worst", F.array_max(ratio))).drop("_block")
+    sums = worst.agg(
+        F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("within").alias("within"), F.avg("_worst").alias("davies_bouldin")
     )
+    ch = F.col("between") / (F.col("k") - 1) / (F.col("within") / (F.col("n") - F.col("k")))
+    return sums.crossJoin(between).select(ch.alias("calinski_harabasz"), "davies_bouldin")
 
 
 def silhouette_squared(df: DataFrame, id_col: str, vec_col: str, cluster: str) -> DataFrame:
-    """Mean silhouette with squared distances, in one pass over the rows.
+    """Mean silhouette with squared distances, worked out in each row.
 
-    The sum of squared distances to a cluster follows from its size, its vector sum and its
-    sum of squared lengths.
+    The sum of squared distances to a cluster follows from its size, its vector sum and its sum
+    of squared lengths.
     """
     v = F.col(vec_col).cast("array<double>")
-    rows = df.select(F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("c"), v.alias("v"))
-    centres = centroids(rows, "c", "v")
-    sums = {r["c"]: r for r in rows.groupBy("c").agg(F.count("*").alias("n"), F.sum(dot(F.col("v"), F.col("v"))).alias("q")).collect()}
-    cells = [
-        F.struct(
-            F.lit(c).alias("other"),
-            (sums[c]["n"] * dot(F.col("v"), F.col("v")) - 2 * sums[c]["n"] * dot(F.col("v"), _literal(centre)) + F.lit(sums[c]["q"])).alias("total"),
-        )
-        for c, centre in sorted(centres.items())
-    ]
-    distances = rows.select("id", "c", F.explode(F.array(*cells)).alias("t")).select("id", "c", "t.other", "t.total")
-    return silhouette_of(distances, cluster_sizes(df, cluster))
+    rows = df.select(F.col(cluster).cast("int").alias("c"), v.alias("v")).withColumn("q", dot(F.col("v"), F.col("v")))
+    sizes = rows.groupBy("c").agg(F.count("*").alias("n"), F.sum("q").alias("q"))
+    table = join_small(centroid_table(rows, "c", "v"), sizes, ["c"])
+    scored = rows.withColumns({name: F.lit(None).cast("double") for name in ("a", "b", "n_own")})
+
+    def total(b: Column) -> Column:
+        return b["n"] * F.col("q") - 2 * b["n"] * dot(F.col("v"), b["centre"]) + b["q"]
+
+    for block in _blocks(table):
+        own = F.filter("_block", lambda b: b["c"] == F.col("c"))
+        others = F.filter("_block", lambda b: b["c"] != F.col("c"))
+        mean_own = F.transform(own, lambda b: total(b) / F.greatest(b["n"] - 1, F.lit(1)))
+        mean_other = F.transform(others, lambda b: total(b) / b["n"])
+        scored = scored.crossJoin(F.broadcast(block)).withColumns(
+            {
+                "a": F.coalesce("a", F.array_max(mean_own)),
+                "b": F.least("b", F.array_min(mean_other)),
+                "n_own": F.coalesce("n_own", F.array_max(F.transform(own, lambda b: b["n"].cast("double")))),
+            }
+        ).drop("_block")
+    most = F.greatest("a", "b")
+    score = F.when((F.col("n_own") > 1) & (most > 0), (F.col("b") - F.col("a")) / most).otherwise(0.0)
+    return scored.agg(F.avg(score).alias("silhouette"))

@@ -209,25 +209,33 @@ def nb_feature_ratio(spark, folder):
     return bayes.top_and_bottom(ratios)
 
 
-_GNB = f"""{VECTORS}, long AS (SELECT vec_id, toxic, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM vectors),
-  fit AS (SELECT toxic, dim, avg(x) AS mean, var_pop(x) + 1e-9::DOUBLE * (SELECT max(v) FROM (SELECT var_pop(x) AS v FROM long GROUP BY dim)) AS var
-    FROM long GROUP BY toxic, dim),
-  prior AS (SELECT toxic, count(*) / (SELECT count(*) FROM vectors) AS share FROM vectors GROUP BY toxic),
+# Gaussian naive Bayes: fitted on the training part, scored on the test part.
+_GNB = f"""{VECTORS}, {STRATIFIED}, parted AS (SELECT v.vec_id, v.embedding, v.toxic, part FROM vectors v JOIN split ON split.doc_id = v.vec_id),
+  long AS (SELECT vec_id, toxic, part, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM parted),
+  fit AS (SELECT toxic, dim, avg(x) AS mean, var_pop(x) + 1e-9::DOUBLE * (SELECT max(v) FROM (SELECT var_pop(x) AS v FROM long WHERE part = 'train' GROUP BY dim)) AS var
+    FROM long WHERE part = 'train' GROUP BY toxic, dim),
+  prior AS (SELECT toxic, count(*) / (SELECT count(*) FROM parted WHERE part = 'train') AS share FROM parted WHERE part = 'train' GROUP BY toxic),
   score AS (SELECT l.vec_id, f.toxic, ln(any_value(share)) - 0.5::DOUBLE * sum(ln(6.283185307179586::DOUBLE * var) + (x - mean) * (x - mean) / var) AS s
-    FROM long l JOIN fit f USING (dim) JOIN prior p ON p.toxic = f.toxic GROUP BY l.vec_id, f.toxic)"""
+    FROM long l JOIN fit f USING (dim) JOIN prior p ON p.toxic = f.toxic WHERE l.part = 'test' GROUP BY l.vec_id, f.toxic)"""
+
+
+def _vector_parts(spark, folder):
+    split = split_stratified(spark, folder).select(F.col("doc_id").alias("vec_id"), "part")
+    rows = cut_lineage(vectors(spark, folder).select("vec_id", "embedding", "toxic").join(split, "vec_id"))
+    return [rows.filter(F.col("part") == p) for p in ("train", "test")]
 
 
 @query("nb_gaussian", f"WITH {_GNB} SELECT vec_id, v.toxic, max_by(s.toxic, s.s) AS predicted FROM vectors v JOIN score s USING (vec_id) GROUP BY vec_id, v.toxic")
 def nb_gaussian(spark, folder):
-    rows = vectors(spark, folder).select("vec_id", "embedding", "toxic")
-    fitted = bayes.gaussian_table(rows, "toxic", "embedding")
-    predicted = bayes.gaussian_predict(rows, fitted, bayes.class_priors(rows, "toxic")[0], "embedding")
+    train, test = _vector_parts(spark, folder)
+    fitted = bayes.gaussian_table(train, "toxic", "embedding")
+    predicted = bayes.gaussian_predict(test, fitted, bayes.class_priors(train, "toxic")[0], "embedding")
     return predicted.select("vec_id", "toxic", "predicted")
 
 
 @query("nb_gaussian_table", f"WITH {_GNB} SELECT toxic AS label, dim - 1 AS dim, round(mean, 6) AS mean, round(var, 9) AS var FROM fit")
 def nb_gaussian_table(spark, folder):
-    fitted = bayes.gaussian_table(vectors(spark, folder), "toxic", "embedding")
+    fitted = bayes.gaussian_table(_vector_parts(spark, folder)[0], "toxic", "embedding")
     return fitted.select("label", F.col("dim").cast("bigint").alias("dim"), F.round("mean", 6).alias("mean"), F.round("var", 9).alias("var"))
 
 

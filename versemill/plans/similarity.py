@@ -109,7 +109,7 @@ _LONG = """long AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS d
 )
 def kmeans_assign(spark, folder):
     rows = _embeddings(spark, folder)
-    return clusters.assign(rows, "embedding", clusters.centroids(rows, "label", "embedding")).select("vec_id", "cluster")
+    return clusters.assign(rows, "embedding", clusters.centroid_table(rows, "label", "embedding")).select("vec_id", "cluster")
 
 
 @query(
