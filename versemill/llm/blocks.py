@@ -27,7 +27,7 @@ from versemill.session import cut_lineage
 
 #: Tokens a block (a longer document is a block of its own), and keys a bucket of `counted`.
 BLOCK_TOKENS = 2_000_000
-BUCKET_KEYS = 2_000_000
+BUCKET_KEYS = 1_000_000
 #: Ends every document; the hash and number of no word.
 END_HASH = np.uint64(0x9E3779B97F4A7C15)
 SIX_BYTES = np.uint64(1 << 48)

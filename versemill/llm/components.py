@@ -53,43 +53,95 @@ def left_over(rows: DataFrame) -> DataFrame:
     return lists.filter("groups > 1").select("_k", "total", F.col("main.component").alias("main"), F.col("main.held").alias("mains"))
 
 
+def fits(n: str, reach: str, m: str, other_reach: str) -> Column:
+    return (F.col(m) <= F.col(reach)) & (F.col(n) <= F.col(other_reach))
+
+
+def with_partners(rows: DataFrame) -> DataFrame:
+    """Rows of lists that can have a partner in their list.
+
+    The smaller node of a pair that fits also fits itself (its size is within its own reach), so a
+    list needs such a node, and a node beyond its own reach needs a smaller one within it.
+    """
+    itself = F.col("n") <= F.col("reach")
+    lists = rows.groupBy(F.col("key").alias("_k")).agg(
+        F.count("*").alias("held"), F.min(F.when(itself, F.col("n"))).alias("least")
+    )
+    lists = lists.filter("held > 1 AND least IS NOT NULL")
+    return rows.join(lists, (F.col("key") == F.col("_k")) & (F.col("least") <= F.col("reach"))).select("key", "node", "n", "reach")
+
+
+def grouped(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with `component` under the links so far."""
+    named = components(links).select(F.col("node").alias("_node"), "component")
+    return rows.join(named, F.col("node") == F.col("_node"), "left").select(
+        "key", "node", "n", "reach", F.coalesce("component", "node").alias("component")
+    )
+
+
+def left_over(rows: DataFrame) -> DataFrame:
+    """(_k, total, main, mains) of the lists in which different groups meet; `main` is the group
+    with most nodes there."""
+    by_group = rows.groupBy("key", "component").agg(F.count("*").alias("held"))
+    lists = by_group.groupBy(F.col("key").alias("_k")).agg(
+        F.sum("held").alias("total"), F.max(F.struct("held", "component")).alias("main"), F.count("*").alias("groups")
+    )
+    return lists.filter("groups > 1").select("_k", "total", F.col("main.component").alias("main"), F.col("main.held").alias("mains"))
+
+
 def connect(
-    rows: DataFrame, links: DataFrame, compare: Callable[[DataFrame], DataFrame], fits: Callable[[str, str], Column]
+    rows: DataFrame,
+    links: DataFrame,
+    compare: Callable[[DataFrame], DataFrame],
+    visit: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Links (a, b) that, with `links`, connect all nodes that are linked and meet in a list.
 
-    `rows` has (key, node, n): a node of size n is in the list `key`. `compare` adds `linked` to
-    pairs (a, b), as a written table; `fits` says whether two sizes can be linked at all. Nodes of
-    one group need not be compared, so each node is first compared with one drawn at random, list
-    by list; when few pairs of different groups still meet, or drawing no longer helps, all of
-    these pairs are compared.
+    `rows` has (key, node, n, reach): a node of size n is in the list `key`, and there it can be
+    linked with nodes of sizes up to `reach`. `compare` adds `linked` to pairs (a, b), as a written
+    table. Nodes of one group need not be compared, so each node is first compared with one drawn
+    at random, list by list; when few pairs of different groups still meet, or drawing no longer
+    helps, all of these pairs are compared. With `visit`, the nodes that meet the main group of a
+    list are compared with its nodes in blocks instead of pairs: it takes (group, node) of members
+    and of visitors and returns their links.
     """
-    lists = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("held")).filter("held > 1")
-    rows = cut_lineage(rows.join(lists, F.col("key") == F.col("_k"), "left_semi"))
+    rows = cut_lineage(with_partners(rows))
     done, turn, before = None, 0, None
     while True:
         # The groups so far, and the pairs of different groups that still meet.
         named = cut_lineage(grouped(rows, links))
         open_lists = cut_lineage(left_over(named))
-        size = open_lists.agg(F.sum("total").alias("rows"), F.sum((F.col("total") - F.col("mains")) * F.col("total")).alias("pairs")).head()
+        size = open_lists.agg(
+            F.sum("total").alias("rows"), F.sum((F.col("total") - F.col("mains")) * F.col("total")).alias("pairs")
+        ).head()
         if not size["rows"]:
             return links
         last = size["pairs"] <= 4 * size["rows"] or (before is not None and size["pairs"] > 0.7 * before)
         before = size["pairs"]
-        here = named.join(open_lists, F.col("key") == F.col("_k"))
+        here = named.join(open_lists, F.col("key") == F.col("_k")).drop("_k")
+        other = {"node": "y", "n": "yn", "reach": "yr", "component": "yc"}
         if last:
             # Every node outside the main group of a list against all nodes of other groups there.
-            others = here.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-            all_here = here.select(F.col("key").alias("_k2"), F.col("node").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"), "main")
-            meets = (F.col("key") == F.col("_k2")) & (F.col("xc") != F.col("yc")) & fits("xn", "yn")
-            once = (F.col("yc") == F.col("main")) | (F.col("x") < F.col("y"))
-            pairs = others.join(all_here, meets & once).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+            all_here = here.select(F.col("key").alias("_k"), *[F.col(c).alias(x) for c, x in other.items()])
+            meets = (F.col("key") == F.col("_k")) & (F.col("component") != F.col("yc")) & fits("n", "reach", "yn", "yr")
+            others = here.filter("component <> main")
+            if visit is not None:
+                members = here.filter("component = main").select(F.col("main").alias("group"), "node").distinct()
+                visitors = others.select(F.col("main").alias("group"), "node").distinct()
+                links = links.unionByName(visit(members, visitors))
+                all_here = all_here.join(open_lists.select(F.col("_k").alias("_o"), "main"), F.col("_k") == F.col("_o")).filter("yc <> main").drop("_o", "main")
+                met = others.join(all_here, meets & (F.col("node") < F.col("y")))
+            else:
+                once = (F.col("yc") == F.col("main")) | (F.col("node") < F.col("y"))
+                met = others.join(all_here, meets & once)
+            pairs = met.select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b"))
         else:
             turn += 1
-            drawn = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "n", "component")
-            one = here.groupBy(F.col("key").alias("_k2")).agg(F.min(drawn).alias("one"))
-            met = here.join(one, F.col("key") == F.col("_k2")).select("node", "n", "component", "one.h", F.col("one.node").alias("y"), F.col("one.n").alias("yn"), F.col("one.component").alias("yc"))
-            best = met.filter((F.col("component") != F.col("yc")) & fits("n", "yn")).groupBy("node").agg(F.min(F.struct("h", "y")).alias("best"))
+            drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), *other)).alias("one")
+            one = here.filter("n <= reach").groupBy(F.col("key").alias("_k")).agg(drawn)
+            one = one.select("_k", "one.h", *[F.col(f"one.{c}").alias(x) for c, x in other.items()])
+            meets = (F.col("key") == F.col("_k")) & (F.col("component") != F.col("yc")) & fits("n", "reach", "yn", "yr")
+            best = here.join(one, meets).groupBy("node").agg(F.min(F.struct("h", "y")).alias("best"))
             pairs = best.select(F.greatest("node", "best.y").alias("a"), F.least("node", "best.y").alias("b"))
         pairs = pairs.distinct()
         if done is not None:

@@ -3,7 +3,8 @@
 Sets that are equal become one node first. Small sets list their subsets of the size that two
 sets of their sizes must share; equal subsets are links without further check. Large sets look
 through inverted lists: each puts its rarest shingles, as many as a partner cannot all miss, in
-lists, and sets that meet in a list are compared whole. A cost count decides up to which size
+lists, and sets that meet in a list are compared whole. The rank of the shingle bounds the size of
+partners: what is rarer than the first common shingle is missing in one of the two. A cost count decides up to which size
 sets are small.
 
 Groups of near copies meet in the same lists again and again, so pairs are not listed at once:
@@ -26,7 +27,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from versemill.llm.blocks import answers_of, bucket_bits, counted, requests, squeeze, token_blocks, unpack_sorted, unsqueeze
@@ -34,8 +35,12 @@ from versemill.llm.components import components, connect
 from versemill.session import cut_lineage
 
 GRAM = 5
+#: Tokens a block: nearly every token gives a shingle of its own.
+BLOCK_TOKENS = 1_000_000
 #: Sets are never listed by subsets if one set would need more of them.
 MOST_SUBSETS = 1200
+#: Sets a block when the nodes of a group are compared with others.
+VISIT_BLOCK = 512
 SCAN, SUBSET, SET = 0, 1, 2
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
@@ -50,6 +55,12 @@ def prefix_length(n):
     return n - (4 * n + 4) // 5 + 1
 
 
+def reach(n, rank):
+    """Largest size of a set whose first common element with a set of `n` elements has this rank
+    there: the elements from the rank on must make up the least overlap."""
+    return (9 * (n - rank) - 4 * n) // 4
+
+
 def subset_count(n: int) -> int:
     return sum(comb(n, least_overlap(n, m)) for m in range(-(-4 * n // 5), 5 * n // 4 + 1))
 
@@ -141,8 +152,8 @@ def _pack_homes(key, pdf):
 
 
 def _lists(key, block, answers):
-    """Rows for the lists of one block's sets: (SCAN: rare shingle), (SUBSET: subset of a small set
-    for a pair of sizes), (SET: the whole set, if it is in a list)."""
+    """Rows for the lists of one block's sets: (SCAN: rare shingle, `high` is its reach), (SUBSET:
+    subset of a small set for a pair of sizes), (SET: the whole set, if it is in a list)."""
     import pandas as pd
 
     out = {"kind": [], "key": [], "node": [], "n": [], "low": [], "high": [], "cost": [], "elements": []}
@@ -167,7 +178,8 @@ def _lists(key, block, answers):
         at = order[listed]
         n_listed = len(at)
         none = np.zeros(n_listed, np.int64)
-        put(np.full(n_listed, SCAN), elements[at].view(np.int64), node_of[doc[at]], sizes[doc[at]], none, none, frequency[at], [None] * n_listed)
+        far = reach(sizes[doc[at]], rank[listed])
+        put(np.full(n_listed, SCAN), elements[at].view(np.int64), node_of[doc[at]], sizes[doc[at]], none, far, frequency[at], [None] * n_listed)
         last = np.append(first[1:], len(doc))
         for d in np.unique(doc[at]).tolist():
             whole = elements[first[d] : last[d]]
@@ -231,8 +243,47 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut_lineage(joined.select("a", "b", "left", "right").mapInArrow(_compare, "a long, b long, linked boolean"))
 
 
-def sizes_fit(n: str, m: str) -> Column:
-    return (5 * F.col(n) >= 4 * F.col(m)) & (5 * F.col(m) >= 4 * F.col(n))
+def _visit(key, members, visitors):
+    """Links between the members and the visitors of one block of a group."""
+    import pandas as pd
+
+    out = []
+    if len(members) and len(visitors):
+        held = [np.frombuffer(x, np.uint64) for x in members["elements"]]
+        sizes = np.array([len(h) for h in held])
+        owner, every = np.repeat(np.arange(len(held)), sizes), np.concatenate(held)
+        nodes = members["node"].to_numpy()
+        for node, x in zip(visitors["node"], visitors["elements"]):
+            own = np.frombuffer(x, np.uint64)
+            place = np.searchsorted(own, every)
+            common = own[np.minimum(place, len(own) - 1)] == every
+            both = np.bincount(owner[common], minlength=len(held))
+            for other in nodes[100 * both >= 80 * (sizes + len(own) - both)].tolist():
+                if other != node:
+                    out.append((max(node, other), min(node, other)))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def visited(members: DataFrame, visitors: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of (group, node) members and visitors by their whole sets (written).
+
+    Both sides of a group are dealt to blocks of about VISIT_BLOCK nodes, and each block of
+    members meets each block of visitors, as rows of sets and not of pairs.
+    """
+    counts = members.groupBy("group").agg(F.count("*").alias("m")).join(visitors.groupBy("group").agg(F.count("*").alias("v")), "group")
+    blocks = lambda n: F.ceil(F.col(n) / VISIT_BLOCK).cast("int")
+    counts = cut_lineage(counts.select(F.col("group").alias("_g"), blocks("m").alias("m"), blocks("v").alias("v")))
+    elements = sets.select(F.col("node").alias("_node"), "elements")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        rows = rows.join(counts, F.col("group") == F.col("_g")).join(elements, F.col("node") == F.col("_node"))
+        at = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(f"at_{own}")
+        plain = [F.col(c).alias(c) for c in ("group", "node", "elements")]  # columns of this side alone
+        return rows.select(*plain, at, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"at_{other}"))
+
+    keys = ["group", "at_m", "at_v"]
+    both = dealt(members, "m", "v").groupBy(*keys).cogroup(dealt(visitors, "v", "m").groupBy(*keys))
+    return cut_lineage(both.applyInPandas(_visit, "a long, b long"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -240,7 +291,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     empty sets. `component_id` is the smallest id of the group."""
     named = docs.select(F.col(id_col).alias("id"), F.lit(False).alias("flag"), F.col(text).cast("string").alias("text"))
     kind = dict(named.dtypes)["id"]
-    blocks = token_blocks(named, ends=False)
+    blocks = token_blocks(named, False, BLOCK_TOKENS)
     marked = cut_lineage(blocks.mapInArrow(_signatures, f"block long, place int, id {kind}, n long, mark binary"))
     classes = marked.filter("n > 0").groupBy("mark").agg(
         F.min("id").alias("first"), F.min(F.struct("block", "place")).alias("home"), F.first("n").alias("n")
@@ -260,9 +311,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     small = small_size(costs.collect())  # a row for each small size and kind
     links = cut_lineage(subset_links(listed, small).select("a", "b"))
     # A large set can be linked with small ones down to 4/5 of its size.
-    scan = listed.filter((F.col("kind") == SCAN) & (5 * F.col("n") >= 4 * (small + 1))).select("key", "node", "n")
+    scan = listed.filter((F.col("kind") == SCAN) & (5 * F.col("n") >= 4 * (small + 1))).select("key", "node", "n", F.col("high").alias("reach"))
     sets = listed.filter(F.col("kind") == SET).select("node", "elements")
-    links = connect(scan, links, lambda pairs: compared(pairs, sets), sizes_fit)
+    links = connect(scan, links, lambda pairs: compared(pairs, sets), lambda m, v: visited(m, v, sets))
     groups = components(links).select(F.col("node").alias("_node"), "component")
     joined = nodes.join(groups, F.col("node") == F.col("_node"), "left").select(
         "mark", "first", F.coalesce("component", "node").alias("component")
