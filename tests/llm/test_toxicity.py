@@ -62,7 +62,7 @@ def test_held_out_documents(spark):
 
 
 def test_misspelled_terms_and_quotations():
-    model = toxicity.Model(entries={"gruesomeword": 0.99, "vileterm": 0.98}, near={"vileterms": 0.1}, near_other=0.67, base=0.01)
+    model = toxicity.Model(entries={"gruesomeword": 0.99, "vileterm": 0.98}, near={"vileterms": 0.1}, near_entry={"gruesomeword": 0.67, "vileterm": 0.67}, base=0.01)
     memory = toxicity.Memory(toxicity.LexiconAutomaton(sorted(model.entries)))
     score = lambda t: toxicity.score_text(toxicity.hits_of(t, memory), model)
     assert score("you grusomeword") >= 0.5 and score("you are VILETERM.") >= 0.9

@@ -46,8 +46,12 @@ REPORTING_VERBS = frozenset(
     "said says wrote writes called quote quoted quotes reported reporting alleged citing"
     " dijo escribió llamó cita sagte schrieb nannte zitierte dit écrit appelé cite".split()
 )
-#: Prior belief in misspellings, in documents: of three, so many were toxic.
+#: Prior belief in misspellings of an entry, in documents: of three, so many were toxic. The
+#: misspellings seen of an entry are in turn the prior of each single one, as so many documents.
 NEAR_PRIOR = (2.0, 3.0)
+NEAR_WEIGHT = 3.0
+#: Toxic documents that an entry must explain for each clean one that has it.
+CLEAN_COST = 4
 FLUSH = 400_000
 
 
@@ -157,11 +161,12 @@ class Memory(dict):
 
 @dataclass
 class Model:
-    """entries: p by exact entry; near: p by misspelling as written; others get `near_other`."""
+    """entries: p by exact entry; near: p by misspelling as written; others have that of the
+    entry's misspellings together (`near_entry`)."""
 
     entries: dict[str, float] = field(default_factory=dict)
     near: dict[str, float] = field(default_factory=dict)
-    near_other: float = 0.5
+    near_entry: dict[str, float] = field(default_factory=dict)
     base: float = 0.0
 
 
@@ -192,7 +197,7 @@ def hits_of(text: str, memory: Memory) -> list[tuple[str, str, int, float]]:
 def score_text(hits: list[tuple[str, str, int, float]], model: Model) -> float:
     clean = 1.0 - model.base
     for entry, word, errors, factor in hits:
-        p = model.entries[entry] if errors == 0 else model.near.get(word, model.near_other)
+        p = model.entries[entry] if errors == 0 else model.near.get(word, model.near_entry.get(entry, 0.0))
         clean *= 1.0 - p * factor
     return 1.0 - clean
 
@@ -248,7 +253,7 @@ def _hit_batches(entries: list[str]):
                 {
                     "toxic": batch.column("toxic").cast(pa.int32()),
                     "exact": pa.array([sorted(h[0] for h in x if not h[2]) for x in hits], pa.list_(pa.string())),
-                    "near": pa.array([sorted(h[1] for h in x if h[2]) for x in hits], pa.list_(pa.string())),
+                    "near": pa.array([sorted(f"{h[0]} {h[1]}" for h in x if h[2]) for x in hits], pa.list_(pa.string())),
                 }
             )
 
@@ -274,7 +279,7 @@ def _exact_batches(entries: frozenset[str]):
 
 def _cover(groups: list[tuple[int, frozenset[str], int]]) -> list[str]:
     """Entries by greedy cover: each must explain MIN_TOXIC more toxic documents than it costs
-    clean ones ten times over. Of equals a whole word wins, for it is matched with misspellings,
+    clean ones CLEAN_COST times over. Of equals a whole word wins, for it is matched with misspellings,
     then the longer, then the last."""
     open_groups = groups
     chosen: list[str] = []
@@ -282,7 +287,7 @@ def _cover(groups: list[tuple[int, frozenset[str], int]]) -> list[str]:
         gain: Counter[str] = Counter()
         for toxic, held, n in open_groups:
             for entry in held:
-                gain[entry] += n if toxic else -10 * n
+                gain[entry] += n if toxic else -CLEAN_COST * n
         best = max(gain, key=lambda e: (gain[e], not e.endswith("*"), len(e), e), default=None)
         if best is None or gain[best] < MIN_TOXIC:
             return chosen
@@ -327,19 +332,23 @@ def fit(
     seen = sample.mapInArrow(_hit_batches(entries), "toxic int, exact array<string>, near array<string>")
     seen = seen.groupBy("toxic", "exact", "near").agg(F.count("*").alias("n")).collect()
     exact, near, rest = {e: [0, 0] for e in entries}, {}, [0, 0]
+    of_entry = {e: [0, 0] for e in entries}
     for r in seen:
         for e in r["exact"]:
             exact[e][r["toxic"]] += r["n"]
         if not r["exact"]:
-            for w in set(r["near"]):
-                near.setdefault(w, [0, 0])[r["toxic"]] += r["n"]
+            for pair in r["near"]:
+                near.setdefault(pair, [0, 0])[r["toxic"]] += r["n"]
+                of_entry[pair.split(" ")[0]][r["toxic"]] += r["n"]
             if not r["near"]:
                 rest[r["toxic"]] += r["n"]
     a, b = NEAR_PRIOR
+    near_entry = {e: (t + a) / (c + t + b) for e, (c, t) in of_entry.items()}
+    believed = {pair: near_entry[pair.split(" ")[0]] * NEAR_WEIGHT for pair in near}
     return Model(
         entries={e: (t + 1.0) / (c + t + 2.0) for e, (c, t) in exact.items()},
-        near={w: (t + a) / (c + t + b) for w, (c, t) in near.items()},
-        near_other=a / b,
+        near={pair.split(" ")[1]: (t + believed[pair]) / (c + t + NEAR_WEIGHT) for pair, (c, t) in near.items()},
+        near_entry=near_entry,
         base=(rest[1] + 0.1) / (sum(rest) + 1.0),
     )
 
