@@ -244,7 +244,8 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _visit(key, members, visitors):
-    """Links between the members and the visitors of one block of a group."""
+    """Links of the visitors with members of one block of a group, one a visitor: the members are
+    connected already."""
     import pandas as pd
 
     out = []
@@ -258,9 +259,10 @@ def _visit(key, members, visitors):
             place = np.searchsorted(own, every)
             common = own[np.minimum(place, len(own) - 1)] == every
             both = np.bincount(owner[common], minlength=len(held))
-            for other in nodes[100 * both >= 80 * (sizes + len(own) - both)].tolist():
-                if other != node:
-                    out.append((max(node, other), min(node, other)))
+            linked = nodes[100 * both >= 80 * (sizes + len(own) - both)]
+            if len(linked):
+                other = int(linked.min())
+                out.append((max(node, other), min(node, other)))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
