@@ -101,3 +101,32 @@ def test_query_digest_and_empty_table(spark, small):
     for r in op5(spark, small).collect():
         assert r["base_sha256"] == hashlib.sha256(plain_base(texts[r["doc_id"]]).encode()).hexdigest()
     assert secrets.find_secrets(empty(spark)).collect() == []
+
+
+def test_allow_list_lets_keys_through():
+    key = "kJ8s2Lq0Zx7Vb3Nm9Tw5Yp1R"
+    for t in (
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        f"https://user:{key}@example.org/repo.git",
+        f"https://hooks.example.com/services/T02ABC4DE/B0F6GH8JK/{key}",
+        f"https://example.org/file?signature={key}",
+    ):
+        assert secrets.entropy_spans(t), t
+    for clean in ("src/main/java/HttpClient/UserService2/index", "see https://example.org/articles/2024/spark-on-yarn here"):
+        assert secrets.entropy_spans(clean) == [], clean
+
+
+def test_random_keys_with_slashes_are_found():
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = [k for k in ("".join(rng.choices(letters, k=40)) for _ in range(6000)) if k.count("/") > 1 and "+" not in k]
+    lost = sum(not secrets.entropy_spans(k) for k in keys)
+    assert len(keys) > 300 and lost <= 0.02 * len(keys)
+
+
+def test_a_base_span_is_cut_off_an_entropy_span():
+    key, digest = "kJ8s2Lq0Zx7Vb3Nm9Tw5Yp1R", "0123456789abcdef01234567"
+    base, every = secrets.all_spans(f"{key}/{digest}")
+    assert [k for k, _, _ in base] == ["hex"]
+    covered = {i for _, s, e in every for i in range(s, e)}
+    assert set(range(len(key))) <= covered and sum(e - s for _, s, e in every) == len(covered)

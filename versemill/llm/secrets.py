@@ -42,10 +42,15 @@ ALLOWED = (
     re.compile(r"[0-9+/_=-]+"),  # numbers, rulers, phone numbers
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # identifiers
     re.compile(r"(.{1,4})\1{4,}.{0,4}"),  # one short piece again and again
-    re.compile(r"(?:[A-Za-z0-9]+/){2,}[A-Za-z0-9_=-]*|/?(?:[\w-]+/){2,}[\w-]*"),  # paths
 )
-#: Texts in which a candidate is a checksum or part of an address.
-BEFORE_ALLOWED = re.compile(r"(?:sha(?:1|256|384|512)|md5)[-:=]\Z|(?:https?|ftp)://\S*\Z", re.A)
+#: Paths, when each of their pieces is a name: words (also run together), then a number.
+PATH = re.compile(r"[\w=-]*(?:/[\w=-]*){2,}", re.A)
+NAME = re.compile(r"(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+|[A-Za-z])?\d{0,8}")
+#: Text in front of a checksum, and of a part of an address.
+CHECKSUM = re.compile(r"(?:sha(?:1|256|384|512)|md5)[-:=]\Z", re.A)
+ADDRESS = re.compile(r"(?:https?|ftp)://(\S*)\Z", re.A)
+LOGIN = re.compile(r"[^\s/?#@]*@")
+HOOK = re.compile(r"hook", re.I)
 
 
 def window_spans(run: str, bits: float, width: int = WINDOW) -> list[tuple[int, int]]:
@@ -79,14 +84,32 @@ def window_spans(run: str, bits: float, width: int = WINDOW) -> list[tuple[int,
     return spans
 
 
+def is_path(whole: str) -> bool:
+    return bool(PATH.fullmatch(whole)) and all(NAME.fullmatch(x) for x in re.split(r"[/_=-]", whole))
+
+
+def in_address(text: str, start: int, end: int) -> bool:
+    """Whether the candidate is the host or page of an address: not its login, its query, a web hook,
+    or a path with several pieces that are no names."""
+    before = ADDRESS.search(text, max(0, start - 200), start)
+    if not before:
+        return False
+    inside = before.group(1)
+    if re.search(r"[?#]", inside) or ("/" not in inside and LOGIN.match(text, end)):
+        return False
+    path = inside + text[start:end]
+    odd = sum(not all(NAME.fullmatch(x) for x in re.split(r"[._=-]", piece)) for piece in path.split("/")[1:])
+    return odd < 2 and not HOOK.search(path)
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     found: list[tuple[int, int]] = []
     for candidate in CANDIDATE.finditer(text):
         whole, at = candidate.group(), candidate.start()
         mixed = sum((any(map(str.islower, whole)), any(map(str.isupper, whole)), any(map(str.isdigit, whole))))
-        if mixed < 2 or any(a.fullmatch(whole) for a in ALLOWED):
+        if mixed < 2 or is_path(whole) or any(a.fullmatch(whole) for a in ALLOWED):
             continue
-        if BEFORE_ALLOWED.search(text, max(0, at - 200), at):
+        if CHECKSUM.search(text, max(0, at - 200), at) or in_address(text, at, candidate.end()):
             continue
         here = {
             (at + run.start() + a, at + run.start() + b)
@@ -112,11 +135,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """(base spans, base and entropy spans). What a base span covers is not reported again."""
+    """(base spans, base and entropy spans). What a base span covers is cut off the entropy spans."""
     base = base_spans(text)
     extra = []
     for start, end in entropy_spans(text):
-        if not any(start < e and s < end for _, s, e in base):
+        for s, e in sorted((s, e) for _, s, e in base if start < e and s < end):
+            if start < s:
+                extra.append(("entropy", start, s))
+            start = max(start, e)
+        if start < end:
             extra.append(("entropy", start, end))
     return base, sorted(base + extra, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
