@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import chat, decontam, lines, lm, mixing, quality, secrets, setjoin, toxicity, warc
-from versemill.llm.common import id_remainder, table
+from versemill.llm import chat, decontam, lines, lm, mixing, quality, runs, secrets, setjoin, toxicity, warc
+from versemill.llm.common import WORD, id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -172,3 +172,34 @@ SELECT doc_id, size, source_size, target, (least(whole + extra, 3) * size)::BIGI
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """`documents` in which the texts of a tenth of the ids go round from some word on."""
+    h = id_remainder("doc_id", 1 << 32)
+    g = F.floor(h / 10)
+    held = docs.select("doc_id", h.alias("h"), F.coalesce("text", F.lit("")).alias("text"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    held = held.withColumn("words", words).withColumn("n", F.size("words")).withColumn("g", g)
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = (1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))).cast("int")
+    left = F.col("n") - a
+    turns = F.array_repeat(F.slice("words", a + 1, p), F.ceil(left / p).cast("int"))
+    turned = F.concat(F.slice("words", F.lit(1), a), F.slice(F.flatten(turns), F.lit(1), left))
+    return held.select("doc_id", F.when(F.col("n") > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_lyndon_runs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapse_runs(with_periods(table(spark, folder, "documents")))
+    rows = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.expr("1000 * best.length div best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(rows, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
