@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import chat, decontam, lines, lm, mixing, quality, runs, secrets, setjoin, toxicity, warc
+from versemill.llm import bpe, chat, decontam, lines, lm, mixing, quality, runs, secrets, setjoin, toxicity, warc
 from versemill.llm.common import WORD, id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +204,15 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(rows, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_byte_pairs")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.Ranks.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), ranks)
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
