@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, chat, decontam, lines, lm, mixing, quality, runs, secrets, setjoin, toxicity, warc
+from versemill.llm import bpe, chat, decontam, lines, lm, mixing, phrases, quality, runs, secrets, setjoin, toxicity, warc
 from versemill.llm.common import WORD, id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,6 +175,32 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(
+    "op11_collocations",
+    r"""
+WITH p AS (SELECT coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce("text", ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) s FROM documents),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') ws FROM p),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) i FROM w),
+g AS (SELECT lang, k, array_to_string(ws[i:i+k-1], ' ') g, count(*) f FROM i, (VALUES (1), (2), (3)) s(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+t AS (SELECT lang, sum(len(ws))::BIGINT n FROM w GROUP BY lang),
+c AS (SELECT lang, k, g, f, string_split(g, ' ') ws FROM g WHERE k > 1 AND f >= 10),
+u AS (SELECT c.*, unnest(range(1, k)) cut FROM c),
+s AS (SELECT u.lang, u.k, u.g, u.f a, cut, x.f l, y.f r, ((1000000::HUGEINT * u.f * u.f) // (x.f::HUGEINT * y.f))::BIGINT score
+      FROM u JOIN g x ON x.lang = u.lang AND x.g = array_to_string(ws[1:cut], ' ')
+             JOIN g y ON y.lang = u.lang AND y.g = array_to_string(ws[cut+1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+o AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) g, f FROM c WHERE k = 3),
+m AS (SELECT lang, g, max(f) f FROM o GROUP BY lang, g),
+k AS (SELECT b.* FROM b LEFT JOIN m ON b.lang = m.lang AND b.g = m.g WHERE m.f IS NULL OR 100 * m.f < 50 * b.a)
+SELECT lang, row_number() OVER q AS "rank", g AS phrase, a, l, r, n, score FROM k JOIN t USING (lang)
+WINDOW q AS (PARTITION BY lang ORDER BY score DESC, a DESC, g) QUALIFY row_number() OVER q <= 2000
+""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """`documents` in which the texts of a tenth of the ids go round from some word on."""
     h = id_remainder("doc_id", 1 << 32)
