@@ -24,9 +24,13 @@ def by_counting(rows, least, top, cover=50):
     out = []
     for lang, f in counts.items():
         wanted = {g: a for g, a in f.items() if len(g) > 1 and a >= least}
+        longest = {}
+        for h, b in wanted.items():
+            for g in (h[:2], h[1:]) if len(h) == 3 else ():
+                longest[g] = max(b, longest.get(g, 0))
         scored = []
         for g, a in wanted.items():
-            if any(len(h) > len(g) and g in (h[:2], h[1:]) and 100 * b >= cover * a for h, b in wanted.items()):
+            if 100 * longest.get(g, 0) >= cover * a:
                 continue
             cuts = [(1_000_000 * a * a // (f[g[:k]] * f[g[k:]]), k) for k in range(1, len(g))]
             score, k = min(cuts)
@@ -53,7 +57,7 @@ def corpus(seed, n=120):
 
 @pytest.mark.parametrize(
     "seed,settings",
-    [(2, {"share": 0.0}), (3, {"share": 0.2, "sample_least": 3, "top": 7}), (4, {"share": 1.0, "most": 20})],
+    [(2, {"share": 0.0}), (3, {"share": 0.2, "sample_least": 3, "top": 7, "most": 20})],
 )
 def test_equals_counting_everything(spark, seed, settings):
     """Also where the sample proposes nothing, so that all comes from border failures."""

@@ -9,8 +9,8 @@ been counted over all texts, and every frequent phrase is such a one.
 
 Texts are numbered once, as written blocks of one group (language) each: the distinct words and,
 for every place, the number of its word. A pass counts inside each block with arrays, and groups
-the blocks' counts by Spark. Whether a word or pair is proposed is looked up in a bit map of
-`BITS` bits, sent to all tasks whatever the size of the data; where different ones share a bit,
+the blocks' counts by Spark. Whether a word or pair is proposed is looked up in a bit map of at
+most 2 ** `MOST_BITS` bits, sent to all tasks; where different ones share a bit,
 some phrases are counted without need, and all counts stay exact. Words are told apart by 64-bit
 hashes while they are counted.
 
@@ -45,8 +45,9 @@ LEAST = 10
 SAMPLE, SAMPLE_LEAST = 0.125, 2
 #: Words a block; a longer text is a block of its own.
 BLOCK_WORDS = 3_000_000
-#: Bits of a map of proposed words or pairs (2 ** BITS, 16 MB), and of one page of it.
-BITS, PAGE_BITS = 27, 21
+#: Bits of a map of proposed words or pairs: by the words that the sample proposes, between these
+#: powers of 2 (8 KB and 16 MB), whatever the size of the data.
+LEAST_BITS, MOST_BITS = 16, 27
 #: Parts that a group is ranked in before its best rows come together.
 PARTS = 64
 ENDS = b".,;:!?\n\v\f\r"
@@ -99,16 +100,13 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-class Proposed:
-    """Bit maps of proposed words and pairs."""
+def hits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = (hashes >> np.uint64(65 - len(bits).bit_length() - 3)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
-    def __init__(self, words: np.ndarray, pairs: np.ndarray):
-        self.words, self.pairs = words, pairs
 
-    @staticmethod
-    def hits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        slot = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
-        return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+#: Bit maps of the proposed words and of the proposed pairs.
+Proposed = tuple[np.ndarray, np.ndarray]
 
 
 def signed(hashes: np.ndarray) -> pa.Array:
@@ -122,7 +120,7 @@ def counted_phrases(batches: Iterator[pa.RecordBatch], now: Proposed, before: li
             codes, size = unsqueeze(row["codes"]), len(row["words"]) + 1
             hashes = np.zeros(size, np.uint64)
             hashes[1:] = [xxhash.xxh3_64_intdigest(w) for w in row["words"]]
-            word_of = [np.append(False, Proposed.hits(p.words, hashes[1:])) for p in (now, *before)]
+            word_of = [np.append(False, hits(p[0], hashes[1:])) for p in (now, *before)]
             first, second = codes[:-1], codes[1:]
             # One place less than pairs at the end; a piece's end is never proposed.
             at = np.nonzero(word_of[0][first] & word_of[0][second])[0]
@@ -134,7 +132,7 @@ def counted_phrases(batches: Iterator[pa.RecordBatch], now: Proposed, before: li
             mixed = pair_hash(left, right)
             for words, p in zip(word_of, (now, *before)):
                 both = words[x] & words[y]
-                pair_of.append(both & Proposed.hits(p.pairs, mixed))
+                pair_of.append(both & hits(p[1], mixed))
                 if p is not now:
                     known |= both
             new = ~known
@@ -198,25 +196,26 @@ def phrase_counts(blocks: DataFrame, now: Broadcast, before: list[Broadcast], le
     return cut_lineage(counts.groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
-def bit_map(rows: DataFrame, columns: list[str]) -> np.ndarray:
-    """A map with the bit of every word (column a) or pair (a, b); of fixed size, on the driver."""
+def bit_map(rows: DataFrame, columns: list[str], power: int) -> np.ndarray:
+    """A map of 2 ** `power` bits with that of every word (column a) or pair (a, b), on the driver."""
+    page_power = power - 6
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [np.asarray(batch.column(c)).view(np.uint64) for c in columns]
-            slot = (reduce(pair_hash, parts) >> np.uint64(64 - BITS)).astype(np.int64)
-            yield pa.RecordBatch.from_pydict({"page": pa.array(slot >> PAGE_BITS), "slot": pa.array(slot & ((1 << PAGE_BITS) - 1))})
+            slot = np.unique(reduce(pair_hash, parts) >> np.uint64(64 - power)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"page": pa.array(slot >> page_power), "slot": pa.array(slot & ((1 << page_power) - 1))})
 
     def page(key, pdf):
         import pandas as pd
 
-        bits = np.zeros(1 << PAGE_BITS, np.uint8)
+        bits = np.zeros(1 << page_power, np.uint8)
         bits[pdf["slot"].to_numpy()] = 1
         return pd.DataFrame({"page": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    found = rows.select(*columns).mapInArrow(slots, "page long, slot long").distinct()
-    out = np.zeros(1 << (BITS - 3), np.uint8)
-    width = 1 << (PAGE_BITS - 3)
+    found = rows.select(*columns).mapInArrow(slots, "page long, slot long")
+    out = np.zeros(1 << (power - 3), np.uint8)
+    width = 1 << (page_power - 3)
     for r in found.groupBy("page").applyInPandas(page, "page long, bits binary").collect():
         out[r["page"] * width : (r["page"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
     return out
@@ -234,19 +233,21 @@ def frequent(docs: DataFrame, lang: str, text: str, least: int, share: float, sa
     blocks = cut_lineage(rows.mapInArrow(lambda batches: numbered_blocks(batches, share, most), fields))
 
     drawn = blocks.filter("drawn")
-    nothing = np.zeros(1 << (BITS - 3), np.uint8)
-    words = bit_map(word_counts(drawn, sample_least), ["a"])
-    proposal = context.broadcast(Proposed(words, nothing))
-    pairs = bit_map(phrase_counts(drawn, proposal, [], sample_least, triples=False), ["a", "b"])
+    drawn_words = word_counts(drawn, sample_least)
+    power = min(MOST_BITS, max(LEAST_BITS, (64 * drawn_words.count()).bit_length()))
+    words = bit_map(drawn_words, ["a"], power)
+    proposal = context.broadcast((words, np.zeros_like(words)))
+    pairs = bit_map(phrase_counts(drawn, proposal, [], sample_least, triples=False), ["a", "b"], power)
+    proposal.unpersist()
     all_words = word_counts(blocks, least)
-    frequent_words = bit_map(all_words, ["a"])
+    frequent_words = bit_map(all_words, ["a"], power)
     passes, found = [], None
     while True:
-        proposal = context.broadcast(Proposed(words, pairs))
+        proposal = context.broadcast((words, pairs))
         counted = phrase_counts(blocks, proposal, passes, least)
         found = counted if found is None else found.unionByName(counted)
         passes.append(proposal)
-        frequent_pairs = bit_map(found.filter("c IS NULL"), ["a", "b"])
+        frequent_pairs = bit_map(found.filter("c IS NULL"), ["a", "b"], power)
         if not missing(words, frequent_words) and not missing(pairs, frequent_pairs):
             return blocks, all_words, found
         words, pairs = words | frequent_words, pairs | frequent_pairs
