@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -130,3 +131,30 @@ def test_a_base_span_is_cut_off_an_entropy_span():
     assert [k for k, _, _ in base] == ["hex"]
     covered = {i for _, s, e in every for i in range(s, e)}
     assert set(range(len(key))) <= covered and sum(e - s for _, s, e in every) == len(covered)
+
+
+def test_names_and_joined_words_as_defined():
+    """Words of two letters or more run together, or one letter, then a number; words with marks between."""
+    rng = random.Random(11)
+    name = re.compile(r"(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+|[A-Za-z])?\d{0,8}")
+    joined = re.compile(r"[a-z]+|[A-Z]+|[A-Z]?[a-z]+([-_/=+][A-Za-z]?[a-z]+)*")
+    for _ in range(40_000):
+        text = "".join(rng.choice("aabBB1-_") for _ in range(rng.randrange(12)))
+        assert bool(secrets.NAME.fullmatch(text)) == bool(name.fullmatch(text)), text
+        assert bool(secrets.ALLOWED[0].fullmatch(text)) == bool(joined.fullmatch(text)), text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "see " + "-".join(["some", "page"] * 100) + "-2024x",
+        "https://host.example/" + "/".join(["a" * 10_000, "9y", "b" * 5_000 + "C"]),
+        "https://host.example/" + "aB" * 5_000 + "/9y" * 50,
+        "x" * 10_000 + "9y" + "/z" * 3_000,
+        "Ab" * 20_000 + "-" * 20 + "=+" * 4_000,
+    ],
+)
+def test_long_texts_end(text):
+    start = time.process_time()
+    secrets.all_spans(text)
+    assert time.process_time() - start < 1.0

@@ -36,16 +36,17 @@ CLASSES = (
     ("alphanumeric", re.compile(r"[A-Za-z0-9]{20,}"), 3.8),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.9),
 )
-#: Candidates that are known not to be secret.
+#: Candidates that are known not to be secret. Patterns have one way to match a text, as candidates
+#: may be of any length.
 ALLOWED = (
-    re.compile(r"[a-z]+|[A-Z]+|[A-Z]?[a-z]+([-_/=+][A-Za-z]?[a-z]+)*"),  # words, also joined
+    re.compile(r"[a-z]+|[A-Z]+|[A-Z]?[a-z]+([-_/=+][A-Z]?[a-z]+)*"),  # words, also joined
     re.compile(r"[0-9+/_=-]+"),  # numbers, rulers, phone numbers
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # identifiers
     re.compile(r"(.{1,4})\1{4,}.{0,4}"),  # one short piece again and again
 )
 #: Paths, when each of their pieces is a name: words (also run together), then a number.
 PATH = re.compile(r"[\w=-]*(?:/[\w=-]*){2,}", re.A)
-NAME = re.compile(r"(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+|[A-Za-z])?\d{0,8}")
+NAME = re.compile(r"(?:[A-Za-z]|(?:[A-Z]*+[a-z]{2,}+)*+(?:[A-Z]{2,}+)?+)\d{0,8}")
 #: Text in front of a checksum, and of a part of an address.
 CHECKSUM = re.compile(r"(?:sha(?:1|256|384|512)|md5)[-:=]\Z", re.A)
 ADDRESS = re.compile(r"(?:https?|ftp)://(\S*)\Z", re.A)
