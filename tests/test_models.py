@@ -19,7 +19,6 @@ def rows(spark, small):
 @pytest.mark.parametrize("make", [
     lambda n: ml.logistic_regression(n, settings=QUICK),
     lambda n: ml.linear_svm(n, settings=QUICK),
-    lambda n: ml.random_forest(settings=QUICK),
 ])
 def test_fit_twice_gives_the_same(rows, make):
     n = rows.count()

@@ -1,4 +1,4 @@
-"""The classifiers that are compared, with their settings, as MLlib estimators."""
+"""The classifiers that are compared, with their settings: MLlib estimators, and trees that grow together."""
 
 from __future__ import annotations
 
@@ -7,19 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from versemill.models import trees
 from versemill.operators import metrics
 
 
@@ -62,32 +60,6 @@ def linear_svm(n: int, label="label", features="features", c: float = 1.0, setti
     return LinearSVC(regParam=1.0 / (c * n), maxIter=settings.iterations, standardization=False, threshold=0.0, **_columns(label, features))
 
 
-def decision_tree(
-    label="label", features="features", impurity="entropy", settings: Settings = Settings(), min_leaf: int = 1
-) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(
-        impurity=impurity, maxDepth=settings.tree_depth, minInstancesPerNode=min_leaf, seed=settings.seed, **_columns(label, features)
-    )
-
-
-def random_forest(label="label", features="features", settings: Settings = Settings()) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=settings.trees, maxDepth=settings.forest_depth, seed=settings.seed, **_columns(label, features))
-
-
-def gradient_boosting(
-    label="label", features="features", settings: Settings = Settings(), row_share: float = 0.8
-) -> GBTClassifier:
-    return GBTClassifier(
-        maxIter=settings.rounds,
-        stepSize=0.1,
-        maxDepth=settings.boost_depth,
-        subsamplingRate=row_share,
-        featureSubsetStrategy="0.8",
-        seed=settings.seed,
-        **_columns(label, features),
-    )
-
-
 #: Hidden layers of the nets that are compared.
 NETS = {"1": [32], "5": [512, 256, 128, 64], "6": [1024, 512, 256, 128, 64, 32]}
 
@@ -104,13 +76,19 @@ def classifiers(
     return {
         "logistic_regression": lambda n: logistic_regression(n, label, features, settings=settings),
         "linear_svm": lambda n: linear_svm(n, label, features, settings=settings),
-        "decision_tree": lambda n: decision_tree(label, features, settings=settings),
-        "random_forest": lambda n: random_forest(label, features, settings=settings),
-        "gradient_boosting": lambda n: gradient_boosting(label, features, settings=settings),
         "naive_bayes": lambda n: naive_bayes(label, features, counts),
     }
 
 
+def tree_fits(n_features: int, settings: Settings = Settings()) -> dict[str, trees.TreeFit]:
+    """The models that grow together (`versemill.models.trees`)."""
+    return {
+        "decision_tree": trees.decision_tree("entropy", settings.tree_depth, seed=settings.seed),
+        "random_forest": trees.random_forest(n_features, settings.trees, settings.forest_depth, seed=settings.seed),
+        "gradient_boosting": trees.gradient_boosting(settings.rounds, settings.boost_depth, seed=settings.seed),
+    }
+
+
 def score(predictions: DataFrame, label: str = "label") -> dict[str, float]:
     """Accuracy, precision, recall and F1 of a prediction column, from one pass."""
     return metrics.binary_metrics(predictions, label, "prediction").head().asDict()

@@ -7,17 +7,20 @@ prepared table, which callers keep as a written table.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from versemill.models import trees
 from versemill.models.classifiers import score
-from versemill.operators import encoding, sampling, terms
+from versemill.operators import encoding, metrics, sampling, terms
 from versemill.operators.ranking import join_small
 
 METRICS = ["accuracy", "precision", "recall", "f1"]
@@ -38,32 +41,92 @@ def fit_on(make: Callable[[int], Estimator], train: DataFrame):
     return make(train.count()).fit(train)
 
 
+def tree_scores(
+    fits: dict[str, trees.TreeFit], train: DataFrame, test: DataFrame, vec_col: str, label: str, key: str, fold: str | None, k: int
+) -> dict[str, tuple[list[dict], dict]]:
+    """name → (metrics on each fold by the fit without it, metrics on the test rows by the fit on all).
+
+    All folds of all fits grow together, and all their predictions are counted in two jobs.
+    """
+    plan = [(name, i) for name in fits for i in [*range(k), -1]]
+    model = trees.fit_trees(train, [replace(fits[name], left_out=i) for name, i in plan], vec_col, label, key, fold)
+
+    def counted(df: DataFrame, held: Column) -> dict[int, dict]:
+        each = model.predict(df, vec_col, "_scores").select(label, *([fold] if fold else []), F.posexplode("_scores").alias("_fit", "_score"))
+        each = each.withColumn("_out", F.get(F.array(*[F.lit(i) for _, i in plan]), F.col("_fit"))).filter(held)
+        rows = metrics.binary_metrics(each.withColumn("_said", trees.predicted(F.col("_score"))), label, "_said", "_fit").collect()
+        return {r["_fit"]: r.asDict() for r in rows}
+
+    tested = counted(test, F.col("_out") == -1)
+    seen = counted(train, F.col(fold) == F.col("_out")) if k else {}
+    out: dict[str, tuple[list[dict], dict]] = {name: ([], {}) for name in fits}
+    for number, (name, i) in enumerate(plan):
+        if i < 0:
+            out[name] = (out[name][0], tested[number])
+        else:
+            out[name][0].append(seen[number])
+    return out
+
+
 def compare_models(
-    models: dict[str, Callable[[int], Estimator]], train: DataFrame, test: DataFrame, label: str, feature_set: str
+    models: dict[str, Callable[[int], Estimator]],
+    fits: dict[str, trees.TreeFit],
+    train: DataFrame,
+    test: DataFrame,
+    label: str,
+    feature_set: str,
+    vec_col: str,
+    key: str,
 ) -> list[tuple]:
-    """Fit each model on the training part and score it on the test part."""
+    """Fit each model on the training part and score it on the test part; the trees together."""
     out = []
     for name, make in models.items():
         out += metric_rows(feature_set, name, "test", score(fit_on(make, train).transform(test), label))
+    for name, (_, tested) in tree_scores(fits, train, test, vec_col, label, key, None, 0).items():
+        out += metric_rows(feature_set, name, "test", tested)
     return out
 
 
 def cross_validate_refit(
-    models: dict[str, Callable[[int], Estimator]], train: DataFrame, test: DataFrame, label: str, fold: str, k: int, feature_set: str
+    models: dict[str, Callable[[int], Estimator]],
+    fits: dict[str, trees.TreeFit],
+    train: DataFrame,
+    test: DataFrame,
+    label: str,
+    fold: str,
+    k: int,
+    feature_set: str,
+    vec_col: str,
+    key: str,
+    parallelism: int = 4,
 ) -> list[tuple]:
     """Per model: mean and population deviation over folds, then a fit on all training rows."""
+
+    def one(job) -> dict:
+        make, i = job
+        if i < 0:
+            return score(fit_on(make, train).transform(test), label)
+        return score(fit_on(make, train.filter(F.col(fold) != i)).transform(train.filter(F.col(fold) == i)), label)
+
+    with ThreadPool(parallelism) as pool:
+        done = pool.map(one, [(make, i) for make in models.values() for i in [*range(k), -1]], chunksize=1)
+    results = {name: (done[at : at + k], done[at + k]) for name, at in zip(models, range(0, len(done), k + 1))}
+    results |= tree_scores(fits, train, test, vec_col, label, key, fold, k)
     out = []
-    for name, make in models.items():
-        seen = []
-        for i in range(k):
-            model = fit_on(make, train.filter(F.col(fold) != i))
-            seen.append(score(model.transform(train.filter(F.col(fold) == i)), label))
+    for name, (seen, tested) in results.items():
         for part, summary in (("cv_mean", np.mean), ("cv_std", np.std)):
             out += metric_rows(feature_set, name, part, {m: round(float(summary([s[m] for s in seen])), 4) for m in METRICS})
-        out += metric_rows(feature_set, name, "test", score(fit_on(make, train).transform(test), label))
+        out += metric_rows(feature_set, name, "test", tested)
     return out
 
 
+def _search_rows(name: str, sets: list[dict], means: list[float], test_f1: Callable[[int], float]) -> list[tuple]:
+    best = max(range(len(sets)), key=lambda i: means[i])
+    tested = float(test_f1(best))
+    shown = [", ".join(f"{p}={v}" for p, v in sorted(params.items())) for params in sets]
+    return [(name, shown[i], means[i], i == best, tested if i == best else None) for i in range(len(sets))]
+
+
 def grid_search(
     searches: dict[str, tuple[Callable[..., Estimator], dict[str, list]]],
     train: DataFrame,
@@ -72,6 +135,9 @@ def grid_search(
     fold: str,
     k: int,
     parallelism: int = 4,
+    tree_searches: dict[str, tuple[Callable[..., trees.TreeFit], dict[str, list]]] | None = None,
+    vec_col: str = "embedding",
+    key: str = "vec_id",
 ) -> DataFrame:
     """(model, params, f1, best, test_f1): mean F1 over the folds for each parameter set; the best
     set of each model is fitted on all training rows and scored on the test rows.
@@ -87,16 +153,17 @@ def grid_search(
         return score(model.transform(train.filter(F.col(fold) == i)), label)["f1"]
 
     rows = []
+    for name, (fits, grid) in (tree_searches or {}).items():
+        sets = [dict(zip(grid, values)) for values in product(*grid.values())]
+        scored = tree_scores({str(i): fits(**params) for i, params in enumerate(sets)}, train, test, vec_col, label, key, fold, k)
+        means = [float(np.mean([s["f1"] for s in scored[str(i)][0]])) for i in range(len(sets))]
+        rows += _search_rows(name, sets, means, lambda best: scored[str(best)][1]["f1"])
     for name, (make, grid) in searches.items():
         sets = [dict(zip(grid, values)) for values in product(*grid.values())]
         with ThreadPool(parallelism) as pool:
             scores = pool.map(fold_score, [(make, params, i) for params in sets for i in range(k)], chunksize=1)
         means = [float(np.mean(scores[i * k : (i + 1) * k])) for i in range(len(sets))]
-        best = max(range(len(sets)), key=lambda i: means[i])
-        tested = score(make(total, **sets[best]).fit(train).transform(test), label)["f1"]
-        for i, params in enumerate(sets):
-            shown = ", ".join(f"{p}={v}" for p, v in sorted(params.items()))
-            rows.append((name, shown, means[i], i == best, float(tested) if i == best else None))
+        rows += _search_rows(name, sets, means, lambda best: score(make(total, **sets[best]).fit(train).transform(test), label)["f1"])
     return train.sparkSession.createDataFrame(rows, "model string, params string, f1 double, best boolean, test_f1 double")
 
 
@@ -166,12 +233,24 @@ def column_vectors(
 
 
 def ablation(
-    train: DataFrame, test: DataFrame, columns: list[str], models: dict[str, Callable[[int], Estimator]], label: str, leave_out: bool
+    train: DataFrame,
+    test: DataFrame,
+    columns: list[str],
+    models: dict[str, Callable[[int], Estimator]],
+    fits: Callable[[int], dict[str, trees.TreeFit]],
+    label: str,
+    key: str,
+    leave_out: bool,
+    parallelism: int = 3,
 ) -> list[tuple]:
     """Each column alone, or all columns but one; the feature set is named by that column."""
-    out = []
-    for column in columns:
+
+    def one(column: str) -> list[tuple]:
         used = [c for c in columns if c != column] if leave_out else [column]
         join = VectorAssembler(inputCols=[f"v_{c}" for c in used], outputCol="features")
-        out += compare_models(models, join.transform(train), join.transform(test), label, column)
-    return out
+        parts = [join.transform(df).withColumn("_dense", vector_to_array("features")) for df in (train, test)]
+        width = len(parts[0].select("_dense").head()["_dense"])
+        return compare_models(models, fits(width), *parts, label, column, "_dense", key)
+
+    with ThreadPool(parallelism) as pool:
+        return [row for rows in pool.map(one, columns, chunksize=1) for row in rows]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler
 from pyspark.sql import functions as F
 
 from versemill.functions.parsing import label_lower_yes
 from versemill.models import classifiers as ml
-from versemill.models import experiments, linear
+from versemill.models import experiments, linear, trees
 from versemill.models import vectors as vec
 from versemill.operators import metrics, sampling, terms
 from versemill.plans.registry import query, table
@@ -59,19 +61,74 @@ def linear_svm(spark, folder):
     return _tested(spark, folder, lambda n: ml.linear_svm(n))
 
 
+def _trees_tested(spark, folder, name):
+    rows = embedding_rows(spark, folder)
+    train, test, _ = _parts(rows)
+    _, tested = experiments.tree_scores({name: _tree_fits(rows)[name]}, train, test, "embedding", "label", "vec_id", None, 0)[name]
+    return spark.createDataFrame([tuple(float(tested[m]) for m in experiments.METRICS)], ", ".join(f"{m} double" for m in experiments.METRICS))
+
+
+def _tree_fits(rows):
+    return ml.tree_fits(len(rows.select("embedding").head()["embedding"]))
+
+
 @query("decision_tree")
 def decision_tree(spark, folder):
-    return _tested(spark, folder, lambda n: ml.decision_tree())
+    return _trees_tested(spark, folder, "decision_tree")
 
 
 @query("random_forest")
 def random_forest(spark, folder):
-    return _tested(spark, folder, lambda n: ml.random_forest())
+    return _trees_tested(spark, folder, "random_forest")
 
 
 @query("gradient_boosting")
 def gradient_boosting(spark, folder):
-    return _tested(spark, folder, lambda n: ml.gradient_boosting())
+    return _trees_tested(spark, folder, "gradient_boosting")
+
+
+def _root_sql(gain: str, least: str) -> str:
+    """The best cut of all features at their quantiles, by whole sums."""
+    shares = ", ".join(f"{i}/{trees.BINS}::DOUBLE" for i in range(1, trees.BINS))
+    return f"""WITH e AS (SELECT (label >= 5)::INT AS y, unnest(range(len(embedding)))::INT AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),
+      q AS (SELECT d, unnest(list_distinct(quantile_disc(x, [{shares}]))) AS c FROM e GROUP BY d),
+      s AS (SELECT d, c, (count(*) FILTER (x <= c))::DOUBLE AS n, (sum(y) FILTER (x <= c))::DOUBLE AS o, count(*)::DOUBLE AS nn, sum(y)::DOUBLE AS oo
+            FROM e JOIN q USING (d) GROUP BY d, c),
+      g AS (SELECT *, round({gain}, 9) AS gain FROM s WHERE {least})
+      SELECT d AS feature, n::BIGINT AS n_left, round(gain, 6) AS gain FROM g ORDER BY g.gain DESC, d, c LIMIT 1"""
+
+
+def _entropy_sql(o: str, n: str) -> str:
+    p = f"(({o}) / ({n}))"
+    return f"({n}) * (CASE WHEN {p} > 0 THEN {p} * log2({p}) ELSE 0 END + CASE WHEN {p} < 1 THEN (1 - {p}) * log2(1 - {p}) ELSE 0 END)"
+
+
+def _boost_sql(o: str, n: str) -> str:
+    return f"(0.5 * ({n}) - ({o})) * (0.5 * ({n}) - ({o})) / (0.25 * ({n}) + 1)"
+
+
+def _root(spark, folder, fit):
+    """Feature, rows up to the cut, and gain of the first split of a fit on all rows."""
+    rows = table(spark, folder, "embeddings").select("vec_id", (F.col("label") >= 5).cast("int").alias("label"), "embedding")
+    model = trees.fit_trees(rows, [fit], "embedding", "label", "vec_id")
+    root = model.rows.filter("node = 1").select("feature", "cut", "gain").head()
+    edge = float(model.edges[root["feature"]][root["cut"]])
+    below = F.get(F.col("embedding"), F.lit(root["feature"])).cast("double") <= edge
+    counted = rows.agg(F.sum(below.cast("bigint")).alias("n_left"))
+    return counted.select(F.lit(root["feature"]).alias("feature"), "n_left", F.round(F.lit(root["gain"]), 6).alias("gain"))
+
+
+@query("tree_root_split", _root_sql(f"{_entropy_sql('o', 'n')} + {_entropy_sql('oo - o', 'nn - n')} - {_entropy_sql('oo', 'nn')}", "n < nn"))
+def tree_root_split(spark, folder):
+    return _root(spark, folder, trees.decision_tree("entropy", 1))
+
+
+@query(
+    "boosting_root_split",
+    _root_sql(f"{_boost_sql('o', 'n')} + {_boost_sql('oo - o', 'nn - n')} - {_boost_sql('oo', 'nn')}", "0.25 * n >= 1 AND 0.25 * (nn - n) >= 1"),
+)
+def boosting_root_split(spark, folder):
+    return _root(spark, folder, replace(trees.gradient_boosting(1, 1, rows=1.0), columns=1.0))
 
 
 @query("mlp")
@@ -90,19 +147,19 @@ def mlp(spark, folder):
 @query("grid_search")
 def grid_search(spark, folder):
     train, test, _ = _parts(embedding_rows(spark, folder))
-    boosted = lambda n, depth, share: ml.gradient_boosting(settings=ml.Settings(boost_depth=depth), row_share=share)
-
-    def tree(n, impurity, depth, split, leaf):
-        # MLlib has no least size of a split node: a node of fewer than two leaves is not split.
-        return ml.decision_tree(impurity=impurity, settings=ml.Settings(tree_depth=depth), min_leaf=max(leaf, -(-split // 2)))
-
     searches = {
         "logistic_regression": (lambda n, c: ml.logistic_regression(n, c=c), {"c": [0.1, 1.0]}),
         "linear_svm": (lambda n, c: ml.linear_svm(n, c=c), {"c": [0.1, 1.0]}),
-        "decision_tree": (tree, {"impurity": ["gini", "entropy"], "depth": [4, 5, 6, 7, 10], "split": [2, 5], "leaf": [1, 2]}),
-        "gradient_boosting": (boosted, {"depth": [6, 8], "share": [0.7, 0.8]}),
+        "naive_bayes": (lambda n, smoothing: ml.naive_bayes().setSmoothing(smoothing), {"smoothing": [1e-9, 1e-8]}),
     }
-    return experiments.grid_search(searches, train, test, "label", "fold", FOLDS)
+    grown = {
+        "decision_tree": (
+            lambda impurity, depth, split, leaf: trees.decision_tree(impurity, depth, min_split=split, min_leaf=leaf),
+            {"impurity": ["gini", "entropy"], "depth": [4, 5, 6, 7, 10], "split": [2, 5], "leaf": [1, 2]},
+        ),
+        "gradient_boosting": (lambda depth, share: trees.gradient_boosting(200, depth, share), {"depth": [6, 8], "share": [0.7, 0.8]}),
+    }
+    return experiments.grid_search(searches, train, test, "label", "fold", FOLDS, tree_searches=grown)
 
 
 @query("grid_search_text")
@@ -123,7 +180,9 @@ def grid_search_text(spark, folder):
 @query("cross_validate_refit")
 def cross_validate_refit(spark, folder):
     train, test, _ = _parts(embedding_rows(spark, folder))
-    rows = experiments.cross_validate_refit(ml.classifiers(), train, test, "label", "fold", FOLDS, "embedding")
+    rows = experiments.cross_validate_refit(
+        ml.classifiers(), _tree_fits(train), train, test, "label", "fold", FOLDS, "embedding", "embedding", "vec_id"
+    )
     return experiments.result_table(spark, rows)
 
 
@@ -131,7 +190,7 @@ def cross_validate_refit(spark, folder):
 def compare_models(spark, folder):
     """All models on one feature set, in order of F1."""
     train, test, _ = _parts(embedding_rows(spark, folder))
-    rows = experiments.compare_models(ml.classifiers(), train, test, "label", "embedding")
+    rows = experiments.compare_models(ml.classifiers(), _tree_fits(train), train, test, "label", "embedding", "embedding", "vec_id")
     f1 = experiments.result_table(spark, rows).filter("metric = 'f1'")
     return metrics.leaderboard(f1.withColumnRenamed("value", "f1"), "feature_set", "model", "f1")
 
@@ -161,7 +220,7 @@ def _ablation(spark, folder, leave_out):
     vectors = cut_lineage(experiments.column_vectors(train, rows, "doc_id", NUMBERS, TEXTS))
     train, test, _ = _parts(vectors)
     balanced = sampling.undersample(train, "doc_id", "label")
-    result = experiments.ablation(cut_lineage(balanced), test, NUMBERS + TEXTS, ml.classifiers(), "label", leave_out)
+    result = experiments.ablation(cut_lineage(balanced), test, NUMBERS + TEXTS, ml.classifiers(), ml.tree_fits, "label", "doc_id", leave_out)
     wide = experiments.result_table(spark, result).groupBy("feature_set", "model").pivot("metric", experiments.METRICS).agg(F.first("value"))
     return metrics.best_per_group(wide, "feature_set", "model", "f1")
 
