@@ -44,7 +44,7 @@ LEAST = 10
 #: Share of the texts in the sample, and its lowered limit.
 SAMPLE, SAMPLE_LEAST = 0.125, 2
 #: Words a block; a longer text is a block of its own.
-BLOCK_WORDS = 3_000_000
+BLOCK_WORDS = 2_000_000
 #: Bits of a map of proposed words or pairs: by the words that the sample proposes, between these
 #: powers of 2 (8 KB and 16 MB), whatever the size of the data.
 LEAST_BITS, MOST_BITS = 16, 27
@@ -94,6 +94,19 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch], share: float, most: int)
         yield row(key, numbers, codes, size[0])
 
 
+def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Blocks as rows, one in memory at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            yield batch.slice(start, most)
+
+
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     mixed = a * ODD[0] ^ (a >> np.uint64(31))
     mixed = (mixed + b) * ODD[1]
@@ -115,74 +128,72 @@ def signed(hashes: np.ndarray) -> pa.Array:
 
 def counted_phrases(batches: Iterator[pa.RecordBatch], now: Proposed, before: list[Proposed], triples: bool) -> Iterator[pa.RecordBatch]:
     """Counts of the pairs and triples of each block that `now` admits and nothing before did."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            codes, size = unsqueeze(row["codes"]), len(row["words"]) + 1
-            hashes = np.zeros(size, np.uint64)
-            hashes[1:] = [xxhash.xxh3_64_intdigest(w) for w in row["words"]]
-            word_of = [np.append(False, hits(p[0], hashes[1:])) for p in (now, *before)]
-            first, second = codes[:-1], codes[1:]
-            # One place less than pairs at the end; a piece's end is never proposed.
-            at = np.nonzero(word_of[0][first] & word_of[0][second])[0]
-            keys, place, n = np.unique(first[at] * size + second[at], return_inverse=True, return_counts=True)
-            x, y = keys // size, keys % size
-            left, right = hashes[x], hashes[y]
-            known = np.zeros(len(keys), bool)
-            pair_of = []
-            mixed = pair_hash(left, right)
-            for words, p in zip(word_of, (now, *before)):
-                both = words[x] & words[y]
-                pair_of.append(both & hits(p[1], mixed))
-                if p is not now:
-                    known |= both
-            new = ~known
-            if new.any():
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": pa.array([row["lang"]] * int(new.sum()), pa.string()),
-                        "a": signed(left[new]), "b": signed(right[new]),
-                        "c": pa.nulls(int(new.sum()), pa.int64()), "n": pa.array(n[new], pa.int64()),
-                    }
-                )
-            if not triples or len(at) < 2:
-                continue
-            held = pair_of[0][place]
-            start = np.nonzero((at[1:] == at[:-1] + 1) & held[1:] & held[:-1])[0]
-            keys, n = np.unique(place[start] * size + y[place[start + 1]], return_counts=True)
-            one, z = keys // size, keys % size
-            two = np.searchsorted(x * size + y, y[one] * size + z)
-            new = np.ones(len(keys), bool)
-            for pairs in pair_of[1:]:
-                new &= ~(pairs[one] & pairs[two])
-            if new.any():
-                one, z, n = one[new], z[new], n[new]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": pa.array([row["lang"]] * len(n), pa.string()),
-                        "a": signed(left[one]), "b": signed(right[one]), "c": signed(hashes[z]), "n": pa.array(n, pa.int64()),
-                    }
-                )
-
-
-def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            words = row["words"]
-            n = np.bincount(unsqueeze(row["codes"]), minlength=len(words) + 1)[1:]
-            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    for row in one_by_one(batches):
+        codes, size = unsqueeze(row["codes"]), len(row["words"]) + 1
+        hashes = np.zeros(size, np.uint64)
+        hashes[1:] = [xxhash.xxh3_64_intdigest(w) for w in row["words"]]
+        word_of = [np.append(False, hits(p[0], hashes[1:])) for p in (now, *before)]
+        first, second = codes[:-1], codes[1:]
+        # One place less than pairs at the end; a piece's end is never proposed.
+        at = np.nonzero(word_of[0][first] & word_of[0][second])[0]
+        keys, place, n = np.unique(first[at] * size + second[at], return_inverse=True, return_counts=True)
+        x, y = keys // size, keys % size
+        left, right = hashes[x], hashes[y]
+        known = np.zeros(len(keys), bool)
+        pair_of = []
+        mixed = pair_hash(left, right)
+        for words, p in zip(word_of, (now, *before)):
+            both = words[x] & words[y]
+            pair_of.append(both & hits(p[1], mixed))
+            if p is not now:
+                known |= both
+        new = ~known
+        if new.any():
             yield pa.RecordBatch.from_pydict(
                 {
-                    "lang": pa.array([row["lang"]] * len(words), pa.string()),
-                    "a": signed(hashes),
-                    "word": pa.array(words, pa.binary()).cast(pa.string()),
-                    "n": pa.array(n, pa.int64()),
+                    "lang": pa.array([row["lang"]] * int(new.sum()), pa.string()),
+                    "a": signed(left[new]), "b": signed(right[new]),
+                    "c": pa.nulls(int(new.sum()), pa.int64()), "n": pa.array(n[new], pa.int64()),
                 }
-            )
+            )
+        if not triples or len(at) < 2:
+            continue
+        held = pair_of[0][place]
+        start = np.nonzero((at[1:] == at[:-1] + 1) & held[1:] & held[:-1])[0]
+        keys, n = np.unique(place[start] * size + y[place[start + 1]], return_counts=True)
+        one, z = keys // size, keys % size
+        two = np.searchsorted(x * size + y, y[one] * size + z)
+        new = np.ones(len(keys), bool)
+        for pairs in pair_of[1:]:
+            new &= ~(pairs[one] & pairs[two])
+        if new.any():
+            one, z, n = one[new], z[new], n[new]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([row["lang"]] * len(n), pa.string()),
+                    "a": signed(left[one]), "b": signed(right[one]), "c": signed(hashes[z]), "n": pa.array(n, pa.int64()),
+                }
+            )
+
+
+def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in one_by_one(batches):
+        words = row["words"]
+        n = np.bincount(unsqueeze(row["codes"]), minlength=len(words) + 1)[1:]
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "lang": pa.array([row["lang"]] * len(words), pa.string()),
+                "a": signed(hashes),
+                "word": pa.array(words, pa.binary()).cast(pa.string()),
+                "n": pa.array(n, pa.int64()),
+            }
+        )
 
 
 def word_counts(blocks: DataFrame, least: int) -> DataFrame:
     """(lang, a, word, n) of the words that occur `least` times (written)."""
-    counts = blocks.mapInArrow(counted_words, "lang string, a long, word string, n long")
+    counts = blocks.mapInArrow(lambda batches: in_slices(counted_words(batches)), "lang string, a long, word string, n long")
     return cut_lineage(counts.groupBy("lang", "a", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
@@ -190,7 +201,7 @@ def phrase_counts(blocks: DataFrame, now: Broadcast, before: list[Broadcast], le
     """(lang, a, b, c, n) of the phrases counted in this pass that occur `least` times (written)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from counted_phrases(batches, now.value, [b.value for b in before], triples)
+        yield from in_slices(counted_phrases(batches, now.value, [b.value for b in before], triples))
 
     counts = blocks.mapInArrow(run, "lang string, a long, b long, c long, n long")
     return cut_lineage(counts.groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
