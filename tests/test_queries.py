@@ -8,7 +8,7 @@ from compare import check
 # Minutes each with the full model sizes; `compare.py` runs them as well.
 SLOW = {
     "grid_search", "elbow_sweep", "best_k", "leakage_safe_fit", "ablation_single", "ablation_leave_one_out",
-    "compare_models", "cross_validate_refit", "gradient_boosting", "mlp",
+    "compare_models", "cross_validate_refit", "mlp",
 }
 QUERIES, SQL = queries(), oracle_sql()
 
