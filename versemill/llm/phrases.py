@@ -44,7 +44,7 @@ LEAST = 10
 #: Share of the texts in the sample, and its lowered limit.
 SAMPLE, SAMPLE_LEAST = 0.125, 2
 #: Words a block; a longer text is a block of its own.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 700_000
 #: Bits of a map of proposed words or pairs: by the words that the sample proposes, between these
 #: powers of 2 (8 KB and 16 MB), whatever the size of the data.
 LEAST_BITS, MOST_BITS = 16, 27
