@@ -70,6 +70,7 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch], share: float, most: int)
                 "drawn": pa.array([key[1]], pa.bool_()),
                 "n": pa.array([size], pa.int64()),
                 "words": pa.array([words], pa.list_(pa.binary())),
+                "hashes": pa.array([np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).tobytes()], pa.binary()),
                 "codes": pa.array([squeeze(np.concatenate(codes))], pa.binary()),
             }
         )
@@ -129,9 +130,9 @@ def signed(hashes: np.ndarray) -> pa.Array:
 def counted_phrases(batches: Iterator[pa.RecordBatch], now: Proposed, before: list[Proposed], triples: bool) -> Iterator[pa.RecordBatch]:
     """Counts of the pairs and triples of each block that `now` admits and nothing before did."""
     for row in one_by_one(batches):
-        codes, size = unsqueeze(row["codes"]), len(row["words"]) + 1
-        hashes = np.zeros(size, np.uint64)
-        hashes[1:] = [xxhash.xxh3_64_intdigest(w) for w in row["words"]]
+        codes = unsqueeze(row["codes"])
+        hashes = np.append(np.uint64(0), np.frombuffer(row["hashes"], np.uint64))
+        size = len(hashes)
         word_of = [np.append(False, hits(p[0], hashes[1:])) for p in (now, *before)]
         first, second = codes[:-1], codes[1:]
         # One place less than pairs at the end; a piece's end is never proposed.
@@ -180,7 +181,7 @@ def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for row in one_by_one(batches):
         words = row["words"]
         n = np.bincount(unsqueeze(row["codes"]), minlength=len(words) + 1)[1:]
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+        hashes = np.frombuffer(row["hashes"], np.uint64)
         yield pa.RecordBatch.from_pydict(
             {
                 "lang": pa.array([row["lang"]] * len(words), pa.string()),
@@ -203,7 +204,7 @@ def phrase_counts(blocks: DataFrame, now: Broadcast, before: list[Broadcast], le
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_slices(counted_phrases(batches, now.value, [b.value for b in before], triples))
 
-    counts = blocks.mapInArrow(run, "lang string, a long, b long, c long, n long")
+    counts = blocks.select("lang", "hashes", "codes").mapInArrow(run, "lang string, a long, b long, c long, n long")
     return cut_lineage(counts.groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
@@ -240,7 +241,7 @@ def frequent(docs: DataFrame, lang: str, text: str, least: int, share: float, sa
     """(blocks, words, phrases): all words and phrases of up to three words that occur `least` times in a group."""
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    fields = "lang string, drawn boolean, n long, words array<binary>, codes binary"
+    fields = "lang string, drawn boolean, n long, words array<binary>, hashes binary, codes binary"
     blocks = cut_lineage(rows.mapInArrow(lambda batches: numbered_blocks(batches, share, most), fields))
 
     drawn = blocks.filter("drawn")
