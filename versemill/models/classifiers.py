@@ -1,11 +1,9 @@
-"""The classifiers that are compared, with their settings: MLlib estimators, and trees that grow together."""
+"""The classifiers that are compared, with their settings: those fitted together, and MLlib estimators."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -17,7 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from versemill.models import trees
+from versemill.models import gauss, lines, trees
 from versemill.operators import metrics
 
 
@@ -69,20 +67,12 @@ def naive_bayes(label="label", features="features", counts: bool = False) -> Nai
     return NaiveBayes(modelType="multinomial" if counts else "gaussian", smoothing=1.0, **_columns(label, features))
 
 
-def classifiers(
-    label="label", features="features", counts: bool = False, settings: Settings = Settings()
-) -> dict[str, Callable[[int], Estimator]]:
-    """Name → estimator for so many fitted rows (the penalties depend on their number)."""
-    return {
-        "logistic_regression": lambda n: logistic_regression(n, label, features, settings=settings),
-        "linear_svm": lambda n: linear_svm(n, label, features, settings=settings),
-        "naive_bayes": lambda n: naive_bayes(label, features, counts),
-    }
-
-
-def tree_fits(n_features: int, settings: Settings = Settings()) -> dict[str, trees.TreeFit]:
-    """The models that grow together (`versemill.models.trees`)."""
+def joint_fits(n_features: int, settings: Settings = Settings()) -> dict[str, trees.TreeFit | lines.LineFit | gauss.GaussFit]:
+    """The classifiers that are compared; those of a kind are fitted together."""
     return {
+        "logistic_regression": lines.LineFit("logistic"),
+        "linear_svm": lines.LineFit("hinge"),
+        "naive_bayes": gauss.GaussFit(),
         "decision_tree": trees.decision_tree("entropy", settings.tree_depth, seed=settings.seed),
         "random_forest": trees.random_forest(n_features, settings.trees, settings.forest_depth, seed=settings.seed),
         "gradient_boosting": trees.gradient_boosting(settings.rounds, settings.boost_depth, seed=settings.seed),

@@ -1,7 +1,7 @@
 """Experiments: cross-validation, grid search, comparison, ablation.
 
-The driver loops over models, folds and columns; every fit and score is a Spark job on a
-prepared table, which callers keep as a written table.
+Fits of a kind (trees, linear models, Gaussian naive Bayes) are made together, all folds and
+parameter sets at once, on a prepared table, which callers keep as a written table.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.models import trees
+from versemill.models import gauss, lines, trees
 from versemill.models.classifiers import score
 from versemill.operators import encoding, metrics, sampling, terms
 from versemill.operators.ranking import join_small
 
 METRICS = ["accuracy", "precision", "recall", "f1"]
+#: Settings of one fit of a kind that is fitted together.
+Fit = trees.TreeFit | lines.LineFit | gauss.GaussFit
 RESULT = "feature_set string, model string, part string, metric string, value double"
 
 
@@ -41,15 +43,28 @@ def fit_on(make: Callable[[int], Estimator], train: DataFrame):
     return make(train.count()).fit(train)
 
 
-def tree_scores(
-    fits: dict[str, trees.TreeFit], train: DataFrame, test: DataFrame, vec_col: str, label: str, key: str, fold: str | None, k: int
+#: Kinds of fits of which many are made together, by the type of their settings.
+TOGETHER = {trees.TreeFit: trees.fit_trees, lines.LineFit: lines.fit_lines, gauss.GaussFit: gauss.fit_gauss}
+
+
+def joint_scores(
+    fits: dict[str, Fit], train: DataFrame, test: DataFrame, vec_col: str, label: str, key: str, fold: str | None, k: int
 ) -> dict[str, tuple[list[dict], dict]]:
     """name → (metrics on each fold by the fit without it, metrics on the test rows by the fit on all).
 
-    All folds of all fits grow together, and all their predictions are counted in two jobs.
+    All folds of all fits of a kind are made together, and all their predictions are counted in two jobs.
     """
+    out: dict[str, tuple[list[dict], dict]] = {}
+    for kind, fit_all in TOGETHER.items():
+        held = {name: fit for name, fit in fits.items() if isinstance(fit, kind)}
+        if held:
+            out |= _scores_of(fit_all, held, train, test, vec_col, label, key, fold, k)
+    return {name: out[name] for name in fits}
+
+
+def _scores_of(fit_all, fits, train, test, vec_col, label, key, fold, k) -> dict[str, tuple[list[dict], dict]]:
     plan = [(name, i) for name in fits for i in [*range(k), -1]]
-    model = trees.fit_trees(train, [replace(fits[name], left_out=i) for name, i in plan], vec_col, label, key, fold)
+    model = fit_all(train, [replace(fits[name], left_out=i) for name, i in plan], vec_col, label, key, fold)
 
     def counted(df: DataFrame, held: Column) -> dict[int, dict]:
         each = model.predict(df, vec_col, "_scores").select(label, *([fold] if fold else []), F.posexplode("_scores").alias("_fit", "_score"))
@@ -69,51 +84,21 @@ def tree_scores(
 
 
 def compare_models(
-    models: dict[str, Callable[[int], Estimator]],
-    fits: dict[str, trees.TreeFit],
-    train: DataFrame,
-    test: DataFrame,
-    label: str,
-    feature_set: str,
-    vec_col: str,
-    key: str,
+    fits: dict[str, Fit], train: DataFrame, test: DataFrame, label: str, feature_set: str, vec_col: str, key: str
 ) -> list[tuple]:
-    """Fit each model on the training part and score it on the test part; the trees together."""
+    """Fit each model on the training part and score it on the test part; those of a kind together."""
     out = []
-    for name, make in models.items():
-        out += metric_rows(feature_set, name, "test", score(fit_on(make, train).transform(test), label))
-    for name, (_, tested) in tree_scores(fits, train, test, vec_col, label, key, None, 0).items():
+    for name, (_, tested) in joint_scores(fits, train, test, vec_col, label, key, None, 0).items():
         out += metric_rows(feature_set, name, "test", tested)
     return out
 
 
 def cross_validate_refit(
-    models: dict[str, Callable[[int], Estimator]],
-    fits: dict[str, trees.TreeFit],
-    train: DataFrame,
-    test: DataFrame,
-    label: str,
-    fold: str,
-    k: int,
-    feature_set: str,
-    vec_col: str,
-    key: str,
-    parallelism: int = 4,
+    fits: dict[str, Fit], train: DataFrame, test: DataFrame, label: str, fold: str, k: int, feature_set: str, vec_col: str, key: str
 ) -> list[tuple]:
     """Per model: mean and population deviation over folds, then a fit on all training rows."""
-
-    def one(job) -> dict:
-        make, i = job
-        if i < 0:
-            return score(fit_on(make, train).transform(test), label)
-        return score(fit_on(make, train.filter(F.col(fold) != i)).transform(train.filter(F.col(fold) == i)), label)
-
-    with ThreadPool(parallelism) as pool:
-        done = pool.map(one, [(make, i) for make in models.values() for i in [*range(k), -1]], chunksize=1)
-    results = {name: (done[at : at + k], done[at + k]) for name, at in zip(models, range(0, len(done), k + 1))}
-    results |= tree_scores(fits, train, test, vec_col, label, key, fold, k)
     out = []
-    for name, (seen, tested) in results.items():
+    for name, (seen, tested) in joint_scores(fits, train, test, vec_col, label, key, fold, k).items():
         for part, summary in (("cv_mean", np.mean), ("cv_std", np.std)):
             out += metric_rows(feature_set, name, part, {m: round(float(summary([s[m] for s in seen])), 4) for m in METRICS})
         out += metric_rows(feature_set, name, "test", tested)
@@ -135,7 +120,7 @@ def grid_search(
     fold: str,
     k: int,
     parallelism: int = 4,
-    tree_searches: dict[str, tuple[Callable[..., trees.TreeFit], dict[str, list]]] | None = None,
+    joint: dict[str, tuple[Callable[..., Fit], dict[str, list]]] | None = None,
     vec_col: str = "embedding",
     key: str = "vec_id",
 ) -> DataFrame:
@@ -143,6 +128,7 @@ def grid_search(
     set of each model is fitted on all training rows and scored on the test rows.
 
     A search is a function of (rows fitted, parameters by name) and the values of each parameter.
+    Those in `joint` take the parameters alone; all their sets and folds are fitted together.
     """
     sizes = {r[fold]: r["count"] for r in train.groupBy(fold).count().collect()}
     total = sum(sizes.values())
@@ -153,17 +139,17 @@ def grid_search(
         return score(model.transform(train.filter(F.col(fold) == i)), label)["f1"]
 
     rows = []
-    for name, (fits, grid) in (tree_searches or {}).items():
-        sets = [dict(zip(grid, values)) for values in product(*grid.values())]
-        scored = tree_scores({str(i): fits(**params) for i, params in enumerate(sets)}, train, test, vec_col, label, key, fold, k)
-        means = [float(np.mean([s["f1"] for s in scored[str(i)][0]])) for i in range(len(sets))]
-        rows += _search_rows(name, sets, means, lambda best: scored[str(best)][1]["f1"])
-    for name, (make, grid) in searches.items():
-        sets = [dict(zip(grid, values)) for values in product(*grid.values())]
+    sets = {name: [dict(zip(grid, values)) for values in product(*grid.values())] for name, (_, grid) in ((joint or {}) | searches).items()}
+    fits = {(name, i): make(**params) for name, (make, _) in (joint or {}).items() for i, params in enumerate(sets[name])}
+    scored = joint_scores(fits, train, test, vec_col, label, key, fold, k)
+    for name in joint or {}:
+        means = [float(np.mean([s["f1"] for s in scored[name, i][0]])) for i in range(len(sets[name]))]
+        rows += _search_rows(name, sets[name], means, lambda best: scored[name, best][1]["f1"])
+    for name, (make, _) in searches.items():
         with ThreadPool(parallelism) as pool:
-            scores = pool.map(fold_score, [(make, params, i) for params in sets for i in range(k)], chunksize=1)
-        means = [float(np.mean(scores[i * k : (i + 1) * k])) for i in range(len(sets))]
-        rows += _search_rows(name, sets, means, lambda best: score(make(total, **sets[best]).fit(train).transform(test), label)["f1"])
+            scores = pool.map(fold_score, [(make, params, i) for params in sets[name] for i in range(k)], chunksize=1)
+        means = [float(np.mean(scores[i * k : (i + 1) * k])) for i in range(len(sets[name]))]
+        rows += _search_rows(name, sets[name], means, lambda best: score(make(total, **sets[name][best]).fit(train).transform(test), label)["f1"])
     return train.sparkSession.createDataFrame(rows, "model string, params string, f1 double, best boolean, test_f1 double")
 
 
@@ -236,8 +222,7 @@ def ablation(
     train: DataFrame,
     test: DataFrame,
     columns: list[str],
-    models: dict[str, Callable[[int], Estimator]],
-    fits: Callable[[int], dict[str, trees.TreeFit]],
+    fits: Callable[[int], dict[str, Fit]],
     label: str,
     key: str,
     leave_out: bool,
@@ -250,7 +235,7 @@ def ablation(
         join = VectorAssembler(inputCols=[f"v_{c}" for c in used], outputCol="features")
         parts = [join.transform(df).withColumn("_dense", vector_to_array("features")) for df in (train, test)]
         width = len(parts[0].select("_dense").head()["_dense"])
-        return compare_models(models, fits(width), *parts, label, column, "_dense", key)
+        return compare_models(fits(width), *parts, label, column, "_dense", key)
 
     with ThreadPool(parallelism) as pool:
         return [row for rows in pool.map(one, columns, chunksize=1) for row in rows]

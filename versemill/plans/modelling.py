@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from versemill.functions.parsing import label_lower_yes
 from versemill.models import classifiers as ml
-from versemill.models import experiments, linear, trees
+from versemill.models import experiments, gauss, linear, lines, trees
 from versemill.models import vectors as vec
 from versemill.operators import metrics, sampling, terms
 from versemill.plans.registry import query, table
@@ -64,12 +64,12 @@ def linear_svm(spark, folder):
 def _trees_tested(spark, folder, name):
     rows = embedding_rows(spark, folder)
     train, test, _ = _parts(rows)
-    _, tested = experiments.tree_scores({name: _tree_fits(rows)[name]}, train, test, "embedding", "label", "vec_id", None, 0)[name]
+    _, tested = experiments.joint_scores({name: _fits(rows)[name]}, train, test, "embedding", "label", "vec_id", None, 0)[name]
     return spark.createDataFrame([tuple(float(tested[m]) for m in experiments.METRICS)], ", ".join(f"{m} double" for m in experiments.METRICS))
 
 
-def _tree_fits(rows):
-    return ml.tree_fits(len(rows.select("embedding").head()["embedding"]))
+def _fits(rows):
+    return ml.joint_fits(len(rows.select("embedding").head()["embedding"]))
 
 
 @query("decision_tree")
@@ -147,19 +147,17 @@ def mlp(spark, folder):
 @query("grid_search")
 def grid_search(spark, folder):
     train, test, _ = _parts(embedding_rows(spark, folder))
-    searches = {
-        "logistic_regression": (lambda n, c: ml.logistic_regression(n, c=c), {"c": [0.1, 1.0]}),
-        "linear_svm": (lambda n, c: ml.linear_svm(n, c=c), {"c": [0.1, 1.0]}),
-        "naive_bayes": (lambda n, smoothing: ml.naive_bayes().setSmoothing(smoothing), {"smoothing": [1e-9, 1e-8]}),
-    }
-    grown = {
+    joint = {
+        "logistic_regression": (lambda c: lines.LineFit("logistic", c), {"c": [0.1, 1.0]}),
+        "linear_svm": (lambda c: lines.LineFit("hinge", c), {"c": [0.1, 1.0]}),
+        "naive_bayes": (gauss.GaussFit, {"smoothing": [1e-9, 1e-8]}),
         "decision_tree": (
             lambda impurity, depth, split, leaf: trees.decision_tree(impurity, depth, min_split=split, min_leaf=leaf),
             {"impurity": ["gini", "entropy"], "depth": [4, 5, 6, 7, 10], "split": [2, 5], "leaf": [1, 2]},
         ),
         "gradient_boosting": (lambda depth, share: trees.gradient_boosting(200, depth, share), {"depth": [6, 8], "share": [0.7, 0.8]}),
     }
-    return experiments.grid_search(searches, train, test, "label", "fold", FOLDS, tree_searches=grown)
+    return experiments.grid_search({}, train, test, "label", "fold", FOLDS, joint=joint)
 
 
 @query("grid_search_text")
@@ -180,9 +178,7 @@ def grid_search_text(spark, folder):
 @query("cross_validate_refit")
 def cross_validate_refit(spark, folder):
     train, test, _ = _parts(embedding_rows(spark, folder))
-    rows = experiments.cross_validate_refit(
-        ml.classifiers(), _tree_fits(train), train, test, "label", "fold", FOLDS, "embedding", "embedding", "vec_id"
-    )
+    rows = experiments.cross_validate_refit(_fits(train), train, test, "label", "fold", FOLDS, "embedding", "embedding", "vec_id")
     return experiments.result_table(spark, rows)
 
 
@@ -190,7 +186,7 @@ def cross_validate_refit(spark, folder):
 def compare_models(spark, folder):
     """All models on one feature set, in order of F1."""
     train, test, _ = _parts(embedding_rows(spark, folder))
-    rows = experiments.compare_models(ml.classifiers(), _tree_fits(train), train, test, "label", "embedding", "embedding", "vec_id")
+    rows = experiments.compare_models(_fits(train), train, test, "label", "embedding", "embedding", "vec_id")
     f1 = experiments.result_table(spark, rows).filter("metric = 'f1'")
     return metrics.leaderboard(f1.withColumnRenamed("value", "f1"), "feature_set", "model", "f1")
 
@@ -220,7 +216,7 @@ def _ablation(spark, folder, leave_out):
     vectors = cut_lineage(experiments.column_vectors(train, rows, "doc_id", NUMBERS, TEXTS))
     train, test, _ = _parts(vectors)
     balanced = sampling.undersample(train, "doc_id", "label")
-    result = experiments.ablation(cut_lineage(balanced), test, NUMBERS + TEXTS, ml.classifiers(), ml.tree_fits, "label", "doc_id", leave_out)
+    result = experiments.ablation(cut_lineage(balanced), test, NUMBERS + TEXTS, ml.joint_fits, "label", "doc_id", leave_out)
     wide = experiments.result_table(spark, result).groupBy("feature_set", "model").pivot("metric", experiments.METRICS).agg(F.first("value"))
     return metrics.best_per_group(wide, "feature_set", "model", "f1")
 
