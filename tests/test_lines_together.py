@@ -37,7 +37,7 @@ def test_slopes_vanish_whatever_the_partitions(spark):
         kept = np.arange(len(x)) % 4 != fit.left_out
         used = np.append(lines.used_columns(fit, 5), True)
         _, slope = objective(fit, x[kept], y[kept], model.weights[i])
-        assert np.abs(slope[used]).max() <= 1e-6 * len(x) * 1.001
+        assert np.abs(slope[used]).max() <= (1e-5 if fit.loss == "hinge" else 1e-6) * len(x) * 1.001
         assert (model.weights[i][~used] == 0).all()
     alone = lines.fit_lines(frame.coalesce(1), FITS[2:3], "v", "y", fold="fold")
     assert np.allclose(alone.weights[0], model.weights[2], atol=1e-4)

@@ -67,3 +67,22 @@ def test_cosine_of_a_zero_vector(spark):
     assert [(r["id"], r["similarity"]) for r in top] == [(3, 1.0), (4, 1.0), (2, 0.0)]
     with pytest.raises(ValueError):
         joins.cosine_topn(rows, "id", "v", 99, 3)
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1e8])
+def test_cluster_quality_far_from_zero(spark, offset):
+    rng = np.random.default_rng(5)
+    label = np.arange(300) % 3
+    x = (label[:, None] * np.array([1.0, 2.0]) + rng.normal(size=(300, 2))).round(3) + offset
+    frame = spark.createDataFrame([(i, int(c), v.tolist()) for i, (c, v) in enumerate(zip(label, x))], "id long, c int, v array<double>")
+    near = x - x.mean(0)
+    means = [near[label == c].mean(0) for c in range(3)]
+    within = sum(((near[label == c] - means[c]) ** 2).sum() for c in range(3))
+    between = sum(100 * (m**2).sum() for m in means)
+    assert clusters.quality(frame, "c", "v").head()["calinski_harabasz"] == pytest.approx(between / 2 / (within / 297), rel=1e-5)
+    far = ((near[:, None] - near[None]) ** 2).sum(2)
+    mean = np.stack([far[:, label == c].sum(1) / 100 for c in range(3)], 1)
+    a = mean[np.arange(300), label] * 100 / 99
+    b = np.where(np.arange(3) == label[:, None], np.inf, mean).min(1)
+    got = clusters.silhouette_squared(frame, "id", "v", "c").head()["silhouette"]
+    assert got == pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-5)

@@ -28,8 +28,8 @@ from versemill.session import cut_lineage
 
 #: Cells (rows times features) of a block.
 BLOCK_CELLS = 4_000_000
-#: Widths over which the hinge is rounded off, one after the other.
-WIDTHS = (0.5, 0.05, 0.005)
+#: Widths over which the hinge is rounded off, one after the other, and how much of the tolerance each takes.
+WIDTHS, LOOSER = (0.5, 0.05, 0.005), (1000, 1000, 10)
 #: Earlier steps that L-BFGS keeps.
 MEMORY = 10
 BLOCK = "n int, x binary, label binary, fold binary"
@@ -103,8 +103,8 @@ def descent(start: np.ndarray, width: float, tolerance: float, steps: int) -> As
 
 def stages(fit: LineFit, n: int, tolerance: float, steps: int) -> Asked:
     x = np.zeros(n + 1)
-    for width in WIDTHS if fit.loss == "hinge" else (1.0,):
-        x = yield from descent(x, width, tolerance, steps)
+    for width, looser in zip(WIDTHS, LOOSER) if fit.loss == "hinge" else [(1.0, 1)]:
+        x = yield from descent(x, width, looser * tolerance, steps)
     return x
 
 
@@ -167,7 +167,7 @@ def fit_lines(
     df: DataFrame, fits: list[LineFit], vec_col: str, label: str, key: str | None = None, fold: str | None = None, tolerance: float = 1e-6, steps: int = 1000
 ) -> LineModel:
     """All fits on the rows of `df` (labels 0 and 1, `fold` numbers from 0). The tolerance is that of
-    the mean slope of a row; `key` is taken for the sake of one signature with trees, and not used."""
+    the mean slope of a row (ten times that for the hinge); `key` is taken for the sake of one signature with trees, and not used."""
     blocks, n = packed_rows(df, vec_col, label, fold)
     rows = blocks.agg(F.sum("n")).head()[0] or 0
     used = [used_columns(fit, n) for fit in fits]

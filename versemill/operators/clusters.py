@@ -62,11 +62,12 @@ def quality(df: DataFrame, cluster: str, vec_col: str) -> DataFrame:
     stats = near.groupBy("c").agg(
         F.first("centre").alias("centre"), F.avg(F.sqrt("d2")).alias("spread"), F.count("*").alias("n"), F.sum("d2").alias("within")
     )
+    # Between the clusters: the sum of n (m - overall)², subtracted before it is squared.
     long = stats.select("n", F.posexplode("centre").alias("dim", "m"))
-    # Between the clusters: the sum of n (m - overall)² is that of n m² less N overall², by dimension.
     n, m = F.col("n"), F.col("m")
-    by_dim = long.groupBy("dim").agg(F.sum(n * m * m).alias("nmm"), F.sum(n * m).alias("nm"), F.sum(n).alias("all"))
-    between = by_dim.agg(F.sum(F.col("nmm") - F.col("nm") * F.col("nm") / F.col("all")).alias("between"))
+    overall = long.groupBy("dim").agg((F.sum(n * m) / F.sum(n)).alias("overall"))
+    gap = m - F.col("overall")
+    between = join_small(long, overall, ["dim"]).agg(F.sum(n * gap * gap).alias("between"))
     worst = stats.withColumn("_worst", F.lit(None).cast("double"))
     for block in _blocks(stats.select("c", "centre", "spread")):
         others = F.filter("_block", lambda b: b["c"] != F.col("c"))
@@ -83,10 +84,13 @@ def silhouette_squared(df: DataFrame, id_col: str, vec_col: str, cluster: str) -
     """Mean silhouette with squared distances, worked out in each row.
 
     The sum of squared distances to a cluster follows from its size, its vector sum and its sum
-    of squared lengths.
+    of squared lengths. Vectors are taken from their overall mean first, as squares of values far
+    from zero would lose the digits of the distances.
     """
-    v = F.col(vec_col).cast("array<double>")
-    rows = df.select(F.col(cluster).cast("int").alias("c"), v.alias("v")).withColumn("q", dot(F.col("v"), F.col("v")))
+    given = df.select(F.col(cluster).cast("int").alias("c"), F.col(vec_col).cast("array<double>").alias("v"))
+    middle = centroid_table(given.withColumn("c", F.lit(0)), "c", "v").select(F.col("centre").alias("_middle"))
+    rows = given.crossJoin(F.broadcast(middle)).select("c", F.zip_with("v", "_middle", lambda x, m: x - m).alias("v"))
+    rows = rows.withColumn("q", dot(F.col("v"), F.col("v")))
     sizes = rows.groupBy("c").agg(F.count("*").alias("n"), F.sum("q").alias("q"))
     table = join_small(centroid_table(rows, "c", "v"), sizes, ["c"])
     scored = rows.withColumns({name: F.lit(None).cast("double") for name in ("a", "b", "n_own")})

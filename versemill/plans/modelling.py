@@ -131,6 +131,56 @@ def boosting_root_split(spark, folder):
     return _root(spark, folder, replace(trees.gradient_boosting(1, 1, rows=1.0), columns=1.0))
 
 
+PENALTIES = [0.1, 1.0]
+_NEWTON = f"""RECURSIVE long AS (SELECT vec_id, (label >= 5)::INT AS y, generate_subscripts(embedding, 1) - 1 AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),
+  step AS (SELECT 0 AS i, d, c, 0::DOUBLE AS w, 0::DOUBLE AS b FROM (SELECT DISTINCT d FROM long), (SELECT unnest({PENALTIES})::DOUBLE AS c)
+    UNION ALL
+    SELECT i + 1, d, c, w - (hb * (gx + w / c) - hm * gb) / ((hx + 1 / c) * hb - hm * hm), b - ((hx + 1 / c) * gb - hm * (gx + w / c)) / ((hx + 1 / c) * hb - hm * hm)
+    FROM (SELECT i, d, c, w, b, sum((p - y) * x) AS gx, sum(p - y) AS gb, sum(p * (1 - p) * x * x) AS hx, sum(p * (1 - p)) AS hb, sum(p * (1 - p) * x) AS hm
+      FROM (SELECT i, d, c, w, b, x, y, 1 / (1 + exp(-(w * x + b))) AS p FROM step JOIN long USING (d) WHERE i < 12) GROUP BY i, d, c, w, b))"""
+
+
+@query(
+    "logistic_single_columns",
+    f"""WITH {_NEWTON} SELECT d::INTEGER AS feature, c, round(w, 4) AS weight, round(b, 4) AS intercept FROM step WHERE i = 12""",
+)
+def logistic_single_columns(spark, folder):
+    """Weight and intercept on each feature alone, for two penalties: one fit each, all made together."""
+    rows = table(spark, folder, "embeddings").select((F.col("label") >= 5).cast("int").alias("label"), "embedding")
+    width = len(rows.select("embedding").head()["embedding"])
+    fits = [lines.LineFit("logistic", c, (d,)) for d in range(width) for c in PENALTIES]
+    model = lines.fit_lines(rows, fits, "embedding", "label", tolerance=1e-10)
+    found = [(fit.columns[0], fit.c, float(w[fit.columns[0]]), float(w[-1])) for fit, w in zip(fits, model.weights)]
+    kept = spark.createDataFrame(found, "feature int, c double, weight double, intercept double")
+    return kept.select("feature", "c", F.round("weight", 4).alias("weight"), F.round("intercept", 4).alias("intercept"))
+
+
+@query(
+    "logistic_balance",
+    f"""SELECT c, f::INTEGER AS left_out, count(*) AS n, sum((label >= 5)::INT)::DOUBLE AS expected, 0.0::DOUBLE AS slope
+        FROM embeddings, (SELECT unnest({PENALTIES})::DOUBLE AS c), (SELECT unnest(range(-1, {FOLDS})) AS f)
+        WHERE vec_id % {FOLDS} <> f GROUP BY c, f""",
+)
+def logistic_balance(spark, folder):
+    """What holds at the optimum of each fold and penalty, counted from the scores: as many labels are
+    expected as there are, and along the weights the losses and the penalty keep each other in balance."""
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", (F.col("label") >= 5).cast("int").alias("label"), "embedding", (F.col("vec_id") % FOLDS).cast("int").alias("fold")
+    )
+    rows = cut_lineage(rows)
+    fits = [lines.LineFit("logistic", c, left_out=i) for c in PENALTIES for i in range(-1, FOLDS)]
+    model = lines.fit_lines(rows, fits, "embedding", "label", fold="fold", tolerance=1e-9)
+    sizes = [(i, fit.c, fit.left_out, float(w[-1]), float(w[:-1] @ w[:-1]) / fit.c) for i, (fit, w) in enumerate(zip(fits, model.weights))]
+    known = spark.createDataFrame(sizes, "fit int, c double, left_out int, intercept double, penalty double")
+    p = F.col("p")
+    each = model.predict(rows, "embedding", "p").select("label", "fold", F.posexplode("p").alias("fit", "p")).join(F.broadcast(known), "fit")
+    along = (p - F.col("label")) * (F.log(p / (1 - p)) - F.col("intercept"))
+    summed = each.filter("fold <> left_out").groupBy("c", "left_out", "penalty").agg(
+        F.count("*").alias("n"), F.round(F.sum("p"), 3).alias("expected"), F.sum(along).alias("along")
+    )
+    return summed.select("c", "left_out", "n", "expected", F.abs(F.round(F.col("along") + F.col("penalty"), 3)).alias("slope"))
+
+
 @query("mlp")
 def mlp(spark, folder):
     """The nets, each the best of its stages by F1 on a validation fold."""
