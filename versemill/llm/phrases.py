@@ -44,7 +44,7 @@ LEAST = 10
 #: Share of the texts in the sample, and its lowered limit.
 SAMPLE, SAMPLE_LEAST = 0.125, 2
 #: Words a block; a longer text is a block of its own.
-BLOCK_WORDS = 700_000
+BLOCK_WORDS = 350_000
 #: Bits of a map of proposed words or pairs: by the words that the sample proposes, between these
 #: powers of 2 (8 KB and 16 MB), whatever the size of the data.
 LEAST_BITS, MOST_BITS = 16, 27
@@ -132,49 +132,56 @@ def counted_phrases(batches: Iterator[pa.RecordBatch], now: Proposed, before: li
     for row in one_by_one(batches):
         codes = unsqueeze(row["codes"])
         hashes = np.append(np.uint64(0), np.frombuffer(row["hashes"], np.uint64))
-        size = len(hashes)
-        word_of = [np.append(False, hits(p[0], hashes[1:])) for p in (now, *before)]
-        first, second = codes[:-1], codes[1:]
-        # One place less than pairs at the end; a piece's end is never proposed.
-        at = np.nonzero(word_of[0][first] & word_of[0][second])[0]
-        keys, place, n = np.unique(first[at] * size + second[at], return_inverse=True, return_counts=True)
-        x, y = keys // size, keys % size
-        left, right = hashes[x], hashes[y]
-        known = np.zeros(len(keys), bool)
-        pair_of = []
-        mixed = pair_hash(left, right)
-        for words, p in zip(word_of, (now, *before)):
-            both = words[x] & words[y]
-            pair_of.append(both & hits(p[1], mixed))
-            if p is not now:
-                known |= both
-        new = ~known
-        if new.any():
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([row["lang"]] * int(new.sum()), pa.string()),
-                    "a": signed(left[new]), "b": signed(right[new]),
-                    "c": pa.nulls(int(new.sum()), pa.int64()), "n": pa.array(n[new], pa.int64()),
-                }
-            )
-        if not triples or len(at) < 2:
-            continue
-        held = pair_of[0][place]
-        start = np.nonzero((at[1:] == at[:-1] + 1) & held[1:] & held[:-1])[0]
-        keys, n = np.unique(place[start] * size + y[place[start + 1]], return_counts=True)
-        one, z = keys // size, keys % size
-        two = np.searchsorted(x * size + y, y[one] * size + z)
-        new = np.ones(len(keys), bool)
-        for pairs in pair_of[1:]:
-            new &= ~(pairs[one] & pairs[two])
-        if new.any():
-            one, z, n = one[new], z[new], n[new]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([row["lang"]] * len(n), pa.string()),
-                    "a": signed(left[one]), "b": signed(right[one]), "c": signed(hashes[z]), "n": pa.array(n, pa.int64()),
-                }
-            )
+        yield from phrases_of(row["lang"], codes, hashes, now, before, triples)
+
+
+def phrase_rows(lang: str, a: np.ndarray, b: np.ndarray, c: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+    third = pa.nulls(len(n), pa.int64()) if c is None else signed(c)
+    parts = [pa.repeat(pa.scalar(lang, pa.string()), len(n)), signed(a), signed(b), third, pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(parts, names=["lang", "a", "b", "c", "n"])
+
+
+def phrases_of(
+    lang: str, codes: np.ndarray, hashes: np.ndarray, now: Proposed, before: list[Proposed], triples: bool
+) -> list[pa.RecordBatch]:
+    """The counts of one block. They are returned at once, so that the arrays they come from are gone
+    when Spark takes them."""
+    out = []
+    size = len(hashes)
+    word_of = [np.append(False, hits(p[0], hashes[1:])) for p in (now, *before)]
+    # One place less than pairs at the end; a piece's end is never proposed.
+    at = np.nonzero(word_of[0][codes[:-1]] & word_of[0][codes[1:]])[0]
+    keys, place, n = np.unique(codes[at] * size + codes[at + 1], return_inverse=True, return_counts=True)
+    x, y = keys // size, keys % size
+    left, right = hashes[x], hashes[y]
+    known = np.zeros(len(keys), bool)
+    pair_of = []
+    mixed = pair_hash(left, right)
+    for words, p in zip(word_of, (now, *before)):
+        both = words[x] & words[y]
+        pair_of.append(both & hits(p[1], mixed))
+        if p is not now:
+            known |= both
+    new = ~known
+    if new.any():
+        out.append(phrase_rows(lang, left[new], right[new], None, n[new]))
+    if not triples or len(at) < 2:
+        return out
+    held = pair_of[0][place]
+    start = np.nonzero((at[1:] == at[:-1] + 1) & held[1:] & held[:-1])[0]
+    triple = place[start] * size + y[place[start + 1]]
+    pairs_here = keys
+    del place, at, held, start, known, mixed
+    keys, n = np.unique(triple, return_counts=True)
+    one, z = keys // size, keys % size
+    two = np.searchsorted(pairs_here, y[one] * size + z)
+    new = np.ones(len(keys), bool)
+    for pairs in pair_of[1:]:
+        new &= ~(pairs[one] & pairs[two])
+    if new.any():
+        one, z, n = one[new], z[new], n[new]
+        out.append(phrase_rows(lang, left[one], right[one], hashes[z], n))
+    return out
 
 
 def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
