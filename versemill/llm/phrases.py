@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from itertools import count
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from versemill.llm.blocks import squeeze, unsqueeze
@@ -45,6 +46,9 @@ LEAST = 10
 SAMPLE, SAMPLE_LEAST = 0.125, 2
 #: Words a block; a longer text is a block of its own.
 BLOCK_WORDS = 350_000
+#: Texts, and blocks, that come to a task at once. Left to Spark, all blocks of a task would come in
+#: one Arrow batch, held in the executor and in its Python worker.
+TEXTS_AT_ONCE, BLOCKS_AT_ONCE = 1000, 1
 #: Bits of a map of proposed words or pairs: by the words that the sample proposes, between these
 #: powers of 2 (8 KB and 16 MB), whatever the size of the data.
 LEAST_BITS, MOST_BITS = 16, 27
@@ -57,6 +61,18 @@ END = b"\xff"
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+@contextmanager
+def at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """So many rows an Arrow batch in the jobs that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def numbered_blocks(batches: Iterator[pa.RecordBatch], share: float, most: int) -> Iterator[pa.RecordBatch]:
     """(lang, text) → blocks of one group, in the sample or not."""
     rng = np.random.default_rng(TaskContext.get().partitionId())
@@ -91,7 +107,8 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch], share: float, most: int)
             if size[0] >= most:
                 yield row(key, numbers, codes, size[0])
                 del open_[key]
-    for key, (numbers, codes, size) in open_.items():
+    for key in list(open_):
+        numbers, codes, size = open_.pop(key)
         yield row(key, numbers, codes, size[0])
 
 
@@ -202,7 +219,8 @@ def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def word_counts(blocks: DataFrame, least: int) -> DataFrame:
     """(lang, a, word, n) of the words that occur `least` times (written)."""
     counts = blocks.mapInArrow(lambda batches: in_slices(counted_words(batches)), "lang string, a long, word string, n long")
-    return cut_lineage(counts.groupBy("lang", "a", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    with at_once(blocks.sparkSession, BLOCKS_AT_ONCE):
+        return cut_lineage(counts.groupBy("lang", "a", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
 def phrase_counts(blocks: DataFrame, now: Broadcast, before: list[Broadcast], least: int, triples: bool = True) -> DataFrame:
@@ -212,7 +230,8 @@ def phrase_counts(blocks: DataFrame, now: Broadcast, before: list[Broadcast], le
         yield from in_slices(counted_phrases(batches, now.value, [b.value for b in before], triples))
 
     counts = blocks.select("lang", "hashes", "codes").mapInArrow(run, "lang string, a long, b long, c long, n long")
-    return cut_lineage(counts.groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    with at_once(blocks.sparkSession, BLOCKS_AT_ONCE):
+        return cut_lineage(counts.groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
 def bit_map(rows: DataFrame, columns: list[str], power: int) -> np.ndarray:
@@ -249,7 +268,8 @@ def frequent(docs: DataFrame, lang: str, text: str, least: int, share: float, sa
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     fields = "lang string, drawn boolean, n long, words array<binary>, hashes binary, codes binary"
-    blocks = cut_lineage(rows.mapInArrow(lambda batches: numbered_blocks(batches, share, most), fields))
+    with at_once(docs.sparkSession, TEXTS_AT_ONCE):
+        blocks = cut_lineage(rows.mapInArrow(lambda batches: numbered_blocks(batches, share, most), fields))
 
     drawn = blocks.filter("drawn")
     drawn_words = word_counts(drawn, sample_least)
