@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from versemill.functions import parsing, text
-from versemill.operators import cleaning
+from versemill.operators import cleaning, packing
 from versemill.plans.registry import query, table
 from versemill.plans.views import SONGS, songs, sql_hash, sql_unit
 from versemill.functions.scalars import hash_key, hash_unit
@@ -267,6 +267,20 @@ def pack_batches(spark, folder):
     return cleaning.pack_batches(docs, "doc_id", "bytes", 150, 400_000).select("doc_id", "bytes", "batch")
 
 
+@query(
+    "pack_batches_greedy",
+    """WITH RECURSIVE p AS (SELECT doc_id, octet_length(encode(text)) AS bytes, row_number() OVER (ORDER BY doc_id) - 1 AS i,
+           sum(octet_length(encode(text))) OVER (ORDER BY doc_id) AS upto FROM documents),
+         opens AS (SELECT 0::BIGINT AS i, 1::BIGINT AS batch
+           UNION ALL SELECT min(q.i)::BIGINT, any_value(o.batch) + 1 FROM opens o JOIN p s ON s.i = o.i
+             JOIN p q ON q.i > s.i AND (q.i >= s.i + 150 OR q.upto - (s.upto - s.bytes) > 400000) GROUP BY o.i)
+       SELECT doc_id, bytes::BIGINT AS bytes, batch FROM p ASOF JOIN opens ON p.i >= opens.i""",
+)
+def pack_batches_greedy(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
+    return packing.pack_greedy(docs, "doc_id", "bytes", 150, 400_000).select("doc_id", "bytes", "batch")
+
+
 @query(
     "sigmoid_clip",
     """SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount,

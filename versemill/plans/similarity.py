@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from versemill.functions.parsing import parse_release_date, release_decade
-from versemill.operators import clusters, joins, neighbors
+from versemill.operators import clusters, joins, nearest, neighbors
 from versemill.plans.registry import query, table
 from versemill.plans.views import SONGS, VECTORS, songs, sql_hash, sql_unit, vectors
 
@@ -49,6 +49,33 @@ def cosine_topn_constrained(spark, folder):
     return top.select("vec_id", "label", "decade", F.round("similarity", 6).alias("similarity"))
 
 
+def _sql_most_similar(rows: str, same: str) -> str:
+    return f"""units AS (SELECT *, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS size FROM {rows}),
+      pairs AS (SELECT a.vec_id, b.vec_id AS neighbour,
+          round(CASE WHEN a.size * b.size > 0 THEN list_dot_product(a.v, b.v) / (a.size * b.size) ELSE 0 END, 9) + 0.0 AS exact
+        FROM units a JOIN units b ON a.vec_id <> b.vec_id AND {same})
+      SELECT vec_id, neighbour, round(exact, 6) AS similarity, row_number() OVER (PARTITION BY vec_id ORDER BY exact DESC, neighbour) AS place
+      FROM pairs QUALIFY place <= 5"""
+
+
+def _places(found):
+    return found.select(F.col("id").alias("vec_id"), "neighbour", F.round("similarity", 6).alias("similarity"), F.col("place").cast("long").alias("place"))
+
+
+@query(
+    "cosine_topn_constrained_all",
+    f"""WITH {_DECADES}, known AS (SELECT e.*, decade FROM embeddings e JOIN decades ON doc_id = vec_id),
+        {_sql_most_similar('known', 'a.label = b.label AND a.decade = b.decade')}""",
+)
+def cosine_topn_constrained_all(spark, folder):
+    return _places(nearest.most_similar(_with_decade(spark, folder), "vec_id", "embedding", 5, same=["label", "decade"]))
+
+
+@query("cosine_topn_all", f"WITH {_sql_most_similar('embeddings', 'true')}")
+def cosine_topn_all(spark, folder):
+    return _places(nearest.most_similar(_embeddings(spark, folder), "vec_id", "embedding", 5))
+
+
 @query(
     "recommendation_report",
     f"""WITH {_COSINE}, {SONGS}, top AS (SELECT vec_id, similarity FROM cosine ORDER BY cosine.similarity DESC, vec_id LIMIT 5)
