@@ -7,6 +7,7 @@ sort key, so a group that holds most of the rows is still spread over many tasks
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from versemill.session import cut_lineage
 
 HASH_DIGITS = 3
+#: Parts that the values of a column are counted by in one pass of a selection by rank.
+CELLS = 4096
 
 
 def join_small(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -65,47 +68,91 @@ def many_value_buckets(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return bucketed.withColumns({out: F.col(out).cast("int") for out in columns.values()})
 
 
+def cell_of(x: Column, intervals: list[tuple[float, float]], k: int) -> Column:
+    """Which of the k equal parts of which interval x lies in, numbered in their order; null outside."""
+    out = F.lit(None).cast("int")
+    for i, (lo, hi) in enumerate(intervals):
+        # Half of everything where the width itself is too large for a double.
+        share = (x - lo) / (hi - lo) if math.isfinite(hi - lo) else (x / 2 - lo / 2) / (hi / 2 - lo / 2)
+        place = i * k + F.least(F.floor(share * k), F.lit(k - 1)).cast("int")
+        out = F.when(x.between(lo, hi), place).otherwise(out)
+    return out
+
+
+def values_at_ranks(named: DataFrame, wanted: Callable[[int], list[int]]) -> dict[str, tuple[int, dict[int, float]]]:
+    """For each double column that has values: how many, and those at the ranks that `wanted` gives
+    for this number (from 0, in rising order). Absent values are left out, NaN comes last.
+
+    Selection by histograms: the rows are counted by CELLS parts of the range of values; only parts
+    that hold a wanted rank are looked into again, from their least to their greatest value, until
+    these are equal. A pass reads the table and moves CELLS counts a column and task at most, however
+    many different values there are; numbers spread evenly take a pass for every two digits or so.
+    """
+    endless = (float("-inf"), float("inf"), float("nan"))
+    first = []
+    for i, name in enumerate(named.columns):
+        x = F.col(f"`{name}`")
+        finite = F.when(~x.isin(*endless), x)
+        counts = [F.count_if(x == F.lit(e)).alias(f"e{i}_{j}") for j, e in enumerate(endless)]
+        first += [F.count(x).alias(f"n{i}"), F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}"), *counts]
+    row = named.agg(*first).head()
+    out, at_once, todo, open_ = {}, {}, {}, {}
+    for i, name in enumerate(named.columns):
+        n, low, high, absent = row[f"n{i}"], row[f"e{i}_0"], row[f"e{i}_1"], row[f"e{i}_2"]
+        if not n:
+            continue
+        at_once[i], todo[i] = {}, []
+        out[name] = n, at_once[i]
+        for rank in sorted(set(wanted(n))):
+            if rank < low:
+                at_once[i][rank] = endless[0]
+            elif rank >= n - absent:
+                at_once[i][rank] = endless[2]
+            elif rank >= n - absent - high:
+                at_once[i][rank] = endless[1]
+            elif row[f"lo{i}"] == row[f"hi{i}"]:
+                at_once[i][rank] = row[f"lo{i}"]
+            else:
+                todo[i].append(rank)
+        if todo[i]:
+            open_[i] = [(row[f"lo{i}"], row[f"hi{i}"], low)]
+    while open_:
+        parts = {i: max(2, CELLS // len(held)) for i, held in open_.items()}
+        cells = []
+        for i, held in open_.items():
+            x = F.col(f"`{named.columns[i]}`")
+            cells.append(F.struct(F.lit(i).alias("i"), cell_of(x, [h[:2] for h in held], parts[i]).alias("cell"), x.alias("x")))
+        counted = named.select(F.explode(F.array(*cells)).alias("c")).select("c.*").filter("cell IS NOT NULL").groupBy("i", "cell")
+        found = counted.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+        going = {i: [] for i in open_}
+        below = {(i, j): h[2] for i, held in open_.items() for j, h in enumerate(held)}
+        for r in sorted(found, key=lambda r: (r["i"], r["cell"])):
+            i, j = r["i"], r["cell"] // parts[r["i"]]
+            start = below[i, j]
+            below[i, j] = start + r["n"]
+            inside = [rank for rank in todo[i] if start <= rank < start + r["n"]]
+            if inside and r["lo"] == r["hi"]:
+                at_once[i].update(dict.fromkeys(inside, r["lo"]))
+            elif inside:
+                going[i].append((r["lo"], r["hi"], start))
+        todo = {i: [rank for rank in ranks if rank not in at_once[i]] for i, ranks in todo.items()}
+        open_ = {i: held for i, held in going.items() if held}
+    return out
+
+
 def exact_percentiles(
     df: DataFrame, columns: dict[str, Column], shares: list[float]
 ) -> dict[str, list[float]]:
-    """Interpolated percentiles of several columns without sorting any of them in one task.
-
-    Distinct values are counted, the counts are summed along the buckets, and only the values
-    at the wanted ranks (two per share) come to the driver.
-    """
+    """Interpolated percentiles of several columns, two ranks a share; columns without values are left out."""
     named = df.select(*[x.cast("double").alias(name) for name, x in columns.items()])
-    bucketed = many_value_buckets(named, {name: f"_b_{name}" for name in columns})
-    cells = [
-        F.struct(F.lit(name).alias("feature"), F.col(f"_b_{name}").alias("_bucket"), F.col(name).alias("x"))
-        for name in columns
-    ]
-    # Read three times below, so the counts are kept rather than made again from the rows.
-    counted = cut_lineage(
-        bucketed.select(F.explode(F.array(*cells)).alias("c"))
-        .select("c.*")
-        .filter("x IS NOT NULL")
-        .groupBy("feature", "_bucket", "x")
-        .agg(F.count("*").alias("n"))
-    )
-    sizes = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
-    wanted = {
-        name: sorted({rank for s in shares for rank in (int(s * (n - 1)), min(int(s * (n - 1)) + 1, n - 1))})
-        for name, n in sizes.items()
-    }
-    below = running_totals(counted, ["feature"], ["x"], {"below": F.col("n")})
-    ranks = below.sparkSession.createDataFrame(
-        [(name, rank) for name, held in wanted.items() for rank in held], "feature string, rank bigint"
-    )
-    inside = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n"))
-    found = below.join(F.broadcast(ranks), "feature").filter(inside).select("feature", "rank", "x").collect()
-    at = {(r["feature"], r["rank"]): r["x"] for r in found}
+    found = values_at_ranks(named, lambda n: [rank for s in shares for rank in (int(s * (n - 1)), min(int(s * (n - 1)) + 1, n - 1))])
     out = {}
-    for name, n in sizes.items():
+    for name, (n, at) in found.items():
         points = []
         for s in shares:
             low = int(s * (n - 1))
-            a, b = at[name, low], at[name, min(low + 1, n - 1)]
-            points.append(a + (s * (n - 1) - low) * (b - a))
+            a, b = at[low], at[min(low + 1, n - 1)]
+            points.append(a if a == b else a + (s * (n - 1) - low) * (b - a))
         out[name] = points
     return out
 
