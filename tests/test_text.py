@@ -6,9 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from versemill.functions import parsing, text
-from versemill.functions.stem import porter, spanish, stem_tokens
 from versemill.functions.scalars import sigmoid_clip
 from versemill.operators import terms
+from versemill.operators.packing import next_starts
 
 
 def clean(value):
@@ -51,28 +51,6 @@ def test_section_tags(spark):
     assert column(spark, rows, text.strip_section_tags) == [" la la[Other]", "a  b"]
 
 
-ENGLISH = """caresses caress flies fli dies die mules mule denied deni died die agreed agre owned own
-humbled humbl sized size meeting meet stating state siezing siez itemization item sensational sensat
-traditional tradit reference refer colonizer colon plotted plot relational relat conditional condit
-rational ration vietnamization vietnam predication predic operator oper feudalism feudal
-decisiveness decis hopefulness hope formalize formal electrical electr goodness good revival reviv
-allowance allow inference infer airliner airlin adjustment adjust adoption adopt happy happi sky sky
-generously gener loving love running run songs song""".split()
-
-SPANISH = """canciones cancion amores amor corriendo corr cantando cant rápidamente rapid chicas chic
-ciudades ciudad explícita explicit hablar habl mujeres mujer torneo torne""".split()
-
-
-@pytest.mark.parametrize("rule, words", [(porter, ENGLISH), (spanish, SPANISH)])
-def test_golden_stems(rule, words):
-    assert {w: rule(w) for w in words[::2]} == dict(zip(words[::2], words[1::2]))
-
-
-def test_stem_tokens_keep_order_and_nulls(spark):
-    rows = column(spark, [["songs", "loving", "songs"], [], None], stem_tokens, "array<string>")
-    assert rows == [["song", "love", "song"], [], None]
-
-
 def test_ngrams_and_counts(spark):
     rows = spark.createDataFrame([(1, "sun sun moon"), (2, "sun"), (3, ""), (4, None)], "id int, t string")
     counts = terms.term_counts(rows, "id", terms.preprocess(F.col("t")), 2)
@@ -117,7 +95,7 @@ def test_task_functions_travel_without_the_package(tmp_path):
 
     from pyspark import cloudpickle
 
-    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(porter))
-    code = "import pickle; print(pickle.load(open('f.pkl', 'rb'))('songs'))"
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(next_starts))
+    code = "import numpy, pickle; print(pickle.load(open('f.pkl', 'rb'))(numpy.array([0, 4, 9, 12]), 5, 9).tolist())"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
-    assert done.stdout.strip() == "song", done.stderr
+    assert done.stdout.strip() == "[2, 3, 3]", done.stderr

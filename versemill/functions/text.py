@@ -1,4 +1,4 @@
-"""Text expressions. All but the stemmers stay inside the JVM."""
+"""Text expressions. All stay inside the JVM."""
 
 from __future__ import annotations
 

@@ -13,22 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from versemill.functions import text
-from versemill.functions.stem import stem_tokens
 
 MAX_FEATURES = 5000
 
 
-def preprocess(
-    raw: Column, language: str = "english", drop_stopwords: bool = True, stem: bool = False
-) -> Column:
-    """Content words of a text: clean, tokenize, stop words, stems, no short words."""
-    cleaned = text.clean_text(raw)
-    if not stem:
-        return text.content_words(cleaned, language if drop_stopwords else None)
-    tokens = text.tokenize(cleaned)
-    if drop_stopwords:
-        tokens = text.remove_stopwords(tokens, language)
-    return text.drop_short(stem_tokens(tokens, language))
+def preprocess(raw: Column, language: str = "english", drop_stopwords: bool = True) -> Column:
+    """Content words of a text: clean, tokenize, stop words, no short words."""
+    return text.content_words(text.clean_text(raw), language if drop_stopwords else None)
 
 
 def drop_empty(df: DataFrame, id_col: str, made: Column, name: str) -> DataFrame:
@@ -160,11 +151,3 @@ def fallback_features(
             return branch, weights.select(id_col, F.col("term").alias("feature"), F.col("weight").alias("value"))
     shown = df.filter(F.col(column).isNotNull())
     return "one_hot", shown.select(id_col, F.col(column).alias("feature"), F.lit(1.0).alias("value"))
-
-
-def stem_vocabulary(counts: DataFrame, language: str = "english") -> DataFrame:
-    """(term, stem, df): each distinct word stemmed once."""
-    from versemill.functions.stem import stem_word
-
-    frequencies = word_doc_frequency(counts)
-    return frequencies.select("term", stem_word(F.col("term"), language).alias("stem"), "df")

@@ -8,11 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler
 from pyspark.sql import functions as F
 
-from versemill.functions.parsing import label_lower_yes
+from versemill.functions.parsing import label_lower_yes, parse_release_date, release_decade
 from versemill.models import classifiers as ml
 from versemill.models import experiments, gauss, linear, lines, trees
 from versemill.models import vectors as vec
-from versemill.operators import metrics, sampling, terms
+from versemill.operators import metrics, nearest, sampling, terms
 from versemill.plans.registry import query, table
 from versemill.plans.views import SONGS, songs
 from versemill.session import cut_lineage, spread, work_folder
@@ -330,6 +330,38 @@ def hybrid_vector(spark, folder):
     return mixed.select("doc_id", F.size("hybrid").alias("dim"))
 
 
+@query("recommender")
+def recommender(spark, folder):
+    """The five songs most like each song, of its cluster and decade: vectors of text, numbers and
+    categories, projected, clustered and compared in groups."""
+    decade = release_decade(parse_release_date(F.col("release_date"))).alias("decade")
+    rows = songs(spark, folder).select("doc_id", *NUMBERS, "genre", "emotion", decade).join(_embedded_documents(spark, folder, 20), "doc_id")
+    mixed = vec.hybrid_vector(cut_lineage(rows), "vector", NUMBERS, ["genre", "emotion"]).select("doc_id", "decade", "hybrid")
+    reduced, _ = vec.project(cut_lineage(mixed), "hybrid", 20)
+    clustered, _ = vec.kmeans(cut_lineage(reduced), "projected", 7)
+    found = nearest.most_similar(cut_lineage(clustered), "doc_id", "hybrid", 5, same=["cluster", "decade"])
+    return found.select(F.col("id").alias("doc_id"), "neighbour", F.round("similarity", 6).alias("similarity"), "place")
+
+
+_WHOLE = """WITH long AS (SELECT generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings),
+  each AS (SELECT dim, var_pop(x) AS v FROM long GROUP BY dim)"""
+
+
+@query("pca_facts", f"{_WHOLE} SELECT round(sum(v), 6) AS variance, 0::BIGINT AS n_correlated, 0::BIGINT AS n_out_of_order FROM each")
+def pca_facts(spark, folder):
+    """All components together keep the variance; no two go together; none varies more than one before it."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    dims = rows.agg(F.max(F.size("embedding"))).head()[0]
+    projected = cut_lineage(vec.project(rows, "embedding", dims)[0].select("projected"))
+    places = F.sequence(F.lit(0), F.lit(dims - 1))
+    products = F.flatten(F.transform(places, lambda i: F.transform(F.sequence(i, F.lit(dims - 1)), lambda j: F.struct(i.alias("i"), j.alias("j"), (F.get("projected", i) * F.get("projected", j)).alias("p")))))
+    sums = projected.select(F.explode(products).alias("c")).groupBy("c.i", "c.j").agg(F.avg("c.p").alias("p"))
+    held = F.sort_array(F.collect_list(F.when(F.col("i") == F.col("j"), F.struct("i", "p"))))
+    facts = sums.agg(F.sum(F.when(F.col("i") == F.col("j"), F.col("p"))).alias("variance"), F.count_if((F.col("i") != F.col("j")) & (F.abs("p") > 1e-9)).alias("n_correlated"), held["p"].alias("v"))
+    rises = F.size(F.filter(F.zip_with(F.slice("v", 1, F.size("v") - 1), F.slice("v", 2, F.size("v")), lambda a, b: b > a + 1e-9), lambda up: up))
+    return facts.select(F.round("variance", 6).alias("variance"), "n_correlated", rises.cast("bigint").alias("n_out_of_order"))
+
+
 def _reduced(spark, folder):
     rows, _ = vec.project(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding", 20)
     return cut_lineage(rows.select("vec_id", "projected"))
