@@ -56,3 +56,14 @@ def test_ingest_takes_each_file_once(spark):
     assert sorted(r["id"] for r in ingested(spark, target).collect()) == list(range(25))
     entries = ledger(spark, target).orderBy("start").collect()
     assert [(r["start"], r["end"], r["status"]) for r in entries] == [(0, 9, "completed"), (10, 24, "completed")]
+
+
+def test_vectors_must_have_the_ids_of_the_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, t string")
+    vectors = spark.createDataFrame([(1, [0.0]), (2, [1.0]), (9, [2.0])], "vec_id long, v array<double>")
+    lacking = files.lacking_partners(rows, vectors, "doc_id", "vec_id").collect()
+    assert {(r["id"], r["lacks"]) for r in lacking} == {(3, "vector"), (9, "row")}
+    with pytest.raises(ValueError, match="1 rows without a vector, 1 vectors without a row"):
+        files.align_vectors(rows, vectors, "doc_id", "vec_id")
+    same = files.align_vectors(rows.filter("doc_id < 3"), vectors.filter("vec_id < 3"), "doc_id", "vec_id")
+    assert {(r["doc_id"], r["v"][0]) for r in same.collect()} == {(1, 0.0), (2, 1.0)}

@@ -48,6 +48,15 @@ def src_embedding(spark, folder):
     )
 
 
+@query(
+    "src_embedding_lacking",
+    """SELECT coalesce(doc_id, vec_id) AS id, CASE WHEN vec_id IS NULL THEN 'vector' ELSE 'row' END AS lacks
+       FROM documents FULL JOIN embeddings ON doc_id = vec_id WHERE doc_id IS NULL OR vec_id IS NULL""",
+)
+def src_embedding_lacking(spark, folder):
+    return files.lacking_partners(table(spark, folder, "documents"), table(spark, folder, "embeddings"), "doc_id", "vec_id")
+
+
 @query(
     "src_jsonl_response",
     """SELECT vec_id AS id, generate_subscripts(embedding, 1) - 1 AS dim, round(unnest(embedding)::DOUBLE, 6) AS value

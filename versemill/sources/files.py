@@ -77,19 +77,20 @@ def row_range(df: DataFrame, id_col: str, start: int, end: int) -> DataFrame:
     return df.filter((F.col(id_col) >= start) & (F.col(id_col) < end))
 
 
+def lacking_partners(rows: DataFrame, vectors: DataFrame, row_id: str, vec_id: str) -> DataFrame:
+    """(id, lacks): ids of one side that the other does not have; lacks is `vector` or `row`."""
+    left = rows.select(F.col(row_id).alias("id")).distinct().withColumn("_row", F.lit(1))
+    right = vectors.select(F.col(vec_id).alias("id")).distinct().withColumn("_vec", F.lit(1))
+    lacks = F.when(F.col("_vec").isNull(), "vector").when(F.col("_row").isNull(), "row")
+    return left.join(right, "id", "full").select("id", lacks.alias("lacks")).filter("lacks IS NOT NULL")
+
+
 def align_vectors(rows: DataFrame, vectors: DataFrame, row_id: str, vec_id: str) -> DataFrame:
     """Rows with their vectors; raises when the two sides do not have the same ids."""
-    both = rows.select(F.col(row_id).alias("_id")).withColumn("_row", F.lit(1)).join(
-        vectors.select(F.col(vec_id).alias("_id")).withColumn("_vec", F.lit(1)), "_id", "full"
-    )
-    lacking = both.agg(
-        F.sum(F.when(F.col("_row").isNull(), 1).otherwise(0)).alias("rows"),
-        F.sum(F.when(F.col("_vec").isNull(), 1).otherwise(0)).alias("vectors"),
-    ).head()
-    if lacking["rows"] or lacking["vectors"]:
-        raise ValueError(
-            f"{lacking['vectors']} rows without a vector, {lacking['rows']} vectors without a row"
-        )
+    found = lacking_partners(rows, vectors, row_id, vec_id).groupBy("lacks").agg(F.count("*").alias("n")).collect()
+    lacking = {r["lacks"]: r["n"] for r in found}
+    if lacking:
+        raise ValueError(f"{lacking.get('vector', 0)} rows without a vector, {lacking.get('row', 0)} vectors without a row")
     return rows.join(vectors, F.col(row_id) == F.col(vec_id))
 
 
