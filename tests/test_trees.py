@@ -33,6 +33,19 @@ def test_levels_and_one_task_grow_the_same_trees(spark):
     assert {r[0] for r in here} == {0, 1, 2, 3} and {r[1] for r in here if r[0] == 1} == {0, 1, 2, 3}
 
 
+def test_edges_are_the_quantiles_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    n = 30_011
+    x = np.stack([rng.normal(size=n), np.exp(20 * rng.normal(size=n)), rng.integers(-2, 3, n).astype(float), np.where(rng.random(n) < 0.5, -0.0, 0.0)], 1)
+    frame = spark.createDataFrame([(row,) for row in x.tolist()], "v array<double>")
+    edges = trees.bin_edges(frame.repartition(7), "v")
+    assert np.array_equal(edges, trees.bin_edges(frame.coalesce(1), "v"))
+    for d in range(4):
+        ranks = [-(-n * i // trees.BINS) - 1 for i in range(1, trees.BINS)]
+        known = np.unique(np.sort(x[:, d])[ranks])
+        assert edges[d].tolist() == [*known, *[np.inf] * (trees.BINS - 1 - len(known))]
+
+
 @pytest.mark.parametrize("kind", ["gini", "entropy"])
 def test_each_split_is_the_best_of_all_cuts(spark, kind):
     frame, x, y = rows(spark, 300)
