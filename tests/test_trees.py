@@ -99,3 +99,31 @@ def test_odd_rows(spark):
     assert trees.fit_trees(frame.limit(0), [trees.decision_tree()], "v", "y", "id").rows.count() == 0
     same = spark.createDataFrame([(i, [1.0], i % 2) for i in range(10)], "id long, v array<double>, y int")
     assert trees.fit_trees(same, [trees.gradient_boosting(2)], "v", "y", "id").rows.filter("feature >= 0").count() == 0
+
+
+def test_scores_of_trees_sent_in_waves(spark, monkeypatch):
+    frame, x, _ = rows(spark)
+    model = trees.fit_trees(frame, FITS, "v", "y", "id", "fold")
+    scores = lambda: [r["scores"] for r in model.predict(frame, "v").orderBy("id").collect()]
+    whole = scores()
+    monkeypatch.setattr(trees, "WAVE", 60)
+    assert scores() == whole
+    grown = {}
+    for r in model.rows.filter("fit = 1").collect():
+        tree = grown.setdefault(r["tree"], trees.Grown())
+        tree.values[r["node"]] = r["value"]
+        if r["feature"] >= 0:
+            tree.splits[r["node"]] = (r["feature"], r["cut"])
+    plain = sum(trees.value_of(tree, trees.binned(x, model.edges)) for tree in grown.values()) / len(grown)
+    assert np.allclose([s[1] for s in whole], plain, atol=1e-12)
+
+
+def test_tasks_take_small_trees_together_and_blocks_carry_no_margins(spark):
+    small = [trees.decision_tree(depth=d) for d in (4, 5)] * 20
+    fits = [trees.gradient_boosting(30), *small, trees.random_forest(6, trees=60)]
+    parts = trees.parts_of(fits)
+    dealt = sorted((i, t) for part in parts for i, numbers in part for t in numbers)
+    assert dealt == [(i, t) for i, fit in enumerate(fits) for t in range(fit.trees)]
+    assert len(parts) == 1 + 100 // trees.TREES_A_TASK
+    row = {"n": 2, "bins": bytes(4), "label": bytes(2), "key": bytes(16), "fold": bytes(8)}
+    assert trees.unpacked(row, 3)[-1].shape == (2, 3)
