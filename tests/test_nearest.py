@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from versemill.operators import nearest, packing
 
@@ -69,6 +70,19 @@ def test_most_similar_equals_all_pairs(spark, block_rows):
     assert sorted((r["id"], r["neighbour"], r["similarity"], r["place"]) for r in got) == by_definition(rows, 3)
 
 
+def test_a_row_is_moved_to_few_blocks(spark, monkeypatch):
+    sizes = [0, 1, 1000, 20_000, 100_000, 600_000, 768_000, 1_000_000]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").select(nearest.blocks_of(F.col("n"), 1000).alias("b"), "n").orderBy("n").collect()
+    assert [r["b"] for r in rows] == [0, 1, 1, 20, 24, 24, 24, 32]
+    monkeypatch.setattr(nearest, "CELLS", 50)
+    monkeypatch.setattr(nearest, "MOST_BLOCKS", 3)
+    rng = random.Random(2)
+    held = {i: ("a", [float(rng.randrange(-2, 3)) for _ in range(3)]) for i in range(90)}
+    df = spark.createDataFrame([(i, v) for i, (_, v) in held.items()], "id long, v array<double>")
+    got = nearest.most_similar(df, "id", "v", 3, block_rows=4).collect()
+    assert sorted((r["id"], r["neighbour"], r["similarity"], r["place"]) for r in got) == by_definition(held, 3)
+
+
 def test_most_similar_of_equal_vectors(spark):
     df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(50)], "id long, v array<double>")
     got = nearest.most_similar(df, "id", "v", 2, block_rows=6).collect()

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from versemill.operators.ranking import join_small
 
 #: Rows of a block on average. A task compares two blocks at once.
 BLOCK_ROWS = 1000
+#: A group is cut into MOST_BLOCKS at most, so that a row is moved no oftener, until its blocks have LARGE_ROWS rows.
+MOST_BLOCKS, LARGE_ROWS = 24, 32_000
+#: Similarities that a task holds at once.
+CELLS = 4_000_000
 #: Places that a similarity is rounded to before rows are ranked by it, so that equal vectors are ties.
 PLACES = 9
 
@@ -31,6 +35,12 @@ def unit_rows(vectors: pa.Array, n: int) -> np.ndarray:
     return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
 
 
+def blocks_of(rows: Column, block_rows: int) -> Column:
+    """How many blocks a group of so many rows is cut into."""
+    large = max(LARGE_ROWS, block_rows)
+    return F.greatest(F.least(F.ceil(rows / block_rows), F.lit(MOST_BLOCKS)), F.ceil(rows / large)).cast("long")
+
+
 def most_similar(
     df: DataFrame, id_col: str, vec_col: str, n: int, same: list[str] | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -41,7 +51,8 @@ def most_similar(
     digest of the id, as many as its rows need, and each pair of blocks is one product of matrices, in
     its own task if need be, that puts out n rows at most for each row of either block. So the work is
     that of all pairs of a group, and none of the pairs is a row. A row is moved as often as its group
-    has blocks.
+    has blocks, which are MOST_BLOCKS at most below MOST_BLOCKS * LARGE_ROWS rows: so far what is moved
+    grows as the rows do.
 
     Ids are whole numbers; rows of one id are one row's and not each other's neighbours. Rows without
     id, vector or group column are left out. A vector without length has similarity 0 to all. Vectors
@@ -51,7 +62,7 @@ def most_similar(
     rows = df.select(*[c.alias(k) for k, c in named.items()], F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.dropna()
     keys = list(named)
-    blocks = F.ceil(F.count("*") / block_rows).alias("blocks")
+    blocks = blocks_of(F.count("*"), block_rows).alias("blocks")
     if keys:
         sized = join_small(rows, rows.groupBy(*keys).agg(blocks), keys)
     else:
@@ -71,10 +82,14 @@ def most_similar(
             if not left.any() or not right.any():
                 continue
             a, b = ids[left], ids[right]
-            similarity = np.round(unit[left] @ unit[right].T, PLACES) + 0.0
-            similarity[a[:, None] == b[None, :]] = -np.inf
-            x, y = np.nonzero(best_places(similarity, n))
-            out.append((a[x], b[y], similarity[x, y]))
+            step = max(1, CELLS // len(b))
+            u, v = unit[left], unit[right].T
+            for start in range(0, len(a), step):
+                some = a[start : start + step]
+                similarity = np.round(u[start : start + step] @ v, PLACES) + 0.0
+                similarity[some[:, None] == b[None, :]] = -np.inf
+                x, y = np.nonzero(best_places(similarity, n))
+                out.append((some[x], b[y], similarity[x, y]))
         parts = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table({"id": pa.array(parts[0], pa.int64()), "neighbour": pa.array(parts[1], pa.int64()), "similarity": pa.array(parts[2], pa.float64())})
 
