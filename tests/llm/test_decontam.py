@@ -89,6 +89,26 @@ def test_search_against_brute_force_on_the_tables(spark, small):
     assert want and len(got & want) >= 0.9 * len(want) and got <= want
 
 
+def test_space_is_fitted_on_all_passages(spark):
+    """Against the exact decomposition of all passages of long texts, as one matrix."""
+    rows = [words(d, 1300, 500) for d in range(2)]
+    items = [words(9, 40, 500)]
+    texts = [" ".join(ws) for ws in rows + items]
+    frame = lambda ts: spark.createDataFrame([(t,) for t in ts], "text string")
+    got = decontam.fit_space(frame(texts[:2]), frame(texts[2:]))
+    features = [decontam.Words([t.encode()]).features for t in texts]
+    df = sum(np.bincount(np.unique(f), minlength=decontam.FEATURES) for f in features[:2])
+    idf = np.log(3 / (df + 0.5)).clip(0)
+    parts = [(f[i : i + decontam.PASSAGE], j) for j, f in enumerate(features) for i in range(0, len(f), decontam.PASSAGE)]
+    a = np.array([np.bincount(f, minlength=decontam.FEATURES) * idf for f, _ in parts])
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    a[-1] *= np.sqrt(len(parts) - 1)
+    values, vectors = np.linalg.svd(a, full_matrices=False)[1:]
+    want = idf[:, None] * vectors.T / values**decontam.FLATTEN
+    some = np.flatnonzero(idf)[::7]
+    assert len(parts) == 43 and np.allclose(got[some] @ got[some].T, want[some] @ want[some].T, rtol=1e-2, atol=1e-3)
+
+
 def test_answer_is_the_last_sentence_or_quarter():
     assert decontam.answer_words(b"who was it? it was her") == [b"it", b"was", b"her"]
     assert decontam.answer_words(b"a b c d e f g h i j k l") == [b"j", b"k", b"l"]

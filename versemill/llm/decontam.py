@@ -1,12 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Words are hashed to FEATURES and weighted by their document frequency over all documents. A
-randomised SVD of TF-IDF passages (benchmark items, and a bounded sample of document passages)
-gives a latent space; every document is cut into overlapping windows of three lengths, and every
+randomised SVD of the TF-IDF passages of all benchmark items and all documents gives a latent
+space; every document is cut into overlapping windows of three lengths, and every
 window is compared with the items of its length by cosine. What passes is verified on the words:
 the longest common subsequence with the item, and for paraphrases also with the item's answer.
 
-The documents are read whole and stay where they are: neither search nor check shuffles them.
+The documents are read whole and stay where they are: neither search nor check shuffles them. Their
+features are written once, two bytes a word, for the three passes that fit the space.
 Items are taken in blocks of ITEM_BLOCK; the factor that is sent to the tasks has a fixed size.
 
 Defined cases: absent and empty texts have no leaks; items of fewer than MIN_ITEM words are never
@@ -34,12 +35,9 @@ OVERSAMPLE = 8
 #: Power of the singular values that is taken out of the directions.
 FLATTEN = 0.75
 SEED = 11
-#: The latent space is fitted on about so many documents, drawn by a digest of their id and
-#: text, at most so many passages of each, and on at most so many items. Search covers all.
-FIT_DOCUMENTS = 4000
-FIT_PASSAGES = 8
-FIT_ITEMS = 5000
+#: Words a passage. The space is fitted on all passages of all texts, so many at a time.
 PASSAGE = 64
+PASSAGES_AT_ONCE = 4096
 ITEM_BLOCK = 5000
 #: Tokens a cell; windows are runs of 2, 4 and 8 cells, each starting at every half length.
 CELL = 8
@@ -89,80 +87,111 @@ class Words:
         return [self.joined[x:y] for x, y in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist())]
 
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of the words of each text, two bytes each."""
+    for batch in batches:
+        texts, item = encoded(batch.column("text")), batch.column("item")
+        for a, b in pieces(texts):
+            words = Words(texts[a:b])
+            flat, first = words.features.astype(np.uint16), words.first.tolist()
+            held = [flat[x:y].tobytes() for x, y in zip(first, first[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), item.slice(a, b - a)], names=["features", "item"])
+
+
+def _flat(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(features of all words, words of each text, whether it is an item) of some texts at a time."""
+    held, item = batch.column("features").to_pylist(), np.asarray(batch.column("item"))
+    for a, b in pieces(held):
+        counts = np.array([len(f) // 2 for f in held[a:b]])
+        yield np.frombuffer(b"".join(held[a:b]), np.uint16).astype(np.int64), counts, item[a:b]
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = np.zeros(FEATURES, np.int64)
     mark = np.zeros((MARKED, FEATURES), bool)
     for batch in batches:
-        texts = encoded(batch.column("text"))
-        for a, b in pieces(texts):
-            words = Words(texts[a:b])
-            for c in range(0, b - a, MARKED):
-                part = words.first[c : min(c + MARKED, b - a) + 1]
+        for flat, counts, _ in _flat(batch):
+            first = np.concatenate([[0], np.cumsum(counts)])
+            for c in range(0, len(counts), MARKED):
+                part = first[c : min(c + MARKED, len(counts)) + 1]
                 owner = np.repeat(np.arange(len(part) - 1), np.diff(part))
                 mark[:] = False
-                mark[owner, words.features[part[0] : part[-1]]] = True
+                mark[owner, flat[part[0] : part[-1]]] = True
                 held += np.count_nonzero(mark, axis=0)
     at = np.flatnonzero(held)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(held[at], pa.int64())], names=["feature", "n"])
 
 
-def inverse_frequencies(texts: DataFrame, documents: int) -> np.ndarray:
+def inverse_frequencies(features: DataFrame, documents: int) -> np.ndarray:
     """Weight of every feature, from all documents (FEATURES numbers)."""
-    counts = texts.mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    counts = features.mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     held = np.zeros(FEATURES)
     for row in counts.collect():
         held[row["feature"]] = row["n"]
     return np.log((documents + 1) / (held + 0.5)).clip(0)
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def drawn_columns() -> np.ndarray:
+    return np.random.default_rng(SEED).standard_normal((FEATURES, RANK + OVERSAMPLE), np.float32)
+
+
+def _passages(batches: Iterator[pa.RecordBatch], idf: np.ndarray, item_weight: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Some passages at a time, as rows of PASSAGE words: their features (FEATURES where a passage is
+    shorter) and the weights of the words, of length 1 a passage or `item_weight`."""
+    weight = np.append(idf, 0.0)
     for batch in batches:
-        out, weights = [], []
-        for text, item in zip(encoded(batch.column("text")), batch.column("item").to_pylist()):
-            flat = Words([text]).features
-            starts = range(0, len(flat), PASSAGE)
-            if not item and len(starts) > FIT_PASSAGES:
-                starts = [starts[i * len(starts) // FIT_PASSAGES] for i in range(FIT_PASSAGES)]
-            out += [flat[s : s + PASSAGE] for s in starts]
-            weights += [item] * len(starts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out, pa.list_(pa.int64())), pa.array(weights, pa.bool_())], names=["features", "item"]
-        )
+        for flat, counts, item in _flat(batch):
+            n = -(-counts // PASSAGE)
+            place = np.arange(len(flat)) + np.repeat(PASSAGE * (np.cumsum(n) - n) - (np.cumsum(counts) - counts), counts)
+            every = np.full(int(n.sum()) * PASSAGE, FEATURES, np.int64)
+            every[place] = flat
+            every, of_item = every.reshape(-1, PASSAGE), np.repeat(item, n)
+            for start in range(0, len(every), PASSAGES_AT_ONCE):
+                at = np.sort(every[start : start + PASSAGES_AT_ONCE].astype(np.int32), axis=1)
+                # A feature counts by the square of all its weight in the passage.
+                new = np.ones(at.shape, bool)
+                new[:, 1:] = at[:, 1:] != at[:, :-1]
+                runs = np.flatnonzero(new)
+                tf = np.diff(np.append(runs, at.size))
+                length = np.sqrt(np.bincount(runs // PASSAGE, (tf * weight[at.ravel()[runs]]) ** 2, len(at)))
+                size = np.where(of_item[start : start + len(at)], item_weight, 1.0)
+                factor = np.divide(size, length, out=np.zeros(len(at)), where=length > 0)
+                yield at.astype(np.int64), weight[at] * factor[:, None]
+
+
+def _times(at: np.ndarray, x: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """Passages x factor (FEATURES + 1 rows), a row a passage."""
+    out = np.empty((len(at), factor.shape[1]), np.float32)
+    x = x.astype(np.float32)[:, None, :]
+    for a in range(0, len(at), MARKED):
+        out[a : a + MARKED] = np.matmul(x[a : a + MARKED], np.take(factor, at[a : a + MARKED], axis=0))[:, 0]
+    return out
 
 
-def drawn_columns() -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((FEATURES, RANK + OVERSAMPLE), np.float32)
+def _padded(basis: np.ndarray) -> np.ndarray:
+    return np.concatenate([basis.astype(np.float32), np.zeros((1, basis.shape[1]), np.float32)])
 
 
-def _gram_times(basis: np.ndarray | None, idf: np.ndarray, item_weight: float, parts: int):
-    """Passages → A'A x basis, summed over the task, in row blocks. Without a basis the random
-    columns are taken, which each task draws again instead of getting them sent."""
+def _gram_drawn(idf: np.ndarray, item_weight: float, parts: int):
+    """Passages → A'A x random columns, summed over the task, in row blocks. Each task draws the
+    columns again instead of getting them sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factor = drawn_columns() if basis is None else basis
-        out = np.zeros(factor.shape, np.float64)
-        for batch in batches:
-            for flat, item in zip(batch.column("features").to_pylist(), batch.column("item").to_pylist()):
-                at, tf = np.unique(np.asarray(flat, np.int64), return_counts=True)
-                x = tf * idf[at]
-                norm = np.sqrt(x @ x)
-                if norm > 0:
-                    x *= (item_weight if item else 1.0) / norm
-                    out[at] += x[:, None] * (x @ factor[at])
+        factor = _padded(drawn_columns())
+        out = np.zeros((factor.shape[1], FEATURES + 1))
+        for at, x in _passages(batches, idf, item_weight):
+            flat = at.ravel()
+            for column, held in zip(out, _times(at, x, factor).T.astype(np.float64)):
+                column += np.bincount(flat, (x * held[:, None]).ravel(), FEATURES + 1)
         size = FEATURES // parts
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(parts), pa.int32()),
-                pa.array([out[i * size : (i + 1) * size].astype(np.float32).tobytes() for i in range(parts)], pa.binary()),
-            ],
-            names=["part", "sums"],
-        )
+        sums = [np.ascontiguousarray(out[:, i * size : (i + 1) * size].T, np.float32).tobytes() for i in range(parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(sums, pa.binary())], names=["part", "sums"])
 
     return run
 
 
-def gram_times(passages: DataFrame, basis: np.ndarray | None, idf: np.ndarray, item_weight: float, parts: int = 32) -> np.ndarray:
-    """A'A x basis over all fitted passages: tasks add up their own, then blocks of rows are added."""
+def gram_drawn(features: DataFrame, idf: np.ndarray, item_weight: float, parts: int = 32) -> np.ndarray:
+    """A'A x random columns over all passages: tasks add up their own, then blocks of rows are added."""
     import pandas as pd
 
     def add(key, pdf):
@@ -170,7 +199,7 @@ def gram_times(passages: DataFrame, basis: np.ndarray | None, idf: np.ndarray, i
         return pd.DataFrame({"part": [key[0]], "sums": [total.astype(np.float32).tobytes()]})
 
     width = RANK + OVERSAMPLE
-    own = passages.mapInArrow(_gram_times(basis, idf, item_weight, parts), "part int, sums binary")
+    own = features.mapInArrow(_gram_drawn(idf, item_weight, parts), "part int, sums binary")
     rows = own.groupBy("part").applyInPandas(add, "part int, sums binary").collect()  # FEATURES x width numbers
     out = np.zeros((FEATURES, width))
     size = FEATURES // parts
@@ -179,15 +208,31 @@ def gram_times(passages: DataFrame, basis: np.ndarray | None, idf: np.ndarray, i
     return out
 
 
-def randomised_svd(passages: DataFrame, idf: np.ndarray, item_weight: float) -> tuple[np.ndarray, np.ndarray]:
+def gram_within(features: DataFrame, basis: np.ndarray, idf: np.ndarray, item_weight: float) -> np.ndarray:
+    """basis' A'A basis over all passages, a small square matrix: no sum by feature is needed for it."""
+    sent = features.sparkSession.sparkContext.broadcast(basis.astype(np.float32))
+    width = basis.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor, out = _padded(sent.value), np.zeros((width, width))
+        for at, x in _passages(batches, idf, item_weight):
+            held = _times(at, x, factor)
+            out += held.T @ held
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+
+    rows = features.mapInArrow(run, "sums binary").collect()
+    sent.destroy()
+    return sum((np.frombuffer(r["sums"]) for r in rows), np.zeros(width * width)).reshape(width, width)
+
+
+def randomised_svd(features: DataFrame, idf: np.ndarray, item_weight: float) -> tuple[np.ndarray, np.ndarray]:
     """(right singular vectors, singular values) of the weighted passages.
 
-    The range of A'A is sampled with random columns; the sampled basis is applied once more, and
-    the small matrix between the two gives vectors and values (Rayleigh-Ritz).
+    The range of A'A is sampled with random columns; the small matrix of A'A within it gives
+    vectors and values (Rayleigh-Ritz).
     """
-    basis = np.linalg.qr(gram_times(passages, None, idf, item_weight))[0]
-    image = gram_times(passages, basis.astype(np.float32), idf, item_weight)
-    small = basis.T @ image
+    basis = np.linalg.qr(gram_drawn(features, idf, item_weight))[0]
+    small = gram_within(features, basis, idf, item_weight)
     values, turns = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(values)[::-1][:RANK]
     return basis @ turns[:, order], np.sqrt(values[order].clip(0))
@@ -199,17 +244,16 @@ def fit_space(docs: DataFrame, items: DataFrame) -> np.ndarray:
     Directions are divided by a power of their singular values, so that what all texts of a
     language share does not make up the cosine, and the rarest directions do not either.
     """
-    n = docs.count()
-    n_items = items.count()
-    idf = inverse_frequencies(docs.select("text"), n)
-    drawn = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 30))
-    of_docs = docs.filter(drawn < int((1 << 30) * min(1.0, FIT_DOCUMENTS / max(1, n)))).select("text", F.lit(False).alias("item"))
-    of_items = items.filter(drawn < int((1 << 30) * min(1.0, FIT_ITEMS / max(1, n_items)))).select("text", F.lit(True).alias("item"))
-    passages = of_docs.unionByName(of_items).mapInArrow(_passages, "features array<long>, item boolean")
-    passages = cut_lineage(passages.coalesce(8))  # a bounded sample
-    counts = {r["item"]: r["count"] for r in passages.groupBy("item").count().collect()}
-    # Items weigh as much as the sampled documents together.
-    item_weight = np.sqrt(max(1.0, counts.get(False, 0) / max(1, counts.get(True, 0))))
+    both = docs.select("text", F.lit(False).alias("item")).unionByName(items.select("text", F.lit(True).alias("item")))
+    features = cut_lineage(both.mapInArrow(_features, "features binary, item boolean"))
+    n_passages = F.sum(F.ceil(F.octet_length("features") / (2 * PASSAGE)))
+    counts = {r["item"]: (r["n"], r["passages"]) for r in features.groupBy("item").agg(F.count("*").alias("n"), n_passages.alias("passages")).collect()}
+    (n, of_docs), (_, of_items) = counts.get(False, (0, 0)), counts.get(True, (0, 0))
+    idf = inverse_frequencies(features.filter("NOT item"), n)
+    # Items weigh as much as the documents together.
+    item_weight = np.sqrt(max(1.0, of_docs / max(1, of_items)))
+    # What a task sums up has a fixed size, so there are as many tasks as cores can take, not more with more text.
+    passages = features.coalesce(2 * features.sparkSession.sparkContext.defaultParallelism)
     vectors, values = randomised_svd(passages, idf, item_weight)
     scaled = np.divide(vectors, values**FLATTEN, out=np.zeros_like(vectors), where=values > 1e-6 * max(values.max(initial=0), 1e-12))
     return (idf[:, None] * scaled).astype(np.float32)
