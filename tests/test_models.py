@@ -84,6 +84,31 @@ def test_rare_words_count_as_often_as_they_occur(spark):
     assert np.allclose(out[1], out[2]) and np.allclose(out[1], out[3]) and out[1].any()
 
 
+def test_no_vocabulary_reaches_the_driver(spark, monkeypatch):
+    """The vectors of words and their names stay in the tasks, and blocks are fitted each by itself."""
+
+    def gone(self, *args):
+        raise AssertionError("a table came to the driver")
+
+    df = spark.createDataFrame([(i, [f"w{i % 40}", f"w{i % 7}", "all"]) for i in range(80)], "id int, w array<string>")
+    for name in ("collect", "toPandas", "toArrow", "toLocalIterator"):
+        monkeypatch.setattr(type(df), name, gone)
+    embedded = vectors.word2vec_embed(df, "id", "w", size=4, partitions=5, iterations=2)
+    assert embedded.filter("size(vector) = 4 AND vector[0] <> 0").count() == 80
+
+
+def test_words_of_one_subject_are_near(spark):
+    """Two subjects with words of their own, in several blocks, and what is common to both."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [f"s{i % 2}x{w}" if w < 20 else f"both{w}" for w in rng.integers(0, 25, 40)]) for i in range(1200)]
+    df = spark.createDataFrame([*rows, *[(2000 + 20 * s + w, [f"s{s}x{w}"]) for s in (0, 1) for w in range(20)]], "id int, w array<string>")
+    out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=16, partitions=4, iterations=5).collect()}
+    unit = np.array([out[2000 + i] / np.linalg.norm(out[2000 + i]) for i in range(40)])
+    near = unit @ unit.T
+    own = np.concatenate([near[:20, :20][~np.eye(20, dtype=bool)], near[20:, 20:][~np.eye(20, dtype=bool)]])
+    assert own.mean() > near[:20, 20:].mean() + 0.3
+
+
 def test_word_mean_is_over_known_words(spark):
     df = spark.createDataFrame([(1, ["sun"]), (2, ["sun", "rare", "other"])], "id int, w array<string>")
     out = {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=4, partitions=1).collect()}
