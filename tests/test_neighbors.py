@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from versemill.operators import clusters, joins, neighbors
+from versemill.operators import clusters, joins, nearest, neighbors
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +48,27 @@ def test_smote_of_balanced_classes_is_empty(spark):
     assert neighbors.smote(rows, "id", "y", "vec").count() == 0
 
 
+def test_distances_by_products_keep_small_gaps():
+    """Far from zero, with copies and with rows that are all but equal."""
+    rng = np.random.default_rng(4)
+    left = rng.normal(1000, 1, (300, 8))
+    right = np.vstack([left[:50], left[50:90] + 1e-7, rng.normal(1000, 1, (200, 8))])
+    got = np.vstack([d for _, d in neighbors._product_distances(left, right)])
+    want = np.sqrt(((left[:, None] - right[None]) ** 2).sum(axis=2))
+    assert np.allclose(got, want, rtol=1e-7, atol=1e-12) and (np.diag(got)[:50] == 0).all()
+
+
+def test_rows_of_a_silhouette_are_moved_as_often_as_there_are_blocks(spark, monkeypatch):
+    """Two blocks at most, as the largest blocks hold: each row meets each block once, in three pairs."""
+    monkeypatch.setattr(nearest, "MOST_BLOCKS", 2)
+    rows = spark.createDataFrame([(i, [float(i % 7), float(i % 3)], i % 2) for i in range(400)], "id bigint, vec array<double>, c int")
+    seen = neighbors.cluster_distances(rows, "id", "vec", "c", block=10)
+    assert "FlatMapGroupsInArrow" in seen._jdf.queryExecution().toString() and seen.count() == 800
+    total = seen.agg(F.sum("total")).head()[0]
+    p = np.array([[i % 7, i % 3] for i in range(400)], float)
+    assert np.isclose(total, np.sqrt(((p[:, None] - p[None]) ** 2).sum(axis=2)).sum())
+
+
 def test_silhouettes(frame, points):
     labels = np.array([r["c"] for r in frame.orderBy("id").collect()])
     for power, got in ((1, neighbors.silhouette(frame, "id", "vec", "c", block=50)), (2, clusters.silhouette_squared(frame, "id", "vec", "c"))):

@@ -10,17 +10,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from versemill.functions.scalars import hash_int, hash_key, hash_unit
 from versemill.functions.vectors import interpolate
+from versemill.operators.nearest import blocks_of
 from versemill.operators.ranking import join_small, number_by_id
 from versemill.session import cut_lineage
 
 BLOCK_ROWS = 2048
 MOST_CELLS = 2048
 CHUNK = 32
+#: Distances that a task holds at once, the share of the lengths below which they come from differences, and how many of these at once.
+CELLS, NEAR, EXACT_ROWS = 2_000_000, 1e-6, 50_000
 
 
 def _distances(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
@@ -186,43 +190,69 @@ def smote(
     return out
 
 
+def _product_distances(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Euclidean distances from a product of matrices, some rows of `left` at a time. What is near
+    for its lengths, where the product loses digits, is worked out from differences."""
+    centre = right.mean(axis=0)
+    left, right = left - centre, right - centre
+    a, b = (left * left).sum(axis=1), (right * right).sum(axis=1)
+    step = max(1, CELLS // len(right))
+    for start in range(0, len(left), step):
+        part = slice(start, start + step)
+        lengths = a[part, None] + b[None, :]
+        squared = lengths - 2 * (left[part] @ right.T)
+        x, y = np.nonzero(squared <= NEAR * lengths)
+        for i in range(0, len(x), EXACT_ROWS):
+            some, other = x[i : i + EXACT_ROWS], y[i : i + EXACT_ROWS]
+            gaps = left[start + some] - right[other]
+            squared[some, other] = (gaps * gaps).sum(axis=1)
+        yield part, np.sqrt(squared, out=squared)
+
+
 def cluster_distances(df: DataFrame, id_col: str, vec_col: str, cluster: str, block: int = BLOCK_ROWS) -> DataFrame:
     """(id, cluster of the row, other, total): sum of distances from a row to each cluster.
 
-    Every block meets every block once; a task holds two blocks and returns one sum per row
-    and cluster. This is quadratic work, as the Euclidean silhouette is by definition.
+    Every two blocks meet once; a task holds two blocks and returns one sum per row and cluster.
+    This is quadratic work, as the Euclidean silhouette is by definition. A row is moved as often
+    as there are blocks, which grow with the rows (`blocks_of`).
     """
     points = df.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), F.col(cluster).cast("int").alias("c")
     )
-    blocks = max(1, -(-points.count() // block))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    mine = _slice_of("id", "b", F.lit(blocks))
-    left = points.select("*", mine.alias("i"), every.alias("j"))
-    right = points.select("*", mine.alias("j"), every.alias("i"))
-
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    blocks = F.lit(points.agg(F.greatest(blocks_of(F.count("*"), block), F.lit(1))).head()[0])
+    placed = points.withColumn("block", _slice_of("id", "b", blocks))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
+    paired = paired.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+
+    def member(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        names, at = np.unique(c, return_inverse=True)
+        return names, np.eye(len(names))[at]
+
+    def sums(held: pa.Table) -> pa.Table:
+        held = held.combine_chunks()
+        ids, c = held.column("id").to_numpy(), held.column("c").to_numpy()
+        vectors = held.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        first = held.column("block").to_numpy() == held.column("lo").to_numpy()
+        left = np.flatnonzero(first)
+        alone = held.column("lo")[0] == held.column("hi")[0]
+        right = left if alone else np.flatnonzero(~first)
         out = []
-        if len(a) and len(b):
-            names, at = np.unique(b["c"].to_numpy(), return_inverse=True)
-            member = np.eye(len(names))[at]
-            for part, distance in _distances(_matrix(a["vec"]), _matrix(b["vec"])):
-                held, total = a.iloc[part], distance @ member
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "id": np.repeat(held["id"].to_numpy(), len(names)),
-                            "c": np.repeat(held["c"].to_numpy(), len(names)),
-                            "other": np.tile(names, len(held)),
-                            "total": total.ravel(),
-                        }
-                    )
-                )
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "c": [], "other": [], "total": []})
-
-    parts = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(
-        sums, "id bigint, c int, other int, total double"
-    )
+        if len(left) and len(right):
+            names, of_right = member(c[right])
+            others, of_left = member(c[left])
+            back = np.zeros((len(right), len(others)))
+            for part, distance in _product_distances(vectors[left], vectors[right]):
+                out.append((left[part], names, distance @ of_right))
+                if not alone:
+                    back += distance.T @ of_left[part]
+            if not alone:
+                out.append((right, others, back))
+        parts = [(np.repeat(ids[at], len(n)), np.repeat(c[at], len(n)), np.tile(n, len(at)), total.ravel()) for at, n, total in out]
+        columns = [np.concatenate(x) for x in zip(*parts)] or [np.zeros(0)] * 4
+        kinds = {"id": pa.int64(), "c": pa.int32(), "other": pa.int32(), "total": pa.float64()}
+        return pa.table({name: pa.array(column.astype(kind.to_pandas_dtype())) for (name, kind), column in zip(kinds.items(), columns)})
+
+    parts = paired.select("id", "c", "vec", "block", "lo", "hi").groupBy("lo", "hi").applyInArrow(sums, "id bigint, c int, other int, total double")
     return parts.groupBy("id", "c", "other").agg(F.sum("total").alias("total"))
 
 
