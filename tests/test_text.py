@@ -51,6 +51,28 @@ def test_section_tags(spark):
     assert column(spark, rows, text.strip_section_tags) == [" la la[Other]", "a  b"]
 
 
+def test_terms_are_added_up_in_the_tasks(spark, monkeypatch):
+    """Counts and frequencies against plain loops, over several pieces of a batch, with absent words
+    and words that hold blanks; a term leaves a task once for many documents."""
+    rows = [(i, [f"w{i % 3}", "a", "b", None, "a", "b", "a b", f"x{i % 5}"][: 8 - i % 4]) for i in range(60)]
+    rows += [(60, []), (61, None), (62, [None]), (63, ["a"])]
+    df = spark.createDataFrame(rows, "id long, w array<string>").coalesce(1)
+    want = {}
+    for i, ws in rows:
+        ws = ws or []
+        grams = [[w for w in ws[j : j + n]] for n in (1, 2) for j in range(len(ws) - n + 1)]
+        length = len([g for g in grams if len(g) == 1 or None not in g])
+        for term in {" ".join(g) for g in grams if None not in g}:
+            want[i, term] = (sum(None not in g and " ".join(g) == term for g in grams), length)
+    for at_once in (50, 10**6):
+        monkeypatch.setattr(terms, "WORDS_AT_ONCE", at_once)
+        got = terms.term_counts(df, "id", F.col("w"), 2).collect()
+        assert {(r["id"], r["term"]): (r["tf"], r["length"]) for r in got} == want and len(got) == len(want)
+        frequencies = terms.term_frequencies(df, F.col("w"), 2)
+        assert sorted(frequencies.collect()) == sorted(terms.word_doc_frequency(terms.term_counts(df, "id", F.col("w"), 2)).collect())
+    assert "MapInArrow" in frequencies._jdf.queryExecution().toString()
+
+
 def test_ngrams_and_counts(spark):
     rows = spark.createDataFrame([(1, "sun sun moon"), (2, "sun"), (3, ""), (4, None)], "id int, t string")
     counts = terms.term_counts(rows, "id", terms.preprocess(F.col("t")), 2)

@@ -1,12 +1,17 @@
 """Terms of documents: n-grams, counts, vocabularies, TF-IDF.
 
-Counting inside a document happens in the row (sorted n-grams cut into runs), so the large
+Counting inside a document happens in its task, on Arrow batches of whole documents, so the large
 (document, term) table needs no shuffle. Vocabularies are limited to `max_features` terms,
 which bounds what is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -15,6 +20,8 @@ from pyspark.sql import functions as F
 from versemill.functions import text
 
 MAX_FEATURES = 5000
+#: Words that a task counts at once (a longer document by itself), and rows that it puts out at once.
+WORDS_AT_ONCE, ROWS_AT_ONCE = 1_000_000, 200_000
 
 
 def preprocess(raw: Column, language: str = "english", drop_stopwords: bool = True) -> Column:
@@ -32,35 +39,65 @@ def drop_empty(df: DataFrame, id_col: str, made: Column, name: str) -> DataFrame
     return rows.filter(F.length(name) > 0)
 
 
-def run_starts(items: Column) -> Column:
-    """array<struct<term, start>> of the runs of equal items in a sorted array."""
-    before = F.concat(F.array(F.lit(None).cast("string")), items)
-    first = F.zip_with(items, before, lambda x, y: F.when(y.isNull() | (x != y), x))
-    numbered = F.transform(first, lambda x, i: F.struct(x.alias("term"), i.alias("start")))
-    return F.filter(numbered, lambda r: r["term"].isNotNull())
+def _grams(lists: pa.Array, longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Different n-grams of some lists of words; for each occurrence its list and its n-gram; and how
+    many each list has. A word that is null counts as one, but is in no n-gram."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = pc.cast(lists.flatten(), pa.large_string()).dictionary_encode()
+    word = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    doc = np.repeat(np.arange(len(lists)), lengths)
+    texts, known = [coded.dictionary], len(coded.dictionary)
+    docs, grams = [doc[word >= 0]], [word[word >= 0]]
+    size, at, gram, names = lengths.copy(), np.arange(len(word)), word, coded.dictionary
+    for n in range(2, longest + 1):
+        # The n-gram that starts at a word, from the shorter one there and the word behind it.
+        goes = at + n - 1 < len(word)
+        at, gram = at[goes], gram[goes]
+        last = word[at + n - 1]
+        goes = (gram >= 0) & (last >= 0) & (doc[at] == doc[at + n - 1])
+        at, gram, last = at[goes], gram[goes], last[goes]
+        pairs, gram = np.unique(gram * max(1, len(coded.dictionary)) + last, return_inverse=True)
+        first, behind = np.divmod(pairs, max(1, len(coded.dictionary)))
+        names = pc.binary_join_element_wise(names.take(pa.array(first)), coded.dictionary.take(pa.array(behind)), pa.scalar(" ", pa.large_string()))
+        docs.append(doc[at])
+        grams.append(gram + known)
+        texts.append(names)
+        known += len(names)
+        size += np.bincount(doc[at], minlength=len(lists))
+    # Words that hold blanks can make equal n-grams of different lengths.
+    every = pa.concat_arrays(texts).dictionary_encode()
+    return every.dictionary, np.concatenate(docs), every.indices.to_numpy().astype(np.int64)[np.concatenate(grams)], size
+
+
+def _counted(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, n-grams, row, n-gram, count, n-grams of each row) of some rows at a time."""
+    words = batch.column("_words")
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(words):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")))
+        names, doc, gram, size = _grams(words.slice(start, stop - start), longest)
+        pairs, n = np.unique(doc * max(1, len(names)) + gram, return_counts=True)
+        row, gram = np.divmod(pairs, max(1, len(names)))
+        yield start, names, row, gram, n, size
+        start = stop
 
 
 def term_counts(df: DataFrame, id_col: str, tokens: Column, longest: int = 1) -> DataFrame:
-    """(id, term, tf, length): counts of the n-grams of each document, without a shuffle.
+    """(id, term, tf, length): counts of the n-grams of each document, without a shuffle."""
 
-    explode_outer, since for explode Spark adds a filter on the array and moves it below the
-    projections, where the whole text work would be done again.
-    """
-    words = df.select(id_col, tokens.alias("_words"))
-    grams = words.select(id_col, F.sort_array(text.ngrams(F.col("_words"), longest)).alias("_grams"))
-    runs = grams.select(id_col, F.size("_grams").alias("length"), run_starts(F.col("_grams")).alias("_runs"))
-    # A run ends where the next one starts; the last ends at the length.
-    end = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("length").alias("start")))
-    later = F.concat(F.slice("_runs", F.lit(2), F.greatest(F.size("_runs"), F.lit(0))), end)
-    counted = F.zip_with(
-        "_runs",
-        later,
-        lambda r, s: F.struct(
-            r["term"].alias("term"), (s["start"] - r["start"]).cast("bigint").alias("tf")
-        ),
-    )
-    exploded = runs.select(id_col, F.col("length").cast("bigint"), F.explode_outer(counted).alias("c"))
-    return exploded.filter("c.term IS NOT NULL").select(id_col, "c.term", "c.tf", "length")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(id_col)
+            for start, names, row, gram, n, size in _counted(batch, longest):
+                for a in range(0, len(row), ROWS_AT_ONCE):
+                    part = slice(a, a + ROWS_AT_ONCE)
+                    columns = [ids.take(pa.array(start + row[part])), names.take(pa.array(gram[part])).cast(pa.string()), n[part], size[row[part]]]
+                    yield pa.RecordBatch.from_arrays([*columns[:2], *map(pa.array, columns[2:])], names=[id_col, "term", "tf", "length"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, tokens.alias("_words")).mapInArrow(count, f"`{id_col}` {kind}, term string, tf long, length long")
 
 
 def word_doc_frequency(counts: DataFrame) -> DataFrame:
@@ -68,6 +105,22 @@ def word_doc_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
 
 
+def term_frequencies(df: DataFrame, tokens: Column, longest: int = 1) -> DataFrame:
+    """The same from the documents. Tasks add up terms over many documents before anything is a row."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, names, _, gram, n, _ in _counted(batch, longest):
+                df_, total = np.bincount(gram, minlength=len(names)), np.bincount(gram, n, len(names)).astype(np.int64)
+                for a in range(0, len(names), ROWS_AT_ONCE):
+                    part = slice(a, a + ROWS_AT_ONCE)
+                    columns = [names[part].cast(pa.string()), pa.array(df_[part], pa.int64()), pa.array(total[part])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["term", "df", "total"])
+
+    own = df.select(tokens.alias("_words")).mapInArrow(count, "term string, df long, total long")
+    return own.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+
 def vocabulary(
     frequencies: DataFrame,
     n_docs: int,

@@ -109,7 +109,7 @@ def term_counts(spark, folder):
 
 @query("word_doc_frequency", f"WITH {GRAMS} SELECT term, count(*) AS df, sum(tf)::BIGINT AS total FROM counts GROUP BY term")
 def word_doc_frequency(spark, folder):
-    return terms.word_doc_frequency(_gram_counts(spark, folder))
+    return terms.term_frequencies(_docs(spark, folder), terms.preprocess(F.col("text")), 2)
 
 
 _FREQ = GRAMS + ", freq AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS total FROM counts GROUP BY term)"
