@@ -95,6 +95,8 @@ def test_no_vocabulary_reaches_the_driver(spark, monkeypatch):
         monkeypatch.setattr(type(df), name, gone)
     embedded = vectors.word2vec_embed(df, "id", "w", size=4, partitions=5, iterations=2)
     assert embedded.filter("size(vector) = 4 AND vector[0] <> 0").count() == 80
+    # MLlib's model is collected within the JVM, where the calls above do not see it.
+    assert embedded._jdf.queryExecution().toString().count("FlatMapCoGroupsInArrow") >= 1
 
 
 def test_words_of_one_subject_are_near(spark):
