@@ -92,8 +92,9 @@ def _gram_counts(spark, folder):
 
 @query("ngrams", f"WITH {GRAMS} SELECT doc_id, count(*) AS n_grams, count(DISTINCT term) AS n_distinct, md5(string_agg(term, ',' ORDER BY term)) AS digest FROM grams GROUP BY doc_id")
 def ngrams(spark, folder):
-    words = _docs(spark, folder).select("doc_id", terms.preprocess(F.col("text")).alias("w"))
-    grams = words.select("doc_id", F.array_sort(text.ngrams(F.col("w"))).alias("g")).filter(F.size("g") > 0)
+    # A generated column is made once: a filter would move below a projection and make the words again.
+    words = _docs(spark, folder).select("doc_id", F.explode(F.array(terms.preprocess(F.col("text")))).alias("w")).filter(F.size("w") > 0)
+    grams = words.select("doc_id", F.array_sort(text.ngrams(F.col("w"))).alias("g"))
     return grams.select(
         "doc_id",
         F.size("g").cast("bigint").alias("n_grams"),
