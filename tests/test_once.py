@@ -1,6 +1,8 @@
-"""Steps that must not be repeated, as the plans show them."""
+"""Steps that must not be repeated, or not wait for each other."""
 
-from versemill.models import experiments
+import threading
+
+from versemill.models import experiments, vectors
 from versemill.plans import modelling, texts
 
 
@@ -17,3 +19,18 @@ def test_words_are_hashed_before_the_folds(spark, small, monkeypatch):
     assert dict(train.dtypes)["tf"] == "vector" and "words" not in train.columns
     stages = searches["naive_bayes"][0](10, smoothing=1.0).getStages()
     assert [type(s).__name__ for s in stages] == ["IDF", "NaiveBayes"]
+
+
+def test_fits_of_a_sweep_run_at_once_and_equal_single_ones(spark, small, monkeypatch):
+    emb = spark.read.parquet(f"{small}/embeddings.parquet").selectExpr("vec_id", "cast(embedding as array<double>) AS v").cache()
+    together, plain = threading.Barrier(2), vectors.kmeans
+    alone = {k: plain(emb, "v", k)[1] for k in (2, 3)}
+
+    def waits(*args, **more):
+        together.wait(60)
+        return plain(*args, **more)
+
+    monkeypatch.setattr(vectors, "kmeans", waits)
+    rows = vectors.sweep(emb, "v", range(2, 4)).collect()
+    assert [r["k"] for r in rows] == [2, 3]
+    assert all(abs(r["inertia"] - alone[r["k"]]) < 1e-6 * alone[r["k"]] for r in rows)
