@@ -2,7 +2,10 @@
 
 import threading
 
-from versemill.models import experiments, vectors
+from pyspark.sql import functions as F
+
+from versemill.models import classifiers, experiments, vectors
+from versemill.operators import terms
 from versemill.plans import modelling, texts
 
 
@@ -34,3 +37,12 @@ def test_fits_of_a_sweep_run_at_once_and_equal_single_ones(spark, small, monkeyp
     rows = vectors.sweep(emb, "v", range(2, 4)).collect()
     assert [r["k"] for r in rows] == [2, 3]
     assert all(abs(r["inertia"] - alone[r["k"]]) < 1e-6 * alone[r["k"]] for r in rows)
+
+
+def test_folds_add_up_terms_in_the_task(spark, monkeypatch):
+    """No row a document and term: the terms of a fold are added up before they are moved."""
+    monkeypatch.delattr(terms, "term_counts")
+    word = F.element_at(F.array(*map(F.lit, ["love", "rain", "night"])), (F.col("id") % 3 + 1).cast("int"))
+    rows = spark.range(60).select("id", (F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 5).alias("fold"), F.array(word, F.lit("song")).alias("words")).cache()
+    out = experiments.leakage_safe_folds(rows, "id", lambda: F.col("words"), "label", "fold", 1, classifiers.logistic_regression)
+    assert [r[2:4] for r in out] == [("fold_0", m) for m in experiments.METRICS]
