@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from versemill.llm.blocks import answers_of, bucket_bits, counted, requests, squeeze, token_blocks, unpack_sorted, unsqueeze
-from versemill.llm.components import components, connect
+from versemill.llm.components import components, connect, with_partners
 from versemill.session import cut_lineage
 
 GRAM = 5
@@ -315,7 +315,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     # A large set can be linked with small ones down to 4/5 of its size.
     scan = listed.filter((F.col("kind") == SCAN) & (5 * F.col("n") >= 4 * (small + 1))).select("key", "node", "n", F.col("high").alias("reach"))
     sets = listed.filter(F.col("kind") == SET).select("node", "elements")
-    links = connect(scan, links, lambda pairs: compared(pairs, sets), lambda m, v: visited(m, v, sets))
+    links = connect(cut_lineage(with_partners(scan)), links, lambda pairs: compared(pairs, sets), lambda m, v: visited(m, v, sets))
     groups = components(links).select(F.col("node").alias("_node"), "component")
     joined = nodes.join(groups, F.col("node") == F.col("_node"), "left").select(
         "mark", "first", F.coalesce("component", "node").alias("component")
