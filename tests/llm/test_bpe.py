@@ -91,3 +91,15 @@ def test_query(spark, small, library):
         ids = library.encode_ordinary(text)
         want.add((doc_id, len(ids), sha(",".join(map(str, ids)).encode()), sha(text.encode())))
     assert {tuple(r) for r in queries()["op13_byte_pairs"](spark, small).collect()} == want
+
+
+def test_words_are_merged_together_in_the_task(spark, ranks):
+    """Words of all lengths at once, and no step of Spark's between cutting and merging."""
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("abcdeést漢 ") for _ in range(rng.randrange(1, 30))).encode() for _ in range(500)} - set(ranks.ranks))
+    ids, sizes = bpe.Merges(ranks).encode([*words, b"a" * 5000])
+    bounds = [0, *sizes.cumsum().tolist()]
+    assert [ids[x:y].tolist() for x, y in zip(bounds, bounds[1:])][:-1] == [by_definition(w, ranks.ranks) for w in words]
+    assert b"".join({v: k for k, v in ranks.ranks.items()}[i] for i in ids[bounds[-2] :].tolist()) == b"a" * 5000
+    plan = bpe.encode(docs(spark, odd_rows()), ranks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "lambda" not in plan

@@ -1,17 +1,14 @@
 """Byte-level byte-pair encoding of texts by a file of ranks, and decoding.
 
 A text is cut into the matches of a pattern (its words), and each distinct word of a block of
-texts is encoded once: a fold of Spark's array functions over its bytes. The state of the fold is
-an array with one number for each piece of the word, made of the rank of the piece joined with
-its right neighbour, its place, and its token; the smallest number is the merge that comes next,
-the leftmost of equal ones. Ranks come from a literal map of token pairs. Spark searches its maps
-from end to end, so the map is laid out as an array in which a pair has two possible slots.
-
-Texts and words never leave their task: one step numbers the words of a block of texts and puts
-out its new words and then its texts as numbers, the fold encodes the words, the next step puts
-tokens for numbers. Nothing is shuffled, and a lost executor costs its own tasks. The commonest
-words of a bounded sample are encoded beforehand and sent along, which spares work and changes no
-result.
+texts is encoded once, many words at a time: their pieces lie in one array, with the rank of each
+piece joined with its right neighbour beside it. One step finds the smallest rank of every word,
+the leftmost of equal ones, merges there, and looks up the two ranks that change; words without a
+rank are done. Ranks come from an array of token pairs in which a pair has two possible slots.
+
+Texts and words never leave their task. Nothing is shuffled, and a lost executor costs its own
+tasks. The commonest words of a bounded sample are encoded beforehand and sent along, which spares
+work and changes no result.
 
 The tokens are those that byte-pair merging defines: a word that is a token itself is that token;
 else the pair of neighbours whose union has the smallest rank is merged, the leftmost first,
@@ -41,7 +38,6 @@ from pyspark.sql import functions as F
 
 from versemill.llm.common import encoded, schema_with, without
 from versemill.llm.runs import ranges
-from versemill.session import cut_lineage
 
 #: Bits of a token, and of a place in a word.
 TOKEN, PLACE = 18, 26
@@ -49,6 +45,8 @@ TOKEN, PLACE = 18, 26
 NEVER = 1 << TOKEN
 #: Factors of left and right token in the two slots of a pair.
 SLOTS = ((40503, 1), (7919, 92821))
+#: Words that are merged together.
+TOGETHER = 20_000
 #: Bytes of text a block; a longer text is a block of its own.
 AT_ONCE = 16_000_000
 #: Documents of the sample for common words, and how many of its words are encoded beforehand.
@@ -108,8 +106,7 @@ class Ranks:
 
 def slot_of(left, right, turn: int, size: int):
     a, b = SLOTS[turn]
-    mixed = left * a + right * b
-    return mixed.bitwiseAND(size - 1) if isinstance(mixed, Column) else mixed & (size - 1)
+    return (left * a + right * b) & (size - 1)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -117,62 +114,54 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def literal(numbers: list[int]) -> Column:
-    return F.from_json(F.lit(json.dumps(numbers, separators=(",", ":"))), "array<bigint>")
-
-
-def merged(bytes_: Column, ranks: Ranks) -> Column:
-    """Tokens of a word that is given as an array of its bytes."""
-    size = len(ranks.table)
-    single = literal([ranks.ranks[bytes([b])] for b in range(256)])
-    low_bits, high = (1 << (TOKEN + PLACE)) - 1, 1 << (TOKEN + PLACE)
-    token = lambda e: e.bitwiseAND(NEVER - 1)
-
-    def fold(slots: Column, tokens: Column) -> Column:
-        def rank(left: Column, right: Column) -> Column:
-            def at(turn: int) -> Column:
-                return F.get(slots, slot_of(left, right, turn, size).cast("int"))
-
-            def found(e: Column, other: Column) -> Column:
-                return F.when(F.shiftright(e, TOKEN) == left * NEVER + right, token(e)).otherwise(other)
-
-            none = F.lit(NEVER).cast("bigint")
-            return let(at(0), lambda e: F.when(e < 0, none).otherwise(found(e, let(at(1), lambda d: found(d, none)))))
-
-        def piece(rank_: Column, rest: Column) -> Column:
-            return rank_ * high + rest
-
-        def step(state: Column, _: Column) -> Column:
-            def join(low: Column, k: Column) -> Column:
-                before, after = F.get(state, k - 2), F.get(state, k + 1)
-                union = F.shiftright(low, TOKEN + PLACE)
-                place = low.bitwiseAND(low_bits) - token(low)
-                return F.concat(
-                    F.slice(state, F.lit(1), k - 2),
-                    F.array(
-                        piece(rank(token(before), union), before.bitwiseAND(low_bits)),
-                        piece(rank(union, token(after)), place + union),
-                    ),
-                    F.slice(state, k + 2, F.size(state)),
-                )
-
-            def lowest(low: Column) -> Column:
-                k = F.array_position(state, low).cast("int")
-                return F.when(low < NEVER * high, let(k, lambda k: join(low, k))).otherwise(state)
-
-            return let(F.array_min(state), lowest)
-
-        # An end at both sides that joins with nothing: token NEVER - 1 must not be in use.
-        end = F.array(F.lit(NEVER * high + NEVER - 1))
-        padded = F.concat(tokens, F.array(F.lit(NEVER - 1).cast("bigint")))
-        pieces_ = F.transform(
-            tokens, lambda t, i: piece(rank(t, F.get(padded, i + 1)), i.cast("bigint") * NEVER + t)
-        )
-        whole = F.aggregate(tokens, F.concat(end, pieces_, end), step)
-        return F.transform(F.slice(whole, F.lit(2), F.size(whole) - 2), lambda e: token(e).cast("int"))
-
-    numbers = F.transform(bytes_, lambda b: F.get(single, b))
-    return let(literal(ranks.table), lambda slots: let(numbers, lambda tokens: fold(slots, tokens)))
+def unions(left: np.ndarray, right: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The tokens of pairs of tokens, or NEVER."""
+    out = np.full(len(left), NEVER)
+    for turn in range(len(SLOTS)):
+        entry = table[slot_of(left, right, turn, len(table))]
+        out = np.where(entry >> TOKEN == (left << TOKEN | right), entry & (NEVER - 1), out)
+    return out
+
+
+def merged(words: list[bytes], single: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of words that are no tokens themselves, one after the other, and how many each has."""
+    number, sizes = np.arange(len(words)), np.array([len(w) for w in words], np.int64)
+    tokens = single[np.frombuffer(b"".join(words), np.uint8)]
+    rank = np.append(unions(tokens[:-1], tokens[1:], table), NEVER)
+    rank[np.cumsum(sizes) - 1] = NEVER
+    owners, parts = [], []
+    while len(number):
+        best = np.minimum.reduceat(rank << PLACE | np.arange(len(rank)), np.cumsum(sizes) - sizes)
+        done = best >> PLACE == NEVER
+        ended = np.repeat(done, sizes)
+        owners.append(np.repeat(number[done], sizes[done]))
+        parts.append(tokens[ended])
+        at = (best & ((1 << PLACE) - 1))[~done]
+        tokens[at] = rank[at]
+        left = ~ended
+        left[at + 1] = False
+        at = np.cumsum(left)[at] - 1
+        tokens, rank, number, sizes = tokens[left], rank[left], number[~done], sizes[~done] - 1
+        last = np.cumsum(sizes) - 1
+        rank[at[at == last]] = NEVER
+        for changed in (at[at < last], at[at > last - sizes + 1] - 1):
+            rank[changed] = unions(tokens[changed], tokens[changed + 1], table)
+    owner = np.concatenate(owners) if owners else number
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(parts)[order] if parts else tokens, np.bincount(owner, minlength=len(words))
+
+
+class Merges:
+    """What the tasks need of the ranks, as arrays."""
+
+    def __init__(self, ranks: Ranks):
+        self.single = np.array([ranks.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.table = np.array(ranks.table, np.int64)
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        held = [merged(words[i : i + TOGETHER], self.single, self.table) for i in range(0, len(words), TOGETHER)]
+        none = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        return tuple(np.concatenate(x) for x in zip(*(held or none)))
 
 
 def decode(ids: Column, ranks: Ranks) -> Column:
@@ -233,26 +222,23 @@ def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
     return [t.decode() for t in encoded(batch.column(text))]
 
 
-def numbered(
-    batches: Iterator[pa.RecordBatch], text: str, added: list[str], words: Words, at_once: int
+def tokenized(
+    batches: Iterator[pa.RecordBatch], text: str, words: Words, merges: Merges, fixed_ids: np.ndarray, fixed_sizes: np.ndarray, at_once: int
 ) -> Iterator[pa.RecordBatch]:
-    """The new words of each block as rows without anything else, then its rows with their words
-    as numbers."""
-    held: list[tuple[pa.RecordBatch, list[bytes]]] = []
-    array_type = pa.list_(pa.int32())
+    """The rows with the tokens of their texts as `ids`, block by block."""
+    held: list[tuple[pa.RecordBatch, list[np.ndarray]]] = []
 
     def block() -> Iterator[pa.RecordBatch]:
-        new, schema = list(words.new), held[0][0].schema
-        names = [*schema.names, *added]
-        for i in range(0, len(new), 10_000):
-            part = [np.frombuffer(w, np.uint8) for w in new[i : i + 10_000]]
-            bounds = np.concatenate([[0], np.cumsum([len(w) for w in part])]).astype(np.int32)
-            bytes_ = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(part).astype(np.int32)))
-            blank = [pa.nulls(len(part), f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays([*blank, bytes_, pa.nulls(len(part), pa.binary())], names=names)
+        ids, sizes = merges.encode(list(words.new))
+        flat = np.concatenate([fixed_ids, ids])
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate([fixed_sizes, sizes]))])
         for batch, codes in held:
-            none = pa.nulls(len(codes), array_type)
-            yield pa.RecordBatch.from_arrays([*batch.columns, none, pa.array(codes, pa.binary())], names=names)
+            code = np.concatenate(codes)
+            n_ids = bounds[code + 1] - bounds[code]
+            total = np.concatenate([[0], np.cumsum(n_ids)])[np.cumsum([0, *map(len, codes)])]
+            own = pa.array(flat[ranges(bounds[code], n_ids)].astype(np.int32))
+            out = pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "ids"])
         held.clear()
         words.clear()
 
@@ -266,7 +252,7 @@ def numbered(
                     held.append((batch.slice(start, i - start), codes))
                 yield from block()
                 start, codes, size = i, [], 0
-            codes.append(words.numbers(t).tobytes())
+            codes.append(words.numbers(t))
             size += len(t)
         if codes:
             held.append((batch.slice(start, len(texts) - start), codes))
@@ -274,40 +260,8 @@ def numbered(
         yield from block()
 
 
-def with_tokens(batches: Iterator[pa.RecordBatch], fixed_ids: np.ndarray, fixed_bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of `numbered` with the tokens of their words for the numbers."""
-    parts, sizes, closed = [], [], True
-    flat, bounds = fixed_ids, fixed_bounds
-    for batch in batches:
-        is_text = np.asarray(batch.column(batch.num_columns - 2).is_valid())
-        edges = [0, *(np.nonzero(np.diff(is_text))[0] + 1).tolist(), len(is_text)]
-        for x, y in zip(edges, edges[1:]):
-            if x == y:
-                continue
-            some = batch.slice(x, y - x)
-            if not is_text[x]:
-                if closed:
-                    parts, sizes, closed = [], [], False
-                ids = some.column(some.num_columns - 1)
-                parts.append(ids.flatten().to_numpy())
-                sizes.append(ids.value_lengths().to_numpy())
-                continue
-            if not closed:
-                flat = np.concatenate([fixed_ids, *parts])
-                bounds = np.concatenate([fixed_bounds, fixed_bounds[-1] + np.cumsum(np.concatenate(sizes))])
-                closed = True
-            codes = [np.frombuffer(c, np.int32) for c in some.column(some.num_columns - 2).to_pylist()]
-            n_words = np.array([len(c) for c in codes])
-            code = np.concatenate(codes)
-            n_ids = bounds[code + 1] - bounds[code]
-            ids = flat[ranges(bounds[code], n_ids)]
-            total = np.concatenate([[0], np.cumsum(n_ids)])[np.concatenate([[0], np.cumsum(n_words)])]
-            out = pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*some.columns[:-2], out], names=[*some.schema.names[:-2], "ids"])
-
-
-def common_words(docs: DataFrame, text: str, ranks: Ranks, sample: int, most: int) -> list[tuple[bytes, list[int]]]:
-    """(word, tokens) of the commonest words of about `sample` rows that are no tokens themselves."""
+def common_words(docs: DataFrame, text: str, ranks: Ranks, sample: int, most: int) -> list[bytes]:
+    """The commonest words of about `sample` rows that are no tokens themselves."""
     n = docs.count()
     drawn = docs.select(F.col(text).cast("string").alias("text"))
     if n > sample:
@@ -328,11 +282,8 @@ def common_words(docs: DataFrame, text: str, ranks: Ranks, sample: int, most: in
 
     counts = drawn.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     best = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word")
-    bytes_ = F.transform(F.sequence(F.lit(1), F.octet_length("word")), lambda i: F.conv(F.hex(F.substring("word", i, F.lit(1))), 16, 10).cast("int"))
-    # A table of its own, so that the plan that holds the map is planned once.
-    written = cut_lineage(best.repartition(docs.sparkSession.sparkContext.defaultParallelism, "word"))
-    found = written.select("word", merged(bytes_, ranks).alias("ids")).collect()
-    return [(bytes(r["word"]), r["ids"]) for r in found]
+    found = best.collect()
+    return [bytes(r["word"]) for r in found]
 
 
 def encode(
@@ -343,23 +294,16 @@ def encode(
     rows = without(docs, "ids")
     known = common_words(docs, text, ranks, sample, common) if common else []
     n_tokens = max(ranks.ranks.values()) + 1
-    fixed = {**ranks.ranks, **{w: n_tokens + i for i, (w, _) in enumerate(known)}}
-    sizes = np.ones(n_tokens + len(known), np.int64)
-    sizes[n_tokens:] = [len(ids) for _, ids in known]
-    ids = np.concatenate([np.arange(n_tokens), *[np.array(ids, np.int64) for _, ids in known]])
-    sent_words = context.broadcast(fixed)
-    sent_ids = context.broadcast((ids, np.concatenate([[0], np.cumsum(sizes)])))
+    merges = Merges(ranks)
+    ids, sizes = merges.encode(known)
+    ids = np.concatenate([np.arange(n_tokens), ids]).astype(np.int32)
+    sizes = np.concatenate([np.ones(n_tokens, np.int64), sizes])
+    sent = context.broadcast(({**ranks.ranks, **{w: n_tokens + i for i, w in enumerate(known)}}, merges, ids, sizes))
     pattern, n_fixed = ranks.pattern, n_tokens + len(known)
-    taken = {c.lower() for c in rows.columns}
-    word, codes = (next(n for i in range(len(taken) + 1) if (n := f"{name}{i}") not in taken) for name in ("word", "codes"))
-    loose = schema_with(rows, f"{word} array<int>, {codes} binary")
-    for field in loose.fields:
-        field.nullable = True
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fixed, *arrays = sent.value
         gc.freeze()  # what was sent along is not looked through again
-        yield from numbered(batches, text, [word, codes], Words(pattern, sent_words.value, n_fixed), at_once)
+        yield from tokenized(batches, text, Words(pattern, fixed, n_fixed), *arrays, at_once)
 
-    split = rows.mapInArrow(cut, loose)
-    folded = split.select(*rows.columns, codes, F.when(F.col(word).isNotNull(), merged(F.col(word), ranks)).alias(word))
-    return folded.mapInArrow(lambda batches: with_tokens(batches, *sent_ids.value), schema_with(rows, "ids array<int>"))
+    return rows.mapInArrow(run, schema_with(rows, "ids array<int>"))
