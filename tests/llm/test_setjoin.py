@@ -103,3 +103,18 @@ def test_packing_round_trips():
         assert np.array_equal(blocks.unpack_sorted(blocks.pack_sorted(keys)), keys)
         values = rng.integers(0, 2 ** int(rng.integers(1, 60)), n)
         assert np.array_equal(blocks.unsqueeze(blocks.squeeze(values)), values)
+
+
+def test_what_draws_do_not_settle_is_compared_in_blocks(spark, monkeypatch):
+    """Texts that share most words and still are not linked: all meet in one list, in groups of their own."""
+    base = words(11, 33, 10**6)
+    rows = [(k, " ".join([*base, *(f"u{k}x{j}" for j in range(7 if k % 10 else 3))])) for k in range(60)]
+    counts, compared = [], setjoin.compared
+
+    def recorded(pairs, sets):
+        counts.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(setjoin, "compared", recorded)
+    assert result(setjoin.near_groups(docs(spark, rows))) == brute(rows)
+    assert counts and max(counts) <= len(rows)

@@ -83,9 +83,10 @@ def connect(
     there it can be linked with nodes of sizes up to `reach`. `compare` adds `linked` to pairs (a, b), as a written
     table. Nodes of one group need not be compared, so each node is first compared with one drawn
     at random, list by list; when few pairs of different groups still meet, or drawing no longer
-    helps, all of these pairs are compared. With `visit`, the nodes that meet the main group of a
-    list are compared with its nodes in blocks instead of pairs: it takes (group, node) of members
-    and of visitors and returns their links.
+    helps, all of these pairs are compared. With `visit`, that is done in blocks instead of pairs:
+    the nodes outside the main group of a list are visitors of that group, and are compared with its
+    nodes and with each other, once however many lists they share. It takes (group, node, component)
+    of members and of visitors and returns links that connect what they link.
     """
     done, turn, before = None, 0, None
     while True:
@@ -104,18 +105,14 @@ def connect(
         other = {"node": "y", "n": "yn", "reach": "yr", "component": "yc"}
         if last:
             # Every node outside the main group of a list against all nodes of other groups there.
-            all_here = here.select(F.col("key").alias("_k"), *[F.col(c).alias(x) for c, x in other.items()])
-            meets = (F.col("key") == F.col("_k")) & (F.col("component") != F.col("yc")) & fits("n", "reach", "yn", "yr")
             others = here.filter("component <> main")
             if visit is not None:
-                members = here.filter("component = main").select(F.col("main").alias("group"), "node").distinct()
-                visitors = others.select(F.col("main").alias("group"), "node").distinct()
-                links = links.unionByName(visit(members, visitors))
-                all_here = all_here.join(open_lists.select(F.col("_k").alias("_o"), "main"), F.col("_k") == F.col("_o")).filter("yc <> main").drop("_o", "main")
-                met = others.join(all_here, meets & (F.col("node") < F.col("y")))
-            else:
-                once = (F.col("yc") == F.col("main")) | (F.col("node") < F.col("y"))
-                met = others.join(all_here, meets & once)
+                side = lambda nodes: nodes.select(F.col("main").alias("group"), "node", "component").distinct()
+                return links.unionByName(visit(side(here), side(others)))
+            all_here = here.select(F.col("key").alias("_k"), *[F.col(c).alias(x) for c, x in other.items()])
+            meets = (F.col("key") == F.col("_k")) & (F.col("component") != F.col("yc")) & fits("n", "reach", "yn", "yr")
+            once = (F.col("yc") == F.col("main")) | (F.col("node") < F.col("y"))
+            met = others.join(all_here, meets & once)
             pairs = met.select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b"))
         else:
             turn += 1

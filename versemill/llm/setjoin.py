@@ -9,7 +9,8 @@ sets are small.
 
 Groups of near copies meet in the same lists again and again, so pairs are not listed at once:
 in each list every set is compared with one set drawn at random, links join sets to groups, and
-only when few pairs of different groups are left in the lists are all of these compared. After
+only when few pairs of different groups are left in the lists, or drawing no longer helps, are all
+of these compared, in blocks of sets and not as pairs. After
 that no link between different groups can be missing, so the groups are exact.
 
 Defined cases: an absent or empty text, or one without words, is an empty set, linked with
@@ -244,30 +245,39 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _visit(key, members, visitors):
-    """Links of the visitors with members of one block of a group, one a visitor: the members are
-    connected already."""
+    """Links of one block of visitors with one of members: those that join parts that are not yet
+    connected here. Nodes of one component are connected already."""
     import pandas as pd
 
-    out = []
+    out, parent = [], {}
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            x = parent[x] = parent.get(up, up)
+        return x
+
     if len(members) and len(visitors):
         held = [np.frombuffer(x, np.uint64) for x in members["elements"]]
         sizes = np.array([len(h) for h in held])
         owner, every = np.repeat(np.arange(len(held)), sizes), np.concatenate(held)
-        nodes = members["node"].to_numpy()
-        for node, x in zip(visitors["node"], visitors["elements"]):
+        nodes, components_ = members["node"].to_numpy(), members["component"].to_numpy()
+        for node, component, x in zip(visitors["node"], visitors["component"], visitors["elements"]):
             own = np.frombuffer(x, np.uint64)
             place = np.searchsorted(own, every)
             common = own[np.minimum(place, len(own) - 1)] == every
             both = np.bincount(owner[common], minlength=len(held))
-            linked = nodes[100 * both >= 80 * (sizes + len(own) - both)]
-            if len(linked):
-                other = int(linked.min())
-                out.append((max(node, other), min(node, other)))
+            linked = (100 * both >= 80 * (sizes + len(own) - both)) & (components_ != component)
+            for other, at in zip(*np.unique(components_[linked], return_index=True)):
+                if (one := root(int(other))) != (two := root(int(component))):
+                    parent[max(one, two)] = min(one, two)
+                    y = int(nodes[linked][at])
+                    out.append((max(node, y), min(node, y)))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def visited(members: DataFrame, visitors: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of (group, node) members and visitors by their whole sets (written).
+    """Links of (group, node, component) members and visitors of other components by their whole
+    sets, as many as connect what they link (written).
 
     Both sides of a group are dealt to blocks of about VISIT_BLOCK nodes, and each block of
     members meets each block of visitors, as rows of sets and not of pairs.
@@ -280,7 +290,7 @@ def visited(members: DataFrame, visitors: DataFrame, sets: DataFrame) -> DataFra
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         rows = rows.join(counts, F.col("group") == F.col("_g")).join(elements, F.col("node") == F.col("_node"))
         at = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(f"at_{own}")
-        plain = [F.col(c).alias(c) for c in ("group", "node", "elements")]  # columns of this side alone
+        plain = [F.col(c).alias(c) for c in ("group", "node", "component", "elements")]  # columns of this side alone
         return rows.select(*plain, at, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"at_{other}"))
 
     keys = ["group", "at_m", "at_v"]
