@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from versemill.models import classifiers as ml
-from versemill.models import experiments, vectors
+from versemill.models import experiments, vectors, wordvec
 from versemill.operators import encoding, metrics
 from versemill.plans import modelling
 
@@ -154,3 +154,21 @@ def test_column_vectors_choose_a_form_per_column(spark):
     df = spark.createDataFrame(rows, "id int, x double, words string, name string")
     out = experiments.column_vectors(df, df, "id", ["x"], ["words", "name"]).orderBy("id").collect()
     assert out[39]["v_x"][0] == 1.0 and len(out[0]["v_words"]) == 4 and len(out[0]["v_name"]) == 4
+
+
+@pytest.mark.parametrize("words", [1, 2, 3000])
+def test_repeated_words_do_not_carry_vectors_away(words):
+    """Words with hundreds of pairs in a step, of one text or of many, keep vectors of moderate length."""
+    share = 1 / np.arange(1, words + 1)
+    codes = np.random.default_rng(1).choice(words, 20_000, p=share / share.sum())
+    inner = wordvec.starts(np.arange(words), 16)
+    outer = np.zeros_like(inner)
+    for seed in range(3):
+        wordvec.train(codes, np.repeat(np.arange(100), 200), inner, outer, 5, seed)
+    assert np.abs(inner).max() < 10 and np.abs(outer).max() < 10 and np.abs(inner - wordvec.starts(np.arange(words), 16)).max() > 0
+
+
+def test_words_of_repeated_texts_have_finite_vectors(spark):
+    df = spark.createDataFrame([(i, ["again"] * 400) for i in range(40)], "id int, w array<string>")
+    out = vectors.word2vec_embed(df, "id", "w", size=4, partitions=2)
+    assert all(np.isfinite(r["vector"]).all() and any(r["vector"]) for r in out.collect())
