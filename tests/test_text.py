@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -121,3 +122,38 @@ def test_task_functions_travel_without_the_package(tmp_path):
     code = "import numpy, pickle; print(pickle.load(open('f.pkl', 'rb'))(numpy.array([0, 4, 9, 12]), 5, 9).tolist())"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "[2, 3, 3]", done.stderr
+
+
+@pytest.mark.parametrize("features", [5, 60, 100_000])
+def test_vocabularies_of_folds_equal_those_counted_fold_by_fold(spark, features):
+    """Frequent words, n-grams of them, terms within few rows, words with blanks, rows of no fold."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        ws = [f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(0, 30))] + ["all", "for"]
+        if i % 7 == 0:
+            ws += ["w1 w2", None, "pair of", "words"]
+        rows.append((i, ws if i % 50 else None, [0, 1, 2, 3, None, 9][i % 6]))
+    df = spark.createDataFrame(rows, "id int, w array<string>, fold int")
+    trains = [df.filter(F.col("fold") != i) for i in range(4)]
+    sizes = [t.count() for t in trains]
+    got = terms.fold_vocabularies(df, F.col("w"), "fold", 4, sizes, max_features=features)
+    for i, vocab in enumerate(got):
+        want = terms.vocabulary(terms.term_frequencies(trains[i], F.col("w"), 2), sizes[i], max_features=features)
+        assert vocab.collect() == want.collect()
+
+
+def test_rare_ngrams_are_not_moved(spark, monkeypatch):
+    """Of a thousand texts with pairs of their own, only what can be kept is counted by term."""
+    seen, plain = [], terms._fold_frequencies
+
+    def counted(df, tokens, fold, k, longest, can=None):
+        out = plain(df, tokens, fold, k, longest, can)
+        seen.append((longest, out.count()))
+        return out
+
+    monkeypatch.setattr(terms, "_fold_frequencies", counted)
+    rows = [(i, [f"w{(i * j) % 97}" for j in range(1, 30)], i % 5) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, w array<string>, fold int")
+    terms.fold_vocabularies(df, F.col("w"), "fold", 5, [800] * 5, max_features=50)
+    assert [n for n, _ in seen] == [1, 2] and seen[1][1] < 0.2 * terms.term_frequencies(df, F.col("w"), 2).count()

@@ -7,6 +7,7 @@ which bounds what is broadcast.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from versemill.functions import text
+from versemill.session import cut_lineage
 
 MAX_FEATURES = 5000
+#: Sums by digest that tell which terms can be frequent, and how many of them are moved as a row.
+SUMS, SUMS_AT_ONCE = 1 << 20, 1 << 14
 #: Words that a task counts at once (a longer document by itself), and rows that it puts out at once.
 WORDS_AT_ONCE, ROWS_AT_ONCE = 1_000_000, 200_000
 
@@ -137,6 +141,101 @@ def vocabulary(
     return within.orderBy(F.desc(by), "term").limit(max_features)
 
 
+def _places(names: pa.Array) -> np.ndarray:
+    """The sum that each term belongs to."""
+    return np.fromiter(map(zlib.crc32, names.cast(pa.large_binary()).to_pylist()), np.int64, len(names)) % SUMS
+
+
+def _own_columns(k: int) -> list[str]:
+    return [f"{what}{i}" for what in ("df", "total") for i in range(k + 1)]
+
+
+def _fold_frequencies(df: DataFrame, tokens: Column, fold: str, k: int, longest: int, can: np.ndarray | None = None) -> DataFrame:
+    """(term, df0 … dfk, total0 … totalk): frequencies in each fold, and at k in rows of other folds; only
+    of terms whose sum is marked in `can`."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folds = batch.column("_fold").to_numpy()
+            for start, names, row, gram, n, _ in _counted(batch, longest):
+                some = np.arange(len(names)) if can is None else np.flatnonzero(can[_places(names)])
+                number = np.full(len(names), -1)
+                number[some] = np.arange(len(some))
+                held = number[gram] >= 0
+                cell = number[gram[held]] * (k + 1) + folds[start + row[held]]
+                cells = len(some) * (k + 1)
+                sums = [x.astype(np.int64).reshape(-1, k + 1) for x in (np.bincount(cell, None, cells), np.bincount(cell, n[held], cells))]
+                names = names.take(pa.array(some))
+                for a in range(0, len(some), ROWS_AT_ONCE):
+                    part = slice(a, a + ROWS_AT_ONCE)
+                    columns = [names[part].cast(pa.string()), *[pa.array(np.ascontiguousarray(x[part, i])) for x in sums for i in range(k + 1)]]
+                    yield pa.RecordBatch.from_arrays(columns, names=["term", *own])
+
+    own = _own_columns(k)
+    rows = df.select(tokens.alias("_words"), F.col(fold).alias("_fold"))
+    return rows.mapInArrow(count, "term string, " + ", ".join(f"{c} long" for c in own)).groupBy("term").agg(*[F.sum(c).alias(c) for c in own])
+
+
+def _term_sums(df: DataFrame, tokens: Column, longest: int) -> np.ndarray:
+    """Occurrences of all terms by SUMS digests, which are added up in the task and then over the tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(SUMS, np.int64)
+        for batch in batches:
+            for _, names, _, gram, n, _ in _counted(batch, longest):
+                sums += np.bincount(_places(names)[gram], n, SUMS).astype(np.int64)
+        parts = sums.reshape(-1, SUMS_AT_ONCE)
+        held = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array([parts[i].tobytes() for i in held], pa.binary())], names=["part", "sums"])
+
+    def add(held: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x, np.int64) for x in held.column("sums").to_pylist()], axis=0)
+        return pa.table({"part": held.column("part")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "part long, sums binary"
+    found = df.select(tokens.alias("_words")).mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema)
+    out = np.zeros((SUMS // SUMS_AT_ONCE, SUMS_AT_ONCE), np.int64)
+    for r in found.collect():
+        out[r["part"]] = np.frombuffer(r["sums"], np.int64)
+    return out.ravel()
+
+
+def fold_vocabularies(
+    df: DataFrame, tokens: Column, fold: str, k: int, sizes: list[int], longest: int = 2,
+    min_df: int = 3, max_df: float = 0.92, max_features: int = MAX_FEATURES,
+) -> list[DataFrame]:
+    """For each fold 0 … k-1 the vocabulary of the rows outside of it (`sizes` of them): that of
+    `vocabulary(term_frequencies(...))`, from three passes for all folds.
+
+    The words that are kept most often bound what a term must have at least to be kept. Terms are
+    added up by digest first, and only those are counted each by itself whose sum comes to that, so
+    that the many n-grams that occur a few times are not moved.
+    """
+    rows = df.select(tokens.alias("_words"), F.when(F.col(fold).between(0, k - 1), F.col(fold)).otherwise(F.lit(k)).cast("int").alias("_fold"), fold)
+    rows = rows.filter(F.col(fold).isNotNull())
+
+    def outside(frequencies: DataFrame, i: int) -> DataFrame:
+        less = [sum((F.col(f"{what}{j}") for j in range(k + 1) if j != i), F.lit(0).cast("long")).alias(what) for what in ("df", "total")]
+        return frequencies.select("term", *less)
+
+    def kept(frequencies: DataFrame) -> DataFrame:
+        within = F.lit(False)
+        for i in range(k):
+            within |= sum((F.col(f"df{j}") for j in range(k + 1) if j != i), F.lit(0).cast("long")) >= min_df
+        return cut_lineage(frequencies.filter(within))
+
+    limits = dict(min_df=min_df, max_df=max_df, max_features=max_features)
+    # A word with a blank can be an n-gram as well, and then has more than is counted here.
+    words = kept(_fold_frequencies(rows, F.col("_words"), "_fold", k, 1).filter(~F.contains("term", F.lit(" "))))
+    least = []
+    for i, n in enumerate(sizes):
+        held = vocabulary(outside(words, i), n, **limits).agg(F.count("*").alias("held"), F.min("total").alias("least")).head()
+        least.append(held["least"] if held["held"] == max_features else min_df)
+    can = _term_sums(rows, F.col("_words"), longest) >= max(min_df, min(least, default=0))
+    counted = kept(_fold_frequencies(rows, F.col("_words"), "_fold", k, longest, can))
+    return [vocabulary(outside(counted, i), n, **limits) for i, n in enumerate(sizes)]
+
+
 def in_vocabulary(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """Counts of known terms; the vocabulary is limited, hence small enough to broadcast."""
     return counts.join(F.broadcast(vocab.select("term", "df")), "term")
