@@ -172,3 +172,18 @@ def test_words_of_repeated_texts_have_finite_vectors(spark):
     df = spark.createDataFrame([(i, ["again"] * 400) for i in range(40)], "id int, w array<string>")
     out = vectors.word2vec_embed(df, "id", "w", size=4, partitions=2)
     assert all(np.isfinite(r["vector"]).all() and any(r["vector"]) for r in out.collect())
+
+
+@pytest.mark.parametrize("iterations", [1, 2])
+def test_blocks_in_turns_give_the_same_vectors(spark, monkeypatch, iterations):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [f"w{w}" for w in rng.zipf(1.4, 30) % 200]) for i in range(120)] + [(500, ["single"]), (501, None)], "id int, w array<string>")
+    embed = lambda: {r["id"]: np.array(r["vector"]) for r in vectors.word2vec_embed(df, "id", "w", size=6, partitions=5, iterations=iterations).collect()}
+    want, written, gone, cut, drop = embed(), [], [], wordvec.cut_lineage, wordvec.discard
+    monkeypatch.setattr(wordvec, "TURN_BLOCKS", 2)
+    monkeypatch.setattr(wordvec, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    monkeypatch.setattr(wordvec, "discard", lambda df: (df is not None and gone.append(df.columns)) or drop(df))
+    got = embed()
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=1e-5) for i in want)
+    # Three turns an iteration; of the vectors of words only the last table stays.
+    assert written.count(["word", "n", "vectors"]) == 3 * iterations and gone.count(["word", "n", "vectors"]) == 3 * iterations - 1
